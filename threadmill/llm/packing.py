@@ -18,7 +18,7 @@ END_ID = 0
 #: Pieces of one length are numbered within so many groups side by side.
 RANK_GROUPS = 64
 #: Distinct text chunks a worker remembers the ids of.
-MEMORY = 600_000
+MEMORY = 250_000
 PIECE_SCHEMA = "piece int, start long, length long, ids_crc32 long"
 
 

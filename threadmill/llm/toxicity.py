@@ -99,7 +99,7 @@ class Reader:
         n = len(chunks)
         if not n:
             return [0.0] * len(FEATURES)
-        if len(self.seen) > 600_000:
+        if len(self.seen) > 200_000:
             self.seen.clear()
         seen = self.seen
         for c in set(chunks).difference(seen):
