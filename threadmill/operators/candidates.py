@@ -1,89 +1,83 @@
-"""Topic candidates of posts: hashtags, word n-grams and a fallback to single words."""
+"""Topic candidates of posts: hashtags, word n-grams and a fallback to single words.
+
+A post's candidates are drawn lazily in rank order and stop at the limit, which Spark's array functions can't do: they would filter every
+n-gram of the text. So this is one Arrow function over the normalised text.
+"""
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+import re
+from collections.abc import Iterator
 
-from threadmill.functions.text import WORD, nfkc_casefold, squeeze, tokens
+import pandas as pd
+from pyspark.sql import DataFrame, functions as F
 
 # Word lists of the candidate contract.
 STOPWORDS = """a an and are as at be but by for from has have he her his i if in is it its me my not of on or our she that the their them
 they this to too us was we were what when where which who why will with you your""".split()
-ARTIFACTS = "http https www com net org app profile shorts bsky".split()
+STOPSET = frozenset(STOPWORDS)
+ARTIFACTS = frozenset("http https www com net org app profile shorts bsky".split())
 BLOCKED = ["macro"]
-ID_LIKE = r"^(?=.*[a-z])(?=.*\d)[a-z0-9]{10,}$"
-
-
-def among(c: Column, words: list[str]) -> Column:
-    return c.isin(*words)
+ID_LIKE = re.compile(r"^(?=.*[a-z])(?=.*\d)[a-z0-9]{10,}$")
+_TAG = re.compile(r"(?<!\w)#\w+")
+COLUMNS = """candidate_source_type string, candidate_start_index int, candidate_phrase_raw string, candidate_phrase_clean string, candidate_phrase_alnum string,
+candidate_token_count bigint, candidate_char_count bigint, candidate_contains_digit boolean, candidate_rank_in_post int"""
 
 
-def keep_rule(clean: Column, alnum: Column, is_hashtag: Column) -> Column:
-    """Whether a phrase is a usable candidate."""
-    parts = tokens(alnum)
-    n, chars = F.size(parts), F.length(clean)
-    hits = F.size(F.filter(parts, lambda t: among(t, ARTIFACTS)))
-    edge = among(F.element_at(parts, 1), STOPWORDS) | among(F.element_at(parts, -1), STOPWORDS)
-    single = (F.length(F.element_at(parts, 1)) >= 3) & ~among(F.element_at(parts, 1), ARTIFACTS + BLOCKED)
-    return (
-        (n >= 1)
-        & (n <= 4)
-        & chars.between(3, 64)
-        & F.exists(parts, lambda t: ~among(t, STOPWORDS))
-        & ~((n >= 2) & edge)
-        & ~((hits >= 2) | (hits / n >= 0.5))
-        & (is_hashtag | ~F.exists(parts, lambda t: t.rlike(ID_LIKE)))
-        & ((n != 1) | single)
-    )
+def usable(clean: str, words: list[str], is_hashtag: bool) -> bool:
+    """Whether a phrase may be a candidate."""
+    if not 1 <= len(words) <= 4 or not 3 <= len(clean) <= 64 or STOPSET.issuperset(words):
+        return False
+    if len(words) == 1:
+        return len(words[0]) >= 3 and words[0] not in ARTIFACTS and words[0] not in BLOCKED and (is_hashtag or not ID_LIKE.match(words[0]))
+    if words[0] in STOPSET or words[-1] in STOPSET:
+        return False
+    links = sum(w in ARTIFACTS for w in words)
+    return links < 2 and links / len(words) < 0.5 and (is_hashtag or not any(ID_LIKE.match(w) for w in words))
 
 
-def ngrams(parts: Column, n: int) -> Column:
-    """All n-grams as phrases in order; a sequence that would count down is guarded."""
-    spots = F.sequence(F.lit(0), F.size(parts) - n)
-    return F.when(F.size(parts) >= n, F.transform(spots, lambda i: F.array_join(F.slice(parts, i + 1, n), " "))).otherwise(F.array().cast("array<string>"))
+def in_order(clean: str, words: list[str]) -> Iterator[tuple[str, int, str, str, str, int]]:
+    """Usable candidates by source, start and length: source, start (hashtags: character, n-grams: word), raw, clean, alnum, tokens."""
+    longer = False
+    for m in _TAG.finditer(clean):
+        folded = m[0].casefold()
+        own = " ".join(re.sub(r"[^a-z0-9]", " ", folded).split())
+        if usable(folded, own.split(), True):
+            longer = True
+            yield "hashtag", m.start(), m[0], folded, own, len(own.split())
+    for n in (4, 3, 2):
+        for i in range(len(words) - n + 1):
+            phrase = " ".join(words[i : i + n])
+            if usable(phrase, words[i : i + n], False):
+                longer = True
+                yield f"ngram_{n}", i, phrase, phrase, phrase, n
+    if not longer:
+        for i, w in enumerate(words):
+            if usable(w, [w], False):
+                yield "unigram_fallback", i, w, w, w, 1
 
 
-def hashtags(text: Column) -> Column:
-    return F.regexp_extract_all(text, F.lit(rf"(?<!{WORD})#({WORD}+)"), F.lit(0))
+def ranked(clean: str, words: list[str], most: int) -> list[tuple]:
+    """The first `most` candidates, one per alnum phrase."""
+    out: dict[str, tuple] = {}
+    for c in in_order(clean, words):
+        if c[4] not in out:
+            out[c[4]] = (*c, len(c[3]), any(x.isdigit() for x in c[4]), len(out) + 1)
+            if len(out) == most:
+                break
+    return list(out.values())
 
 
 def generate(posts: DataFrame, most: int = 20) -> DataFrame:
     """Up to `most` ranked candidates per post(uri, post_text_clean, post_text_alnum).
 
-    Candidates that filters leave are deduplicated by alnum phrase, the first in the order of source, start and tokens staying, and ranked in
-    that order. Single words come in only where no longer phrase or hashtag is left. N-grams consist of plain words, so they are their own
-    normal form; all is done on arrays within a post's row, without a shuffle. Hashtags start at a character, n-grams at a word.
+    Candidates that the filters leave are deduplicated by alnum phrase, the first in the order of source, start and tokens staying, and ranked in that
+    order. Single words come in only where no longer phrase or hashtag is left. N-grams consist of plain words, so they are their own normal form. A row
+    at a time, without a shuffle.
     """
-    parts = tokens(F.col("post_text_alnum"))
-    no = F.lit(False)
-    base = posts.select("uri", F.col("post_text_clean").alias("clean"), nfkc_casefold("post_text_clean").alias("folded"), parts.alias("parts"))
-    tag = F.arrays_zip(hashtags(F.col("clean")).alias("raw"), hashtags(F.col("folded")).alias("own"))
-    tags = F.transform(tag, lambda t: F.struct(t["raw"].alias("raw"), t["own"].alias("clean"), squeeze(F.regexp_replace(t["own"], "[^a-z0-9]", " ")).alias("alnum")))
-    kept_tags = F.filter(tags, lambda t: keep_rule(t["clean"], t["alnum"], F.lit(True)))
-    grams = {n: F.array_distinct(F.filter(F.col(f"all{n}"), lambda p: keep_rule(p, p, no))) for n in (4, 3, 2, 1)}
-    listed = (
-        base.withColumns({"tags": kept_tags, **{f"all{n}": ngrams(F.col("parts"), n) for n in grams}})
-        .withColumns({f"grams{n}": grams[n] for n in (4, 3, 2)})
-        .withColumn("found", F.array_distinct(F.concat(F.transform("tags", lambda t: t["alnum"]), "grams4", "grams3", "grams2")))
-        .withColumn("found", F.slice(F.when(F.size("found") > 0, F.col("found")).otherwise(grams[1]), 1, most))
-    )
-    one = listed.select("uri", "clean", "tags", "all4", "all3", "all2", "all1", F.posexplode("found").alias("rank", "phrase"))
-    n = F.size(tokens(F.col("phrase")))
-    tagged = F.exists("tags", lambda t: t["alnum"] == F.col("phrase"))
-    at = lambda k: F.array_position(f"all{k}", F.col("phrase")) - 1
-    start = F.when(n == 4, at(4)).when(n == 3, at(3)).when(n == 2, at(2)).otherwise(at(1))
-    source = F.when(tagged, "hashtag").when(n == 1, "unigram_fallback").otherwise(F.concat(F.lit("ngram_"), n.cast("string")))
-    raw = F.when(tagged, F.try_element_at(F.filter("tags", lambda t: t["alnum"] == F.col("phrase")), F.lit(1))["raw"]).otherwise(F.col("phrase"))
-    clean = F.when(tagged, F.try_element_at(F.filter("tags", lambda t: t["alnum"] == F.col("phrase")), F.lit(1))["clean"]).otherwise(F.col("phrase"))
-    return one.select(
-        "uri",
-        source.alias("candidate_source_type"),
-        F.when(tagged, F.call_function("instr", F.col("clean"), raw) - 1).otherwise(start).cast("int").alias("candidate_start_index"),
-        raw.alias("candidate_phrase_raw"),
-        clean.alias("candidate_phrase_clean"),
-        F.col("phrase").alias("candidate_phrase_alnum"),
-        n.cast("long").alias("candidate_token_count"),
-        F.length(clean).cast("long").alias("candidate_char_count"),
-        F.col("phrase").rlike("[0-9]").alias("candidate_contains_digit"),
-        (F.col("rank") + 1).alias("candidate_rank_in_post"),
-    )
+
+    def run(clean: pd.Series, alnum: pd.Series) -> pd.Series:
+        return pd.Series([ranked(c, a.split(), most) for c, a in zip(clean, alnum, strict=True)])
+
+    found = F.pandas_udf(run, f"array<struct<{COLUMNS.replace(' ', ':').replace(',:', ',').replace(chr(10), '')}>>")
+    return posts.select("uri", F.explode(found("post_text_clean", "post_text_alnum")).alias("c")).select("uri", "c.*")
