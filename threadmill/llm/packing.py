@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 import zlib
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -18,7 +19,7 @@ END_ID = 0
 #: Pieces of one length are numbered within so many groups side by side.
 RANK_GROUPS = 64
 #: Distinct text chunks a worker remembers the ids of.
-MEMORY = 250_000
+MEMORY = 1_000_000
 PIECE_SCHEMA = "piece int, start long, length long, ids_crc32 long"
 
 
@@ -27,7 +28,8 @@ class ChunkIds(dict):
 
     The vocabulary's word pattern never crosses white space, so a text's ids are its chunks' ids joined. Chunks that
     weren't seen are encoded many at a time; a chunk in ASCII capitals has the ids of its lower case, and
-    closing marks after a letter or digit are a word of their own.
+    closing marks after a letter or digit are a word of their own. What is remembered has two generations: chunks that
+    weren't used while the younger one filled are forgotten.
     """
 
     def __init__(self, path: str) -> None:
@@ -35,6 +37,15 @@ class ChunkIds(dict):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
+        vocabulary = self.tokenizer.get_vocab()
+        self.ends = np.zeros(max(vocabulary.values()) + 1, dtype=bool)
+        for token, number in vocabulary.items():
+            self.ends[number] = token.endswith("</w>")
+        self.older: dict[str, bytes] = {}
+
+    def __missing__(self, chunk: str) -> bytes:
+        got = self[chunk] = self.older[chunk]
+        return got
 
     @staticmethod
     def parts(chunk: str) -> tuple[str, str]:
@@ -43,22 +54,41 @@ class ChunkIds(dict):
         return (core, low[len(core) :]) if core and core[-1].isalnum() else (low, "")
 
     def encode(self, texts: list[str]) -> list[bytes]:
-        return [np.array(e.ids, dtype="<u4").tobytes() for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+        return [array("I", e.ids).tobytes() for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+
+    def encode_words(self, words: list[str]) -> list[bytes]:
+        """Of words of letters only, encoded as one text; their last ids are word ends."""
+        ids = np.array(self.encode_joined(words), dtype="<u4")
+        stops = np.flatnonzero(self.ends[ids]) + 1
+        if len(stops) != len(words):
+            return self.encode(words)
+        data, cuts = ids.tobytes(), [0, *(4 * stops).tolist()]
+        return [data[a:b] for a, b in zip(cuts, cuts[1:], strict=False)]
+
+    def encode_joined(self, words: list[str]) -> list[int]:
+        return self.tokenizer.encode_batch_fast([" ".join(words)], add_special_tokens=False)[0].ids
 
     def learn(self, chunks: set[str]) -> None:
         if len(self) > MEMORY:
+            self.older = dict(self)
             self.clear()
-        split = {c: self.parts(c) for c in chunks if c not in self}
-        need = [x for x in {y for two in split.values() for y in two if y} if x not in self]
-        self.update(zip(need, self.encode(need), strict=True))
+        older = self.older
+        split = {c: self.parts(c) for c in chunks if c not in self and c not in older}
+        need = {y for two in split.values() for y in two if y and y not in self and y not in older}
+        words = [x for x in need if x.isalpha() and x.lower().isalpha()]
+        for first in range(0, len(words), 4096):
+            own = words[first : first + 4096]
+            self.update(zip(own, self.encode_words(own), strict=True))
+        others = list(need.difference(words))
+        self.update(zip(others, self.encode(others), strict=True))
         for chunk, (core, tail) in split.items():
             self[chunk] = self[core] + (self[tail] if tail else b"")
 
-    def of(self, text: str) -> bytes:
+    def of(self, text: str, chunks: list[str]) -> bytes:
         # Special tokens are found before the text is split; a few control characters split here but not there.
         if "<|" in text or any(c in text for c in "\x1c\x1d\x1e\x1f"):
             return self.encode([text])[0]
-        return b"".join(map(self.__getitem__, text.split()))
+        return b"".join(map(self.__getitem__, chunks))
 
 
 _known: dict[str, ChunkIds] = {}
@@ -72,11 +102,12 @@ def tokenizer_path(name: str = TOKENIZER) -> str:
 
 def cut_pieces(texts: list[str], ids: ChunkIds, capacity: int, end: bytes) -> Iterator[list[tuple[int, int, int, int]]]:
     """Per text its pieces (piece, start, length, crc32 of the ids), of `capacity` ids but for the last."""
-    for first in range(0, len(texts), 256):
-        group = texts[first : first + 256]
-        ids.learn({c for t in group for c in t.split()})
-        for text in group:
-            data = ids.of(text) + end
+    for first in range(0, len(texts), 512):
+        group = texts[first : first + 512]
+        split = [t.split() for t in group]
+        ids.learn(set().union(*split))
+        for text, chunks in zip(group, split, strict=True):
+            data = ids.of(text, chunks) + end
             yield [
                 (k, at // 4, len(data[at : at + 4 * capacity]) // 4, zlib.crc32(data[at : at + 4 * capacity]))
                 for k, at in enumerate(range(0, len(data), 4 * capacity))
