@@ -6,7 +6,7 @@ import difflib
 import unicodedata
 
 import pandas as pd
-from pyspark.sql import Column, functions as F
+from pyspark.sql import Column, functions as F, types as Y
 
 WORD = r"[\p{L}\p{N}_]"
 SPACE = r"[\s\x1c-\x1f\x85\p{Z}]+"
@@ -20,18 +20,18 @@ SPECIAL = r"[^A-Za-z0-9\s]"
 NON_ASCII = r"[^\x00-\x7F]"
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(Y.StringType())
 def nfkc(texts: pd.Series) -> pd.Series:
     """Unicode compatibility form; Spark has no function for it."""
     return texts.map(lambda t: t if t is None or t.isascii() else unicodedata.normalize("NFKC", t))
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(Y.StringType())
 def nfkc_casefold(texts: pd.Series) -> pd.Series:
     return texts.map(lambda t: t if t is None else t.lower() if t.isascii() else unicodedata.normalize("NFKC", t).casefold())
 
 
-@F.pandas_udf("double")
+@F.pandas_udf(Y.DoubleType())
 def sequence_ratio(a: pd.Series, b: pd.Series) -> pd.Series:
     """Ratcliff-Obershelp similarity of a with b (not symmetric); the standard library's matcher defines it."""
     return pd.Series([difflib.SequenceMatcher(None, x, y).ratio() for x, y in zip(a, b, strict=True)], dtype=float)

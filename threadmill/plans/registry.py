@@ -322,7 +322,10 @@ def _state(spark: SparkSession, sf: str) -> DataFrame:
     return rows.withColumn("claim_expires", F.when(F.col("status") == "claimed", F.col("captured_at") + F.expr("INTERVAL 1 DAY")))
 
 
-_NOW = F.lit("2024-01-20 00:00:00").cast("timestamp")
+def _now():
+    return F.lit("2024-01-20 00:00:00").cast("timestamp")
+
+
 _STATE = """WITH s AS (SELECT event_id, ts AS captured_at, ['pending', 'claimed', 'retryable', 'hydrated'][event_id % 4 + 1] AS status, CAST(event_id % 3 AS INTEGER) AS attempts,
   CASE WHEN event_id % 4 = 1 THEN ts + INTERVAL 1 DAY END AS claim_expires FROM events)
 """
@@ -331,20 +334,18 @@ _STATE = """WITH s AS (SELECT event_id, ts AS captured_at, ['pending', 'claimed'
 @query(_STATE + """, p AS (SELECT event_id FROM s WHERE status IN ('pending', 'retryable') AND captured_at <= TIMESTAMP '2024-01-20' - INTERVAL 24 HOUR ORDER BY captured_at, event_id LIMIT 200)
 SELECT event_id, CASE WHEN p.event_id IS NOT NULL THEN 'claimed' ELSE status END AS status, attempts + CASE WHEN p.event_id IS NOT NULL THEN 1 ELSE 0 END AS attempts FROM s LEFT JOIN p USING (event_id)""")
 def claim_batch(spark: SparkSession, sf: str) -> DataFrame:
-    return state.claim(_state(spark, sf), _NOW, "event_id").select("event_id", "status", "attempts")
+    return state.claim(_state(spark, sf), _now(), "event_id").select("event_id", "status", "attempts")
 
 
 @query(_STATE + "SELECT event_id, CASE WHEN status = 'claimed' AND claim_expires <= TIMESTAMP '2024-01-20' THEN 'pending' ELSE status END AS status, attempts FROM s")
 def release_expired(spark: SparkSession, sf: str) -> DataFrame:
-    return state.release_expired(_state(spark, sf), _NOW).select("event_id", "status", "attempts")
-
-
-_CODES = F.element_at(F.array(*map(F.lit, (200, 429, 503, 400))), (F.col("event_id") % 7 % 4 + 1).cast("int"))
+    return state.release_expired(_state(spark, sf), _now()).select("event_id", "status", "attempts")
 
 
 def _outcomes(spark: SparkSession, sf: str) -> DataFrame:
     claims = _state(spark, sf).where("status = 'claimed'").withColumn("attempts", F.col("attempts") + 1)
-    answers = _state(spark, sf).where("event_id % 5 <> 0").select("event_id", _CODES.alias("response_code"))
+    codes = F.element_at(F.array(*map(F.lit, (200, 429, 503, 400))), (F.col("event_id") % 7 % 4 + 1).cast("int"))
+    answers = _state(spark, sf).where("event_id % 5 <> 0").select("event_id", codes.alias("response_code"))
     return state.classify_outcomes(claims, answers, "event_id")
 
 
@@ -366,7 +367,7 @@ def mark_terminal(spark: SparkSession, sf: str) -> DataFrame:
 @query(_STATE + """SELECT max(captured_at) <= TIMESTAMP '2024-01-19' AS is_mature, count(*) FILTER (status IN ('pending', 'retryable') AND captured_at <= TIMESTAMP '2024-01-19') AS mature_unresolved, count(*) FILTER (status = 'claimed') AS claimed,
 max(captured_at) <= TIMESTAMP '2024-01-19' AND count(*) FILTER (status IN ('pending', 'retryable') AND captured_at <= TIMESTAMP '2024-01-19') = 0 AND count(*) FILTER (status = 'claimed') = 0 AS passes FROM s""")
 def completion_gate(spark: SparkSession, sf: str) -> DataFrame:
-    return state.completion_gate(_state(spark, sf), _NOW)
+    return state.completion_gate(_state(spark, sf), _now())
 
 
 @query("""SELECT did, CASE WHEN min(s) = 0 THEN 'hydrated' ELSE 'captured' END AS seed_source FROM (SELECT CAST(user_id AS VARCHAR) AS did, CASE WHEN event_id % 4 = 3 THEN 0 ELSE 1 END AS s FROM events)
