@@ -134,7 +134,7 @@ def top_k(df: DataFrame, is_query: Column, k: int = 20, id_col: str = "vec_id",
     base = vectors.withColumn("shard", F.pmod(F.xxhash64("id"), F.lit(shards)).cast("int")).select("id", "v", "d", "shard")
     asked = vectors.where("q").groupBy("id", "d").agg(F.min("v").alias("v"))
     blocks = max(1, -(-asked.count() // block_rows))
-    asked = asked.withColumn("block", F.pmod(F.xxhash64("id", F.lit(5)), F.lit(blocks)).cast("int"))
+    asked = written(asked.withColumn("block", F.pmod(F.xxhash64("id", F.lit(5)), F.lit(blocks)).cast("int")), "asked")
 
     def run(key: tuple, left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
         if not len(left) or not len(right):
@@ -167,6 +167,7 @@ def top_k(df: DataFrame, is_query: Column, k: int = 20, id_col: str = "vec_id",
     if shards == 1:
         return kept(first).select("query_id", "rank", "vec_id", "score")
     known = first.groupBy(F.col("query_id").alias("id")).agg(F.min("score").alias("low"), F.count(F.lit(1)).alias("n"))
-    floored = asked.join(known, "id", "left").withColumn("floor", F.when(F.col("n") >= k, F.col("low").cast("double")).otherwise(nothing)).drop("low", "n")
+    low = F.when(F.col("n") >= k, F.col("low").cast("double")).otherwise(nothing)
+    floored = written(asked.join(known, "id", "left").withColumn("floor", low).drop("low", "n"), "asked")
     others = wave(base.where("shard > 0"), floored, F.sequence(F.lit(1), F.lit(shards - 1)))
     return kept(first.unionByName(others)).select("query_id", "rank", "vec_id", "score")
