@@ -6,10 +6,11 @@ import hashlib
 import re
 from collections import OrderedDict
 from collections.abc import Iterator
+from contextlib import contextmanager
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from .frames import fresh, small, text_of, written
 
@@ -23,6 +24,8 @@ FEW = 16
 REACH = 4
 #: Times that texts of a large bucket which miss its leader get another leader.
 ROUNDS = 3
+#: Rows that a Python worker gets at once, and distinct shingles that are signed together.
+BATCH_ROWS, BATCH_SHINGLES = 1000, 60_000
 _WORD = re.compile(r"\w+")
 _GOLDEN = np.uint64(0x9E3779B97F4A7C15)
 
@@ -31,7 +34,7 @@ class WordKeys(dict):
     """64-bit keys of words, remembered."""
 
     def __missing__(self, word: str) -> int:
-        if len(self) > 1_000_000:
+        if len(self) > 200_000:
             self.clear()
         got = self[word] = int.from_bytes(hashlib.blake2b(word.encode("utf-8", "surrogatepass"), digest_size=8).digest(), "little")
         return got
@@ -162,7 +165,7 @@ def _signed(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
             weight[i] = bag[1].sum()
             held.append((i, bag))
             size += len(bag[0])
-            if size >= 150_000:
+            if size >= BATCH_SHINGLES:
                 flush()
                 held, size = [], 0
         if held:
@@ -276,6 +279,18 @@ def components(edges: DataFrame) -> DataFrame:
             return label
 
 
+@contextmanager
+def small_batches(spark: SparkSession, rows: int = BATCH_ROWS) -> Iterator[None]:
+    """Python workers get at most so many rows at once while this holds; whole texts are in them."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(name)
+    spark.conf.set(name, rows)
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
 def near_classes(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Every row of df with class_id, class_size, n_links and kept added.
 
@@ -295,8 +310,9 @@ def near_classes(df: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     df = df.drop(*[c for c in df.columns if c.lower() in out and c not in (id_col, text_col)])
     signed = F.pandas_udf(_signed, "digest string, weight long, bands array<long>")
     (row, sig, group, lab, best, links_) = fresh(df, "nd_row", "nd_sig", "nd_group", "nd_label", "nd_best", "nd_links")
-    table = written(df.withColumn(row, F.monotonically_increasing_id()).withColumn(sig, signed(text_of(text_col))), "signed")
-    found = links(table.select(f"{sig}.digest", f"{sig}.weight", f"{sig}.bands", text_of(text_col).alias("text")))
+    with small_batches(df.sparkSession):
+        table = written(df.withColumn(row, F.monotonically_increasing_id()).withColumn(sig, signed(text_of(text_col))), "signed")
+        found = links(table.select(f"{sig}.digest", f"{sig}.weight", f"{sig}.bands", text_of(text_col).alias("text")))
     label = components(found).select(F.col("node").alias(group), F.col("label").alias(lab))
     degree = found.select(F.explode(F.array("a", "b")).alias(group)).groupBy(group).agg(F.count(F.lit(1)).alias(links_))
     notes = small(written(label.join(degree, group), "notes"))
