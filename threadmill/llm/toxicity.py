@@ -11,7 +11,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, functions as F
 
-from .frames import fresh, text_of
+from .frames import fresh, text_of, written
 
 #: Labelled rows that the lexicon, the trees and the calibration are fitted on, at most: those with the smallest digests of their ids.
 TRAIN_ROWS = 20_000
@@ -19,6 +19,8 @@ TRAIN_ROWS = 20_000
 TERMS, SUPPORT = 20_000, 4
 THRESHOLD = 0.3
 TREES, DEPTH, RATE, BINS = 60, 3, 0.15, 32
+#: Chunks between white space whose look a worker remembers.
+SEEN = 400_000
 #: Words between an insult and a word of address that count as near.
 NEAR = 6
 
@@ -44,6 +46,9 @@ LEET = str.maketrans("013457@$!|+", "oieastasiit")
 
 _STRIP = re.compile(r"^[^\w@$]+|[^\w@$!]+$")
 _CORE = re.compile(r"[^\W_]+(?:['’][^\W_]+)*")
+_REPEATED = re.compile(r"(.)\1{3}")
+_WIDE = re.compile(r"[^\x00-\x7f]")
+_CAPITALS = bytes(range(ord("A"), ord("Z") + 1))
 FEATURES = (
     "insult_density", "insult_any", "learned_density", "learned_any", "stem_density", "stem_any", "strength_mean", "strength_max", "hidden_density",
     "near_address", "address_density", "capitals", "capital_words", "exclaim", "question", "punctuation", "mixed_words", "repeats", "length",
@@ -52,6 +57,12 @@ INSULT, WORD, STEM, ADDRESSED, CAPS, MIXED, HIDDEN, REPEAT, LETTER = (1 << i for
 STEMS = (4, 5, 6)
 
 
+def capitals(text: str) -> int:
+    data = text.encode("utf-8", "surrogatepass")
+    wide = 0 if text.isascii() else sum(map(str.isupper, _WIDE.findall(text)))
+    return len(data) - len(data.translate(None, _CAPITALS)) + wide
+
+
 def terms_of(word: str) -> list[str]:
     """The word itself and, for longer words, the stems that the lexicon may learn."""
     return [word, *(f"{word[:n]}-" for n in STEMS if len(word) > n)]
@@ -62,14 +73,16 @@ class Reader:
 
     def __init__(self, learned: dict[str, float]) -> None:
         self.learned = learned
-        self.seen: dict[str, tuple[int, float]] = {}
+        self.seen: dict[str, int] = {}
+        self.strong: dict[str, float] = {}  # of seen chunks, those with a learned term
+        # Every term that a word may match begins with the word's own first letters.
+        self.starts = {t.rstrip("-")[: STEMS[0]] for t in (*learned, *INSULTS, *ADDRESS)}
 
-    def look(self, chunk: str) -> tuple[int, float]:
-        bare = _STRIP.sub("", chunk)
-        low = bare.lower()
-        words = _CORE.findall(low)
+    def matches(self, words: list[str]) -> tuple[int, float]:
         code, strength = 0, 0.0
         for w in words:
+            if w[: STEMS[0]] not in self.starts:
+                continue
             if w in INSULTS:
                 code |= INSULT
             if w in ADDRESS:
@@ -79,6 +92,20 @@ class Reader:
                 if got is not None:
                     code |= STEM if t.endswith("-") else WORD
                     strength = max(strength, got)
+        return code, strength
+
+    def look(self, chunk: str) -> tuple[int, float]:
+        bare = chunk if chunk.isalnum() else _STRIP.sub("", chunk)
+        low = bare.lower()
+        if bare.isalpha() and low.isalpha():  # one plain word
+            code, strength = self.matches([low])
+            if len(bare) == 1:
+                code |= LETTER
+            elif bare.isupper():
+                code |= CAPS
+            return (code | REPEAT, strength) if _REPEATED.search(low) else (code, strength)
+        words = _CORE.findall(low)
+        code, strength = self.matches(words)
         letters = sum(c.isalpha() for c in bare)
         if letters >= 2 and bare.isupper():
             code |= CAPS
@@ -88,7 +115,7 @@ class Reader:
             plain = "".join(c for c in low.translate(LEET) if c.isalpha())
             if plain not in words and (plain in INSULTS or plain in self.learned):
                 code |= HIDDEN
-        if re.search(r"(.)\1{3}", low):
+        if _REPEATED.search(low):
             code |= REPEAT
         if len(bare) == 1 and letters:
             code |= LETTER
@@ -99,15 +126,17 @@ class Reader:
         n = len(chunks)
         if not n:
             return [0.0] * len(FEATURES)
-        if len(self.seen) > 200_000:
+        if len(self.seen) > SEEN:
             self.seen.clear()
-        seen = self.seen
+            self.strong.clear()
+        seen, strong = self.seen, self.strong
         for c in set(chunks).difference(seen):
-            seen[c] = self.look(c)
-        pairs = [seen[c] for c in chunks]
-        codes = np.fromiter((p[0] for p in pairs), dtype=np.int32, count=n)
+            seen[c], strength = self.look(c)
+            if strength:
+                strong[c] = strength
+        codes = np.fromiter(map(seen.__getitem__, chunks), dtype=np.int32, count=n)
         hits = np.flatnonzero(codes & (INSULT | WORD | STEM | HIDDEN))
-        strength = [pairs[i][1] for i in hits]
+        strength = [strong.get(chunks[i], 0.0) for i in hits]
         count = lambda bit: int(np.count_nonzero(codes & bit))
         hidden = count(HIDDEN)
         if count(LETTER) >= 4:  # words written letter by letter
@@ -122,7 +151,7 @@ class Reader:
             right = address[np.minimum(at, len(address) - 1)] - hits
             near = int(np.count_nonzero((np.where(left >= 0, left, NEAR + 1) <= NEAR) | (np.where(right >= 0, right, NEAR + 1) <= NEAR)))
         size = len(text)
-        upper = sum(map(str.isupper, text)) if not text.islower() else 0
+        upper = 0 if text.islower() else capitals(text)
         marks = [text.count(c) for c in "!?.,;:*#%&$\"'()"]
         ins, wrd, stm = count(INSULT), count(WORD), count(STEM)
         return [
@@ -259,10 +288,12 @@ def fit(df: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str
     )
     rank = {0: 0, 1: 1, 3: 2}
     fold = F.element_at(F.create_map(*[F.lit(x) for kv in rank.items() for x in kv]), (F.crc32("ident") % 4).cast("int"))
-    sample = (
+    # Bounded, and read three times: written once, so that the documents are.
+    sample = written(
         df.select(F.col(f"`{id_col}`").cast("string").alias("ident"), text_of(text_col).alias("text"))
         .join(F.broadcast(known), "ident")
-        .select("ident", "text", fold.alias("fold"), F.when(F.col("toxic") > 0, 1).otherwise(0).alias("toxic"))
+        .select("ident", "text", fold.alias("fold"), F.when(F.col("toxic") > 0, 1).otherwise(0).alias("toxic")),
+        "sample",
     )
     terms = sample.mapInPandas(_terms, "term string, fold int, toxic int, n long")
     held = [F.sum(F.when((F.col("fold") == f) & (F.col("toxic") == t), F.col("n")).otherwise(0)).alias(f"n{f}{t}") for f in range(3) for t in range(2)]
@@ -295,7 +326,6 @@ def fit(df: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str
     return Model(learned, grow(x, y), isotonic(apart, y), prior)
 
 
-
 def toxic_score(df: DataFrame, model: Model, text_col: str = "text", name: str = "score") -> DataFrame:
     """df with the model's score (0 to 1) of each whole text; a null text is empty, and an empty one scores as a text without any sign."""
     held = df.sparkSession.sparkContext.broadcast(model)
