@@ -10,7 +10,7 @@ from contextlib import contextmanager
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from .frames import fresh, small, text_of, written
 
@@ -18,14 +18,16 @@ SHINGLE = 5
 SIMILAR = 0.8
 #: 32 bands of 5 registers: two texts of similarity 0.8 share no band with a chance of 3 in a million.
 BANDS, ROWS = 32, 5
-#: Up to so many texts in a bucket are compared with one another; larger buckets are split by a second band first.
+#: Up to so many texts in a bucket are compared with one another; larger buckets are worked off leader by leader.
 FEW = 16
-#: How far apart the second band may be.
-REACH = 4
-#: Times that texts of a large bucket which miss its leader get another leader.
-ROUNDS = 3
+#: Leaders of a large bucket's cell in its first round, and by how much each round has more.
+LEADERS, MORE = 1, 4
+#: Width of a cell of distances: above 1 - SIMILAR by far more than a rounding error.
+WIDTH = 1 - SIMILAR + 1e-6
 #: Rows that a Python worker gets at once, and distinct shingles that are signed together.
 BATCH_ROWS, BATCH_SHINGLES = 1000, 60_000
+#: Distinct shingles of texts just compared that a Python worker remembers (16 bytes each).
+HELD_SHINGLES = 1_000_000
 _WORD = re.compile(r"\w+")
 _GOLDEN = np.uint64(0x9E3779B97F4A7C15)
 
@@ -175,13 +177,18 @@ def _signed(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
 
 def _verified(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     kept: OrderedDict[str, tuple] = OrderedDict()
+    size = 0
 
     def bag(digest: str, text: str) -> tuple:
-        if digest not in kept:
-            kept[digest] = shingles(text)
-            if len(kept) > 64:
-                kept.popitem(last=False)
-        return kept[digest]
+        nonlocal size
+        if digest in kept:
+            kept.move_to_end(digest)
+            return kept[digest]
+        got = kept[digest] = shingles(text)
+        size += len(got[0])
+        while size > HELD_SHINGLES and len(kept) > 1:
+            size -= len(kept.popitem(last=False)[1][0])
+        return got
 
     for pairs in batches:
         likeness = [overlap(bag(a, x), bag(b, y)) for a, b, x, y in zip(pairs["a"], pairs["b"], pairs["text_a"], pairs["text_b"], strict=True)]
@@ -196,69 +203,95 @@ def _pairs_within(rows: DataFrame, key: list[str]) -> DataFrame:
     return x.join(y, key).where((F.col("a") < F.col("b")) & alike).select("a", "b").distinct()
 
 
-def _star(rows: DataFrame, key: list[str]) -> DataFrame:
-    """Pairs of each text of a bucket with the bucket's leader: the one that shares most buckets with most texts."""
-    lead = rows.groupBy(*key).agg(F.max(F.struct("score", "digest", "weight")).alias("lead"))
-    alike = F.least("weight", "lead.weight") >= SIMILAR * F.greatest("weight", "lead.weight")
-    return (
-        rows.join(lead, key)
-        .where(F.col("digest") != F.col("lead.digest"))
-        .select(
-            *key, "digest", "weight", "score", F.least("digest", "lead.digest").alias("a"), F.greatest("digest", "lead.digest").alias("b"), alike.alias("alike")
-        )
-    )
+def _leaders(rows: DataFrame, key: list[str], slot: Column) -> DataFrame:
+    """A leader per slot of each bucket: the text that shares most buckets with most texts."""
+    best = rows.groupBy(*key, slot.alias("slot")).agg(F.max(F.struct("score", "digest", "weight", "label")).alias("s"))
+    return best.select(*key, F.col("s.digest").alias("lead"), F.col("s.weight").alias("lead_weight"), F.col("s.label").alias("lead_label"))
+
 
+def _ordered(x: str, y: str) -> list[Column]:
+    return [F.least(x, y).alias("a"), F.greatest(x, y).alias("b")]
 
-def _verify(pairs: DataFrame, texts: DataFrame) -> DataFrame:
-    """Pairs (a, b) whose shingle multisets overlap by SIMILAR or more."""
+
+def _compared(pairs: DataFrame, sig: DataFrame) -> DataFrame:
+    """Pairs (a, b) with the similarity of their shingle multisets, written."""
+    need = small(written(pairs.select(F.explode(F.array("a", "b")).alias("digest")).distinct(), "need"))
+    texts = written(sig.join(need, "digest", "left_semi").groupBy("digest").agg(F.min("text").alias("text")), "texts")
     x = texts.select(F.col("digest").alias("a"), F.col("text").alias("text_a"))
     y = texts.select(F.col("digest").alias("b"), F.col("text").alias("text_b"))
-    full = pairs.join(y, "b").join(x, "a")
-    return full.mapInPandas(_verified, "a string, b string, similarity double").where(F.col("similarity") >= SIMILAR)
+    return written(pairs.join(y, "b").join(x, "a").mapInPandas(_verified, "a string, b string, similarity double"), "compared")
+
 
+def _merged(label: DataFrame, found: DataFrame) -> DataFrame:
+    """label (node, label) after the links found (a, b) have joined components."""
+    ends = found.select(F.explode(F.array("a", "b")).alias("node")).distinct().join(label, "node", "left_anti")
+    every = written(label.unionByName(ends.select("node", F.col("node").alias("label"))), "nodes")
+    of = lambda end: every.select(F.col("node").alias(end), F.col("label").alias(f"of_{end}"))
+    edges = found.join(of("a"), "a").join(of("b"), "b").where("of_a != of_b").select(*_ordered("of_a", "of_b")).distinct()
+    new = components(written(edges, "edges")).select(F.col("node").alias("label"), F.col("label").alias("new"))
+    return written(every.join(new, "label", "left").select("node", F.coalesce("new", "label").alias("label")), "labels")
 
-def links(sig: DataFrame) -> DataFrame:
-    """Links (a, b, a < b) between different multisets of sig(digest, weight, bands, text), written."""
+
+def links(sig: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Links and components of the different multisets of sig(digest, weight, bands, text), both written.
+
+    The first table, (a, b) with a < b, has enough of the links for the second, (node, label), to be the components of all links
+    between texts that share a band; a link within a component that others join already may lack.
+
+    Texts of a bucket of at most FEW are compared with one another. In a larger one, all are first compared with one leader.
+    Distances (1 - similarity) keep the triangle inequality, so texts whose distances to the leader differ by more than
+    1 - SIMILAR aren't linked: the bucket falls into overlapping cells of distance, and each possible link has
+    both ends in one. Then rounds follow. A cell whose texts are all in one component is done. In any other cell some leaders are
+    compared with every text of another component and a fitting weight; that settles a leader, which leaves the cell.
+    Leaders are drawn by component and by text in turn, more from round to round, so a cell of n texts takes about log n rounds,
+    and one with a large component and a few others about as many comparisons as texts for each of the others.
+    """
+    key, cell = ["band", "key"], ["band", "key", "cell"]
     one = written(
         sig.where("digest is not null").groupBy("digest").agg(F.min(F.struct("weight", "bands")).alias("s")).select("digest", "s.weight", "s.bands"),
         "multisets",
     )
     each = one.select("digest", "weight", F.posexplode("bands").alias("band", "key"))
-    shared = each.groupBy("band", "key").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
-    hits = written(each.join(shared, ["band", "key"]), "buckets")
-    pairs = _pairs_within(hits.where(F.col("n") <= FEW), ["band", "key"])
-
-    # Large buckets: two texts must share a second band close by (at similarity 0.8 they share ten bands on average).
-    crowd = hits.where(F.col("n") > FEW).groupBy("digest", "weight").agg(F.sum("n").alias("score"), F.map_from_entries(F.collect_list(F.struct("band", "key"))).alias("m"))
-    near = F.transform(F.sequence(F.lit(1), F.lit(REACH)), lambda j: F.col("m")[((F.col("band") + j) % BANDS).cast("int")])
-    twos = (
-        crowd.select("digest", "weight", "score", "m", F.explode("m").alias("band", "key"))
-        .select("digest", "weight", "score", "band", "key", F.posexplode(near).alias("j", "other"))
-        .where(F.col("other").isNotNull())
-        .select("digest", "weight", "score", F.xxhash64("band", "key", "j", "other").alias("two"))
+    shared = each.groupBy(*key).agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+    hits = written(each.join(shared, key), "buckets")
+
+    score = hits.where(F.col("n") > FEW).groupBy("digest").agg(F.sum("n").alias("score"))
+    crowd = written(hits.where(F.col("n") > FEW).join(score, "digest").withColumn("label", F.col("digest")), "crowd")
+    lead = written(_leaders(crowd, key, F.lit(0)), "lead")
+    star = crowd.join(lead, key).where("digest != lead").select(*key, "digest", "weight", "score", *_ordered("digest", "lead"))
+    pairs = _pairs_within(hits.where(F.col("n") <= FEW), key).unionByName(star.select("a", "b"))
+    tried = _compared(written(pairs.distinct(), "pairs"), sig)
+    found = tried.where(F.col("similarity") >= SIMILAR).select("a", "b")
+    label = components(found)
+
+    at = F.floor((1 - F.col("similarity")) / WIDTH)
+    crowd = written(
+        star.join(tried, ["a", "b"]).select(*key, F.explode(F.array(at, at - 1)).alias("cell"), "digest", "weight", "score"),
+        "cells",
     )
-    sizes = twos.groupBy("two").agg(F.count(F.lit(1)).alias("m")).where("m > 1")
-    fine = written(twos.join(sizes, "two"), "fine")
-    pairs = pairs.unionByName(_pairs_within(fine.where(F.col("m") <= FEW), ["two"]))
-    star = written(_star(fine.where(F.col("m") > FEW), ["two"]), "star")
-    pairs = written(pairs.unionByName(star.where("alike").select("a", "b")).distinct(), "pairs")
-
-    def texts_for(p: DataFrame) -> DataFrame:
-        need = small(written(p.select(F.explode(F.array("a", "b")).alias("digest")).distinct(), "need"))
-        return sig.join(need, "digest", "left_semi").groupBy("digest").agg(F.min("text").alias("text"))
-
-    found = written(_verify(pairs, written(texts_for(pairs), "texts")), "links")
-    tried = pairs
-    for _ in range(ROUNDS):
-        left = star.join(found.select("a", "b"), ["a", "b"], "left_anti").select("two", "digest", "weight", "score")
-        crowd = left.join(left.groupBy("two").agg(F.count(F.lit(1)).alias("m")).where("m > 1").select("two"), "two", "left_semi")
-        star = written(_star(crowd, ["two"]), "star")
-        more = written(star.where("alike").select("a", "b").distinct().join(tried, ["a", "b"], "left_anti"), "pairs")
-        if more.limit(1).count() == 0:
-            break
-        tried = tried.unionByName(more)
-        found = written(found.unionByName(_verify(more, written(texts_for(more), "texts"))), "links")
-    return found
+    parts = int(sig.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    leaders, turn = LEADERS, 0
+    while True:
+        own = crowd.join(label.withColumnRenamed("node", "digest"), "digest", "left").withColumn("label", F.coalesce("label", "digest"))
+        live = own.groupBy(*cell).agg(F.min("label").alias("low"), F.max("label").alias("high")).where("low != high").select(*cell)
+        # Dealt out by text: a cell that makes many pairs then lies in many tasks.
+        own = written(own.join(live, cell, "left_semi").repartition(parts, "digest"), "open")
+        if own.limit(1).count() == 0:
+            return found, label
+        slot = F.pmod(F.xxhash64("label" if turn % 2 == 0 else "digest", F.lit(turn)), F.lit(leaders))
+        lead = written(_leaders(own, cell, slot), "lead")
+        fits = F.least("weight", "lead_weight") >= SIMILAR * F.greatest("weight", "lead_weight")
+        pairs = own.join(lead, cell).where((F.col("label") != F.col("lead_label")) & fits).select(*_ordered("digest", "lead")).distinct()
+        pairs = written(pairs.join(tried, ["a", "b"], "left_anti"), "pairs")
+        if pairs.limit(1).count():
+            more = _compared(pairs, sig)
+            tried = tried.unionByName(more)
+            more = more.where(F.col("similarity") >= SIMILAR).select("a", "b")
+            if more.limit(1).count():
+                found = found.unionByName(more)
+                label = _merged(label, more)
+        crowd = own.drop("label").join(lead.select(*cell, F.col("lead").alias("digest")), [*cell, "digest"], "left_anti")
+        leaders, turn = leaders * MORE, turn + 1
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -296,12 +329,12 @@ def near_classes(df: DataFrame, id_col: str = "doc_id", text_col: str = "text")
 
     Texts are multisets of five-word shingles (lower-cased runs of letters, digits and underscores; a shorter
     text is one shingle). Texts with equal multisets are copies. Different ones are linked if their weighted Jaccard
-    similarity is 0.8 or more: BagMinHash signatures are banded, and each candidate pair's multisets are compared in full.
+    similarity is 0.8 or more: BagMinHash signatures are banded, and candidates' multisets are compared in full.
     Copies and links make classes; class_id is a class's smallest id, whose row is the one kept. n_links counts the different multisets
-    that a text is linked to.
+    that a text was found linked to on the way to the classes: not less than one if it has a link, and all if none of its buckets has more than FEW texts.
 
-    Within a bucket of more than FEW texts, no text is compared with all others: the bucket is first split by a second band, and texts are then
-    compared with a leader, what misses it with another one.
+    Texts of a large bucket that are in one class already aren't compared again; all other pairs that share a band are compared or
+    ruled out by the triangle inequality (see `links`).
 
     Texts without a word (null, empty) are classes of their own. Null ids rank last. Rows that repeat an id are
     separate rows, of which one is kept per class. Columns of df named like an added one are replaced.
@@ -312,8 +345,8 @@ def near_classes(df: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     (row, sig, group, lab, best, links_) = fresh(df, "nd_row", "nd_sig", "nd_group", "nd_label", "nd_best", "nd_links")
     with small_batches(df.sparkSession):
         table = written(df.withColumn(row, F.monotonically_increasing_id()).withColumn(sig, signed(text_of(text_col))), "signed")
-        found = links(table.select(f"{sig}.digest", f"{sig}.weight", f"{sig}.bands", text_of(text_col).alias("text")))
-    label = components(found).select(F.col("node").alias(group), F.col("label").alias(lab))
+        found, label = links(table.select(f"{sig}.digest", f"{sig}.weight", f"{sig}.bands", text_of(text_col).alias("text")))
+    label = label.select(F.col("node").alias(group), F.col("label").alias(lab))
     degree = found.select(F.explode(F.array("a", "b")).alias(group)).groupBy(group).agg(F.count(F.lit(1)).alias(links_))
     notes = small(written(label.join(degree, group), "notes"))
 
