@@ -173,7 +173,10 @@ def mix(
 
 
 def take_mix(df: DataFrame, id_col: str = "doc_id", source_col: str = "source", text_col: str = "text", length_col: str = "n_chars") -> DataFrame:
-    """The mixed corpus itself, with df's columns: a row per whole copy, and a row with the first words of a text that a block cuts."""
+    """The mixed corpus itself, with df's columns: a row per whole copy, and a row with the first words of a text that a block cuts.
+
+    Texts without words come once for each whole pass over their shard.
+    """
     size, copy = fresh(df, "mx_size", "mx_copy")
     text = text_of(text_col)
     mixed = mix(df.withColumn(size, words(text)), id_col, source_col, size)
