@@ -12,7 +12,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from .frames import fresh, small, text_of, written
+from .frames import BROADCAST_ROWS, fresh, small, text_of, written
 
 SHINGLE = 5
 SIMILAR = 0.8
@@ -28,6 +28,8 @@ WIDTH = 1 - SIMILAR + 1e-6
 BATCH_ROWS, BATCH_SHINGLES = 1000, 60_000
 #: Distinct shingles of texts just compared that a Python worker remembers (16 bytes each).
 HELD_SHINGLES = 1_000_000
+#: Bytes of leaders' texts that are sent to every task.
+LEAD_BYTES = 16_000_000
 _WORD = re.compile(r"\w+")
 _GOLDEN = np.uint64(0x9E3779B97F4A7C15)
 
@@ -192,7 +194,7 @@ def _verified(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 
     for pairs in batches:
         likeness = [overlap(bag(a, x), bag(b, y)) for a, b, x, y in zip(pairs["a"], pairs["b"], pairs["text_a"], pairs["text_b"], strict=True)]
-        yield pairs[["a", "b"]].assign(similarity=likeness)
+        yield pd.DataFrame({"digest": pairs["a"], "lead": pairs["b"], "similarity": likeness})
 
 
 def _pairs_within(rows: DataFrame, key: list[str]) -> DataFrame:
@@ -213,13 +215,29 @@ def _ordered(x: str, y: str) -> list[Column]:
     return [F.least(x, y).alias("a"), F.greatest(x, y).alias("b")]
 
 
+def _asked(rows: DataFrame) -> DataFrame:
+    """Pairs (a, b, lead) of rows(digest, lead), each once; lead is one of the two."""
+    return rows.select(*_ordered("digest", "lead"), "lead").groupBy("a", "b").agg(F.min("lead").alias("lead"))
+
+
 def _compared(pairs: DataFrame, sig: DataFrame) -> DataFrame:
-    """Pairs (a, b) with the similarity of their shingle multisets, written."""
+    """Pairs (a, b, lead) with the similarity of their shingle multisets, written.
+
+    A pair is dealt out by the text that isn't its leader, and the leaders' texts are sent to every task if they have LEAD_BYTES at most
+    together; so whole texts aren't shuffled once for every pair.
+    """
     need = small(written(pairs.select(F.explode(F.array("a", "b")).alias("digest")).distinct(), "need"))
     texts = written(sig.join(need, "digest", "left_semi").groupBy("digest").agg(F.min("text").alias("text")), "texts")
-    x = texts.select(F.col("digest").alias("a"), F.col("text").alias("text_a"))
-    y = texts.select(F.col("digest").alias("b"), F.col("text").alias("text_b"))
-    return written(pairs.join(y, "b").join(x, "a").mapInPandas(_verified, "a string, b string, similarity double"), "compared")
+    leads = texts.join(pairs.select(F.col("lead").alias("digest")).distinct(), "digest", "left_semi")
+    leads = written(leads.select(F.col("digest").alias("lead"), F.col("text").alias("text_b")), "leads")
+    size = leads.agg(F.count(F.lit(1)).alias("n"), F.sum(F.octet_length("text_b")).alias("bytes")).first()
+    if size["n"] <= BROADCAST_ROWS and (size["bytes"] or 0) <= LEAD_BYTES:
+        leads = F.broadcast(leads)
+    other = F.when(F.col("a") == F.col("lead"), F.col("b")).otherwise(F.col("a"))
+    full = pairs.withColumn("digest", other).join(texts.withColumnRenamed("text", "text_a"), "digest").join(leads, "lead")
+    full = full.select(F.col("digest").alias("a"), F.col("lead").alias("b"), "text_a", "text_b")
+    done = full.mapInPandas(_verified, "digest string, lead string, similarity double")
+    return written(done.select(*_ordered("digest", "lead"), "similarity"), "compared")
 
 
 def _merged(label: DataFrame, found: DataFrame) -> DataFrame:
@@ -258,9 +276,9 @@ def links(sig: DataFrame) -> tuple[DataFrame, DataFrame]:
     score = hits.where(F.col("n") > FEW).groupBy("digest").agg(F.sum("n").alias("score"))
     crowd = written(hits.where(F.col("n") > FEW).join(score, "digest").withColumn("label", F.col("digest")), "crowd")
     lead = written(_leaders(crowd, key, F.lit(0)), "lead")
-    star = crowd.join(lead, key).where("digest != lead").select(*key, "digest", "weight", "score", *_ordered("digest", "lead"))
-    pairs = _pairs_within(hits.where(F.col("n") <= FEW), key).unionByName(star.select("a", "b"))
-    tried = _compared(written(pairs.distinct(), "pairs"), sig)
+    star = crowd.join(lead, key).where("digest != lead").select(*key, "digest", "lead", "weight", "score", *_ordered("digest", "lead"))
+    near = _pairs_within(hits.where(F.col("n") <= FEW), key).select(F.col("a").alias("digest"), F.col("b").alias("lead"))
+    tried = _compared(written(_asked(near.unionByName(star.select("digest", "lead"))), "pairs"), sig)
     found = tried.where(F.col("similarity") >= SIMILAR).select("a", "b")
     label = components(found)
 
@@ -281,7 +299,7 @@ def links(sig: DataFrame) -> tuple[DataFrame, DataFrame]:
         slot = F.pmod(F.xxhash64("label" if turn % 2 == 0 else "digest", F.lit(turn)), F.lit(leaders))
         lead = written(_leaders(own, cell, slot), "lead")
         fits = F.least("weight", "lead_weight") >= SIMILAR * F.greatest("weight", "lead_weight")
-        pairs = own.join(lead, cell).where((F.col("label") != F.col("lead_label")) & fits).select(*_ordered("digest", "lead")).distinct()
+        pairs = _asked(own.join(lead, cell).where((F.col("label") != F.col("lead_label")) & fits))
         pairs = written(pairs.join(tried, ["a", "b"], "left_anti"), "pairs")
         if pairs.limit(1).count():
             more = _compared(pairs, sig)
