@@ -16,3 +16,14 @@ def test_missing_days_reads_all_orders(spark, tmp_path):
     sf = write(spark.createDataFrame(rows, "o_orderkey long, o_custkey long, o_orderdate date, o_orderpriority string"), tmp_path, "orders")
     got = {r["day"] for r in QUERIES["missing_days"](spark, sf).collect()}
     assert got == {"2024-01-04", "2024-01-05", "2024-01-08", "2024-01-09"}
+
+
+def test_duplicate_impact_groups_whole_texts(spark, tmp_path):
+    texts = ["A long beginning, one end", "a long beginning one END", "A long beginning, other end", "Early-Case x", "early case X", "early case X", "alone"]
+    rows = [(40 * i, 1, "user", t) for i, t in enumerate(texts)] + [(1, 1, "user", "A long beginning, one end")]
+    sf = write(spark.createDataFrame(rows, "conv_id long, turn int, role string, text string"), tmp_path, "conversations")
+    got = QUERIES["duplicate_impact"](spark, sf).collect()
+    groups = {(str(r["day"]), r["k"]): (r["variants"], r["n"], r["duplicates_before"], r["duplicates_after"]) for r in got if r["level"] == "group"}
+    assert groups == {("2024-01-01", "a long beginning one end"): (2, 2, 0, 1), ("2024-01-01", "early case x"): (2, 3, 1, 2)}
+    total = [r for r in got if r["level"] == "all"]
+    assert len(total) == 1 and (total[0]["n"], total[0]["duplicates_before"], total[0]["duplicates_after"]) == (8, 1, 3)

@@ -54,9 +54,19 @@ def missing_days(df: DataFrame, day: Column) -> DataFrame:
     return span.join(seen, "day", "left_anti")
 
 
-def duplicate_impact(df: DataFrame, keys: list[str], raw: str) -> DataFrame:
-    """Groups of normalised keys that more than one raw form falls into, and the rows they hold."""
-    return df.groupBy(*keys).agg(F.countDistinct(raw).alias("variants"), F.count(F.lit(1)).alias("n")).where("variants > 1")
+def duplicate_impact(df: DataFrame, keys: list[str], raw: str, day: str) -> DataFrame:
+    """Duplicates by day and text before and after normalising: a row per group of normalised keys that more than one raw form falls into, and a row `level` all.
+
+    `duplicates_before` and `duplicates_after` are the rows that repeat an earlier (day, raw) or (day, keys); a group's keys are functions of its raw
+    forms, so both are sums over groups. A null raw form is no variant, but repeats count. In the row of all, the keys are null and `variants`
+    and `n` are those of all groups.
+    """
+    forms = F.countDistinct(raw)
+    groups = df.groupBy(day, *keys).agg(forms.alias("variants"), F.count(F.lit(1)).alias("n"), F.count_if(F.col(raw).isNull()).alias("_nulls"))
+    groups = groups.select(day, *keys, "variants", "n", (F.col("n") - F.col("variants") - (F.col("_nulls") > 0).cast("long")).alias("duplicates_before"), (F.col("n") - 1).alias("duplicates_after"))
+    sums = [F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in ("variants", "n", "duplicates_before", "duplicates_after")]
+    total = groups.agg(*sums).withColumn("level", F.lit("all"))
+    return groups.where("variants > 1").withColumn("level", F.lit("group")).unionByName(total, allowMissingColumns=True)
 
 
 def text_noise(df: DataFrame, column: str) -> DataFrame:
