@@ -39,11 +39,11 @@ def exact_pairs(candidates: DataFrame, trends: DataFrame, days: int = WINDOW_DAY
     return candidates.where("key != ''").join(trends, "key").where(in_pool(days)).select("candidate_id", "trend_id", F.lit("exact").alias("stage"), F.lit(1.0).alias("score"))
 
 
-def _key_pairs(candidates: DataFrame, trends: DataFrame) -> DataFrame:
-    """Distinct (candidate key, trend key) pairs that share a token outside the stopwords."""
+def _key_pairs(candidates: DataFrame, trends: DataFrame, apart: tuple[str, ...] = tuple(BLOCK_STOPWORDS)) -> DataFrame:
+    """Distinct (candidate key, trend key) pairs that share a token outside the words `apart`, the stopwords."""
     c = candidates.select(F.col("key").alias("ckey")).where("ckey != ''").distinct().select("ckey", F.explode(F.array_distinct(tokens(F.col("ckey")))).alias("token"))
     t = trends.select(F.col("key").alias("tkey")).where("tkey != ''").distinct().select("tkey", F.explode(F.array_distinct(tokens(F.col("tkey")))).alias("token"))
-    return c.where(~F.col("token").isin(*BLOCK_STOPWORDS)).join(t, "token").select("ckey", "tkey").distinct()
+    return c.where(~F.col("token").isin(*apart)).join(t, "token").select("ckey", "tkey").distinct()
 
 
 def _length_pairs(candidates: DataFrame, trends: DataFrame, least: float) -> DataFrame:
@@ -71,9 +71,45 @@ def fuzzy_pairs(candidates: DataFrame, trends: DataFrame, least: float = FUZZY,
     return _to_rows(scored, candidates, trends, "fuzzy", days)
 
 
-def semantic_pairs(candidates: DataFrame, trends: DataFrame, least: float = SEMANTIC, days: int = WINDOW_DAYS) -> DataFrame:
-    scored = _key_pairs(candidates, trends).withColumn("score", semantic_score(F.col("ckey"), F.col("tkey"))).where(F.col("score") >= least)
-    return _to_rows(scored, candidates, trends, "semantic", days)
+def semantic_pairs(candidates: DataFrame, trends: DataFrame, least: float = SEMANTIC, days: int = WINDOW_DAYS, pool: int = SEMANTIC_POOL, most: int = POOL) -> DataFrame:
+    """Pairs with a semantic score of `least` or more among the `pool` trends of a candidate's stage pool that are lexically nearest.
+
+    Without a shared token a score is 0.3 at most, so pairs are found by tokens: by those outside the stopwords for candidates with an index hit, and by
+    stopwords for the others, whose stage pool is the temporal pool (its `most` largest trends for keys of stopwords only).
+    """
+    if least <= 0.3:
+        raise ValueError("pairs without a shared token can score 0.3")
+    blocked = _key_pairs(candidates, trends)
+    open_ = candidates.where("key != ''").join(blocked.select(F.col("ckey").alias("key")).distinct(), "key", "left_anti")
+    keys = blocked.unionByName(_key_pairs(open_, trends, ("",)))
+    scored = keys.withColumn("score", semantic_score(F.col("ckey"), F.col("tkey"))).where(F.col("score") >= least)
+    rows = _to_rows(scored, candidates, trends, "semantic", days)
+    return rows.join(_beyond_pool(rows, candidates, trends, blocked, days, pool, most), ["candidate_id", "trend_id"], "left_anti")
+
+
+def _beyond_pool(rows: DataFrame, candidates: DataFrame, trends: DataFrame, blocked: DataFrame, days: int, pool: int, most: int) -> DataFrame:
+    """(candidate_id, trend_id) of the stage pools that the semantic stage doesn't look at; only for candidates of `rows` whose temporal pool exceeds `pool`.
+
+    A stage pool is cut to 4 * `most` trends by counts and name (to `most` for keys of stopwords only), then to `pool` by ratio, counts and name.
+    """
+    near = trends.select(F.explode(F.sequence(F.date_sub("trend_date", days), F.date_add("trend_date", days))).alias("candidate_date"))
+    sizes = near.groupBy("candidate_date").agg(F.count(F.lit(1)).alias("_near"))
+    total = trends.agg(F.count(F.lit(1)).alias("_all"))
+    size = F.when(F.col("mode") == "date_window", F.col("_near")).otherwise(F.col("_all"))
+    some = candidates.join(rows.select("candidate_id").distinct(), "candidate_id", "left_semi").join(sizes, "candidate_date", "left").crossJoin(F.broadcast(total))
+    wide = some.where(size > pool).select("candidate_id", F.col("key").alias("ckey"), "candidate_date", "mode")
+    named = trends.select("trend_id", F.col("key").alias("tkey"), "trend_date", "counts", "name")
+    hit = blocked.select("ckey").distinct()
+    found = wide.join(blocked, "ckey").join(named, "tkey").where(in_pool(days))
+    others = wide.join(hit, "ckey", "left_anti").join(named, in_pool(days))
+    each = found.unionByName(others)
+    bare = F.size(F.array_except(tokens(F.col("ckey")), F.array(*map(F.lit, BLOCK_STOPWORDS)))) == 0
+    largest = Window.partitionBy("candidate_id").orderBy(F.col("counts").desc_nulls_last(), "name", "trend_id")
+    cut = F.row_number().over(largest) > F.when(bare, most).otherwise(4 * most)
+    each = each.withColumn("_cut", cut)
+    ratios = each.select("ckey", "tkey").distinct().withColumn("_ratio", sequence_ratio("ckey", "tkey"))
+    nearest = Window.partitionBy("candidate_id").orderBy("_cut", F.col("_ratio").desc(), F.col("counts").desc_nulls_last(), "name", "trend_id")
+    return each.join(ratios, ["ckey", "tkey"]).withColumn("_rank", F.row_number().over(nearest)).where(F.col("_cut") | (F.col("_rank") > pool)).select("candidate_id", "trend_id")
 
 
 def _to_rows(scored: DataFrame, candidates: DataFrame, trends: DataFrame, stage: str, days: int) -> DataFrame:
