@@ -27,3 +27,11 @@ def test_duplicate_impact_groups_whole_texts(spark, tmp_path):
     assert groups == {("2024-01-01", "a long beginning one end"): (2, 2, 0, 1), ("2024-01-01", "early case x"): (2, 3, 1, 2)}
     total = [r for r in got if r["level"] == "all"]
     assert len(total) == 1 and (total[0]["n"], total[0]["duplicates_before"], total[0]["duplicates_after"]) == (8, 1, 3)
+
+
+def test_matching_draws_from_whole_texts(spark, tmp_path):
+    late = "nobody expected anything but quiet until small business owners spoke"
+    write(spark.createDataFrame([(1, 1, "user", late), (2, 1, "user", "sunshine")], "conv_id long, turn int, role string, text string"), tmp_path, "conversations")
+    sf = write(spark.createDataFrame([(1, "small business grows"), (2, "sunshine")], "item_id long, text string"), tmp_path, "benchmark")
+    got = {r["uri"]: (r["stage"], r["trend_id"]) for r in QUERIES["best_match_per_post"](spark, sf).collect()}
+    assert got == {1: ("exact", 1), 2: ("exact", 2)}

@@ -84,6 +84,9 @@ def semantic_pairs(candidates: DataFrame, trends: DataFrame, least: float = SEMA
     keys = blocked.unionByName(_key_pairs(open_, trends, ("",)))
     scored = keys.withColumn("score", semantic_score(F.col("ckey"), F.col("tkey"))).where(F.col("score") >= least)
     rows = _to_rows(scored, candidates, trends, "semantic", days)
+    if trends.limit(pool + 1).count() <= pool:
+        return rows
+    rows = rows.persist()
     return rows.join(_beyond_pool(rows, candidates, trends, blocked, days, pool, most), ["candidate_id", "trend_id"], "left_anti")
 
 
@@ -119,11 +122,12 @@ def _to_rows(scored: DataFrame, candidates: DataFrame, trends: DataFrame, stage:
 
 def match(candidates: DataFrame, trends: DataFrame, days: int = WINDOW_DAYS, most: int = POOL) -> DataFrame:
     """All match rows: each candidate's pairs of the first stage that has any, ranked in the stage, with an ambiguity flag; else one unmatched row."""
-    timed = temporal_mode(candidates, trends, days)
+    # The stages read each other's rows several times; what is kept goes to disk where memory doesn't hold it.
+    timed = temporal_mode(candidates, trends, days).persist()
     exact = exact_pairs(timed, trends, days)
     rest = timed.join(exact, "candidate_id", "left_anti")
-    fuzzy = fuzzy_pairs(rest, trends, FUZZY, days)
-    last = rest.join(fuzzy, "candidate_id", "left_anti")
+    fuzzy = fuzzy_pairs(rest, trends, FUZZY, days).persist()
+    last = rest.join(fuzzy, "candidate_id", "left_anti").persist()
     semantic = semantic_pairs(last, trends, SEMANTIC, days)
     found = exact.unionByName(fuzzy).unionByName(semantic).join(trends.select("trend_id", "counts", "name"), "trend_id")
     order = Window.partitionBy("candidate_id").orderBy(F.col("score").desc(), F.col("counts").desc_nulls_last(), "name", "trend_id")

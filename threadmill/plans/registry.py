@@ -141,13 +141,21 @@ def _said_on():
 
 
 def _candidates(spark: SparkSession, sf: str) -> DataFrame:
-    """Dated candidate keys from the conversations' first two words."""
+    """Dated candidate keys from the conversations' first two words, for the two queries whose SQL says so."""
     said = table(spark, sf, "conversations")
     key = T.candidate_phrase(F.array_join(F.slice(F.split("text", " "), 1, 2), " "))["candidate_phrase_alnum"]
     number = F.col("conv_id") * 1000 + F.col("turn")
     return said.select(number.alias("candidate_id"), F.col("conv_id").alias("uri"), key.alias("key"), _said_on().alias("candidate_date"))
 
 
+def _drawn_candidates(spark: SparkSession, sf: str) -> DataFrame:
+    """Dated candidates drawn from the conversations' whole texts, ranked within each turn."""
+    said = table(spark, sf, "conversations").select("conv_id", "turn", _said_on().alias("candidate_date"), T.post_text(F.col("text")).alias("p"))
+    posts = said.select(F.struct("conv_id", "turn", "candidate_date").alias("uri"), "p.post_text_clean", "p.post_text_alnum")
+    number = (F.col("uri.conv_id") * 1000 + F.col("uri.turn")) * 100 + F.col("candidate_rank_in_post")
+    return candidates.generate(posts).select(number.alias("candidate_id"), F.col("uri.conv_id").alias("uri"), F.col("candidate_phrase_alnum").alias("key"), F.col("uri.candidate_date").alias("candidate_date"))
+
+
 def _keyed_trends(spark: SparkSession, sf: str) -> DataFrame:
     return _trends(spark, sf).withColumn("key", T.trend_name(F.col("name"))["normalized_key_no_hash"])
 
@@ -175,17 +183,17 @@ def exact_match(spark: SparkSession, sf: str) -> DataFrame:
 
 @query()
 def staged_match(spark: SparkSession, sf: str) -> DataFrame:
-    return matching.match(_candidates(spark, sf), _keyed_trends(spark, sf)).select("candidate_id", "uri", "stage", "trend_id", "score", "stage_rank", "is_matched", "is_ambiguous")
+    return matching.match(_drawn_candidates(spark, sf), _keyed_trends(spark, sf)).select("candidate_id", "uri", "stage", "trend_id", "score", "stage_rank", "is_matched", "is_ambiguous")
 
 
 @query()
 def best_match_per_post(spark: SparkSession, sf: str) -> DataFrame:
-    return matching.best_per_post(matching.match(_candidates(spark, sf), _keyed_trends(spark, sf))).select("uri", "candidate_id", "stage", "trend_id", "score")
+    return matching.best_per_post(matching.match(_drawn_candidates(spark, sf), _keyed_trends(spark, sf))).select("uri", "candidate_id", "stage", "trend_id", "score")
 
 
 @query()
 def candidate_match_counts(spark: SparkSession, sf: str) -> DataFrame:
-    return features.candidate_counts(matching.match(_candidates(spark, sf), _keyed_trends(spark, sf)))
+    return features.candidate_counts(matching.match(_drawn_candidates(spark, sf), _keyed_trends(spark, sf)))
 
 
 # Features
