@@ -35,3 +35,12 @@ def test_matching_draws_from_whole_texts(spark, tmp_path):
     sf = write(spark.createDataFrame([(1, "small business grows"), (2, "sunshine")], "item_id long, text string"), tmp_path, "benchmark")
     got = {r["uri"]: (r["stage"], r["trend_id"]) for r in QUERIES["best_match_per_post"](spark, sf).collect()}
     assert got == {1: ("exact", 1), 2: ("exact", 2)}
+
+
+def test_models_use_every_component(spark, tmp_path):
+    # The label shows in components 8 to 15 only.
+    rows = [(i, i % 3, [float((i * 7 + j) % 5) if j < 8 else float(i % 3) + ((i * 13 + j * 5) % 11 - 5) / 50 for j in range(16)]) for i in range(120)]
+    sf = write(spark.createDataFrame(rows, "vec_id long, label int, embedding array<float>"), tmp_path, "embeddings")
+    for name in ("softmax_model", "stump_model"):
+        got = QUERIES[name](spark, sf).collect()
+        assert len(got) == 36 and all(str(int(r["prediction"])) == r["label"] for r in got), name

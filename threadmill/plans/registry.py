@@ -463,17 +463,19 @@ def balanced_resample(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def _model(spark: SparkSession, sf: str, kind) -> DataFrame:
-    base = table(spark, sf, "embeddings").select("vec_id", F.col("label").cast("string").alias("label"), *[F.col("embedding")[i].cast("double").alias(f"x{i}") for i in range(8)])
+    vectors = table(spark, sf, "embeddings")
+    names = [f"x{i}" for i in range(vectors.agg(F.max(F.size("embedding"))).first()[0])]
+    base = vectors.select("vec_id", F.col("label").cast("string").alias("label"), *[F.col("embedding")[i].cast("double").alias(x) for i, x in enumerate(names)])
     split = models.stratified_split(base, "label", "vec_id")
-    fitted = kind([f"x{i}" for i in range(8)], "label").fit(split.where("split = 'train'"))
+    fitted = kind(names, "label").fit(split.where("split = 'train'"))
     return fitted.transform(split.where("split = 'test'")).select("vec_id", "label", "prediction")
 
 
 @query()
 def softmax_model(spark: SparkSession, sf: str) -> DataFrame:
-    return _model(spark, sf, lambda x, y: models.softmax_regression(x, y, iterations=50))
+    return _model(spark, sf, models.softmax_regression)
 
 
 @query()
 def stump_model(spark: SparkSession, sf: str) -> DataFrame:
-    return _model(spark, sf, lambda x, y: models.bagged_stumps(x, y, trees=20))
+    return _model(spark, sf, models.bagged_stumps)
