@@ -45,6 +45,27 @@ KNOWN = (
     ("GPL-3.0-notice", "This work is licensed under the GNU General Public License, version 3."),
 )
 
+# Whole texts that the SQL's list lacks, as canonical digests of the published texts; those that end in instructions also without them.
+DIGESTS = (
+    ("Apache-2.0", "ff7be961361eda3cd2a76927dd0d9482cf45defafde2045befedf77400d98100"),
+    ("Apache-2.0", "e9dbf930ca0f1e090ec68da9a37b657d11bc9e43b30643455d6a96dbf73116ca"),
+    ("GPL-2.0", "9405dc2ae3fe08dea519d5874a1a44bb05d513336aed49976b5030bd5b8f27f6"),
+    ("GPL-2.0", "41ba7b30f66484c3c9496407451675398b15ceaf26ae3739656f1e67a76307a3"),
+    ("GPL-3.0", "1d0e7e346a64e5a57232a9fbb953744c9272a4f97823baaab065df792fcefb24"),
+    ("GPL-3.0", "4656e9bb10355428e7f78abc1428ebcfbc9335e37d74fa0058fcd9eeed9a4cfe"),
+    ("LGPL-2.0", "6d450d1ebaa20ebfaf4db3349aea4f6d20fed294c7a11fa809c0934df11790aa"),
+    ("LGPL-2.0", "43056e963ed1b927908f558dfcf4f812f56c6be4630e8da88aa9bfc1660f6d09"),
+    ("LGPL-2.1", "c50d1dab612965648634f79bbc0a4de520f387ff588eaccddc9a4989710ed9d0"),
+    ("LGPL-2.1", "045e8054a0e84e3386fa254424f91424346ad391f2936e3a21e6324a50414391"),
+    ("LGPL-3.0", "aae2b222477171fb64e298e7965e768a9a6f85320646b266c94399ac029d42be"),
+    ("MPL-1.1", "1cfb6cca26abe2169c9c61164807107b2d4a0b64955a2cf2de46fad3483acda1"),
+    ("MPL-2.0", "95f6a0d094cf3da6a140310541c7b576789031b600469b70877b34f97918e4c9"),
+    ("CC0-1.0", "96bdc7f63190fb4bd1ae584b890300ed7517d858b34c945642a3b9b2f1612a5f"),
+)
+WHOLE = (
+    ("Unlicense", "This is free and unencumbered software released into the public domain.\n\nAnyone is free to copy, modify, publish, use, compile, sell, or distribute this software, either in source code form or as a compiled binary, for any purpose, commercial or non-commercial, and by any means.\n\nIn jurisdictions that recognize copyright laws, the author or authors of this software dedicate any and all copyright interest in the software to the public domain. We make this dedication for the benefit of the public at large and to the detriment of our heirs and successors. We intend this dedication to be an overt act of relinquishment in perpetuity of all present and future rights to this software under copyright law.\n\nTHE SOFTWARE IS PROVIDED \"AS IS\", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF MERCHANTABILITY, FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT. IN NO EVENT SHALL THE AUTHORS BE LIABLE FOR ANY CLAIM, DAMAGES OR OTHER LIABILITY, WHETHER IN AN ACTION OF CONTRACT, TORT OR OTHERWISE, ARISING FROM, OUT OF OR IN CONNECTION WITH THE SOFTWARE OR THE USE OR OTHER DEALINGS IN THE SOFTWARE.\n\nFor more information, please refer to <https://unlicense.org>"),
+)
+
 #: A line that is a copyright line, or "all rights reserved", whatever stands before it as a comment mark.
 COPYRIGHT = r"(?imd)^[^\p{L}\p{N}\n]*(copyright\b[^\n]*|\(c\)[ \t][^\n]*|©[^\n]*|all rights reserved[^\n]*)$"
 COPYRIGHT_SQL = r"(?im)^[^\p{L}\p{N}\n]*(copyright\b[^\n]*|\(c\)[ \t][^\n]*|©[^\n]*|all rights reserved[^\n]*)$"
@@ -63,8 +84,9 @@ def canonical(text: Column) -> Column:
 
 def known_licences(spark: SparkSession, known: tuple[tuple[str, str], ...] = KNOWN) -> DataFrame:
     """(license_digest, license_id) of the known texts; its size is that of the fixed list."""
-    texts = spark.createDataFrame(list(known), "license_id string, text string")
-    return texts.groupBy(F.sha2(canonical(F.col("text")), 256).alias("license_digest")).agg(F.min("license_id").alias("license_id"))
+    texts = spark.createDataFrame([*known, *WHOLE], "license_id string, text string").select(F.sha2(canonical(F.col("text")), 256).alias("license_digest"), "license_id")
+    listed = spark.createDataFrame(list(DIGESTS), "license_id string, license_digest string")
+    return texts.unionByName(listed).groupBy("license_digest").agg(F.min("license_id").alias("license_id"))
 
 
 def scan_licences(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", known: tuple[tuple[str, str], ...] = KNOWN) -> DataFrame:
