@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from .frames import new_path, small, text_of, written
 
-#: Bytes of a payload that are in memory at once, and characters of it that a row of the chunk table holds.
+#: Bytes of a payload that are read or encoded at once, and characters of it that a row of the chunk table holds. The writer gets whole payloads.
 CHUNK = 1 << 18
 #: Equal payloads of at least so many bytes are archived once.
 REVISIT_BYTES = 1000
