@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
@@ -12,14 +13,18 @@ BROADCAST_ROWS = 200_000
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share: spark.checkpoint.dir, or a new one where that is unset (tests)."""
-    got = spark.conf.get("spark.checkpoint.dir", None)
+    """The folder that driver and executors share: spark.checkpoint.dir, or what SparkContext.setCheckpointDir was given.
+
+    Where neither is set, a session on one machine gets a new folder of its own (tests); on a cluster that is an error, as executors wouldn't share it.
+    """
+    got = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not got:
-        held = spark.sparkContext.getCheckpointDir()
-        if held is None:
-            held = "file://" + tempfile.mkdtemp(prefix="threadmill-")
-            spark.sparkContext.setCheckpointDir(held)
-        got = held
+        if spark.sparkContext.master.partition("[")[0] != "local":
+            raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
+        import tempfile
+
+        got = "file://" + tempfile.mkdtemp(prefix="threadmill-")
+        spark.sparkContext.setCheckpointDir(got)
     return got.rstrip("/")
 
 
@@ -39,6 +44,28 @@ def written(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def drop_table(df: DataFrame) -> None:
+    """Deletes the files of a written table that nothing reads any more."""
+    spark = df.sparkSession
+    for path in {name.rpartition("/")[0] for name in df.inputFiles()}:
+        at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+        at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(at, True)
+
+
+@contextmanager
+def small_batches(spark: SparkSession, rows: int = 1000, size: int = 8_000_000) -> Iterator[None]:
+    """Python workers get at most so many rows and bytes at once in jobs that run while this holds; whole texts are in them."""
+    wanted = {"spark.sql.execution.arrow.maxRecordsPerBatch": str(rows), "spark.sql.execution.arrow.maxBytesPerBatch": str(size)}
+    before = {name: spark.conf.get(name) for name in wanted}
+    for name, value in wanted.items():
+        spark.conf.set(name, value)
+    try:
+        yield
+    finally:
+        for name, value in before.items():
+            spark.conf.set(name, value)
+
+
 def small(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
     """A written table, with a broadcast hint if it has no more than `rows` rows; else Spark joins it by shuffle."""
     return F.broadcast(df) if df.limit(rows + 1).count() <= rows else df

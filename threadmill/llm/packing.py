@@ -4,32 +4,41 @@ from __future__ import annotations
 
 import os
 import zlib
-from array import array
 from collections.abc import Iterator
+from itertools import compress, repeat, takewhile
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window, functions as F
 
-from .frames import text_of, written
+from .frames import small_batches, text_of, written
 
 CAPACITY = 2048
 TOKENIZER = "word_bpe_49k.json"
 END_ID = 0
-#: Pieces of one length are numbered within so many groups side by side.
-RANK_GROUPS = 64
-#: Distinct text chunks a worker remembers the ids of.
-MEMORY = 1_000_000
+#: Pieces of one length are numbered in groups side by side: so many groups in all at most, besides one a length, and rows that a group has at least.
+RANK_GROUPS, GROUP_ROWS = 16_384, 256
+#: Words a worker remembers the ids of (and sixteen times as many ids), and bytes of text that are split at once.
+MEMORY, SLICE_BYTES = 250_000, 4_000_000
+OUT = ("piece", "start", "length", "ids_crc32", "sequence_id", "offset")
 PIECE_SCHEMA = "piece int, start long, length long, ids_crc32 long"
 
+# Letters that the vocabulary's normaliser turns into letters only, one by one.
+LETTERS = "a-zÀ-ÖØ-öø-įı-ſА-яЁё"
+#: What ends in a plain letter or digit and then marks (those of ASCII): the marks are a word of their own.
+MARKS = "!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~"
+CLOSED = f"[{LETTERS}0-9][[:punct:]]+$"
+PLAIN = f"^[{LETTERS}]+$"
+#: Special tokens are found before a text is split; these control characters split words here but not there.
+WHOLE = "<\\||[\x1c-\x1f]"
 
-class ChunkIds(dict):
-    """Ids of a chunk between white space, as little-endian unsigned 32-bit bytes.
 
-    The vocabulary's word pattern never crosses white space, so a text's ids are its chunks' ids joined. Chunks that
-    weren't seen are encoded many at a time; a chunk in ASCII capitals has the ids of its lower case, and
-    closing marks after a letter or digit are a word of their own. What is remembered has two generations: chunks that
-    weren't used while the younger one filled are forgotten.
+class WordIds:
+    """Ids of words, remembered up to MEMORY words; those that few batches used are forgotten first.
+
+    The vocabulary's word pattern never crosses white space, so a text's ids are those of its chunks between white space, joined. A batch of
+    texts is split and its distinct chunks found in Arrow's own code; only those that aren't remembered reach the tokenizer, words of plain letters many at a time.
     """
 
     def __init__(self, path: str) -> None:
@@ -41,57 +50,90 @@ class ChunkIds(dict):
         self.ends = np.zeros(max(vocabulary.values()) + 1, dtype=bool)
         for token, number in vocabulary.items():
             self.ends[number] = token.endswith("</w>")
-        self.older: dict[str, bytes] = {}
-
-    def __missing__(self, chunk: str) -> bytes:
-        got = self[chunk] = self.older[chunk]
-        return got
-
-    @staticmethod
-    def parts(chunk: str) -> tuple[str, str]:
-        low = chunk.lower() if chunk.isascii() else chunk
-        core = low.rstrip(".,;:!?")
-        return (core, low[len(core) :]) if core and core[-1].isalnum() else (low, "")
+        self.place: dict[str, int] = {}
+        self.flat = np.zeros(0, dtype=np.uint32)
+        self.first, self.count, self.used = (np.zeros(0, dtype=np.int64) for _ in range(3))
 
-    def encode(self, texts: list[str]) -> list[bytes]:
-        return [array("I", e.ids).tobytes() for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+    def encode(self, texts: list[str]) -> list[list[int]]:
+        return [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
-    def encode_words(self, words: list[str]) -> list[bytes]:
-        """Of words of letters only, encoded as one text; their last ids are word ends."""
-        ids = np.array(self.encode_joined(words), dtype="<u4")
+    def encode_plain(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of words of plain letters, encoded as one text, and how many each word has: its last id is a word's end."""
+        ids = np.array(self.encode([" ".join(words)])[0], dtype=np.uint32)
         stops = np.flatnonzero(self.ends[ids]) + 1
         if len(stops) != len(words):
-            return self.encode(words)
-        data, cuts = ids.tobytes(), [0, *(4 * stops).tolist()]
-        return [data[a:b] for a, b in zip(cuts, cuts[1:], strict=False)]
-
-    def encode_joined(self, words: list[str]) -> list[int]:
-        return self.tokenizer.encode_batch_fast([" ".join(words)], add_special_tokens=False)[0].ids
-
-    def learn(self, chunks: set[str]) -> None:
-        if len(self) > MEMORY:
-            self.older = dict(self)
-            self.clear()
-        older = self.older
-        split = {c: self.parts(c) for c in chunks if c not in self and c not in older}
-        need = {y for two in split.values() for y in two if y and y not in self and y not in older}
-        words = [x for x in need if x.isalpha() and x.lower().isalpha()]
-        for first in range(0, len(words), 4096):
-            own = words[first : first + 4096]
-            self.update(zip(own, self.encode_words(own), strict=True))
-        others = list(need.difference(words))
-        self.update(zip(others, self.encode(others), strict=True))
-        for chunk, (core, tail) in split.items():
-            self[chunk] = self[core] + (self[tail] if tail else b"")
-
-    def of(self, text: str, chunks: list[str]) -> bytes:
-        # Special tokens are found before the text is split; a few control characters split here but not there.
-        if "<|" in text or any(c in text for c in "\x1c\x1d\x1e\x1f"):
-            return self.encode([text])[0]
-        return b"".join(map(self.__getitem__, chunks))
-
-
-_known: dict[str, ChunkIds] = {}
+            raise ValueError("the vocabulary doesn't end each word once")
+        return ids, np.diff(stops, prepend=0)
+
+    def forget(self) -> None:
+        """Keeps the half of the words that most batches used, later ones first; older uses count half from now on."""
+        keep = np.zeros(len(self.first), dtype=bool)
+        keep[np.lexsort((-np.arange(len(self.used)), -self.used))[: MEMORY // 2]] = True
+        self.place = dict(zip(compress(self.place, keep), range(MEMORY), strict=False))
+        self.flat = self.flat[np.repeat(keep, self.count)]
+        self.count, self.used = self.count[keep], self.used[keep] // 2
+        self.first = np.cumsum(self.count) - self.count
+
+    def learn(self, words: list[str], plain: int) -> None:
+        """Appends words that aren't known; the first `plain` of them are of plain letters."""
+        flat, counts = [self.flat], [self.count]
+        for at in range(0, plain, 4096):
+            ids, n = self.encode_plain(words[at : min(at + 4096, plain)])
+            flat.append(ids), counts.append(n)
+        for at in range(plain, len(words), 4096):
+            got = self.encode(words[at : at + 4096])
+            flat.append(np.fromiter((i for x in got for i in x), dtype=np.uint32)), counts.append(np.array([len(x) for x in got], dtype=np.int64))
+        self.place.update(zip(words, range(len(self.count), len(self.count) + len(words)), strict=True))
+        self.flat, self.count = np.concatenate(flat), np.concatenate(counts)
+        self.used = np.concatenate([self.used, np.zeros(len(words), dtype=np.int64)])
+        self.first = np.cumsum(self.count) - self.count
+
+    def places(self, words: pa.Array) -> np.ndarray:
+        """Where the ids of each of the distinct words begin in the memory."""
+        names = words.to_pylist()
+        got = np.fromiter(map(self.place.get, names, repeat(-1)), dtype=np.int64, count=len(names))
+        new = np.flatnonzero(got < 0)
+        if len(new):
+            plain = pc.match_substring_regex(words.take(pa.array(new)), PLAIN).to_numpy(zero_copy_only=False)
+            new = np.concatenate([new[plain], new[~plain]])
+            got[new] = len(self.count) + np.arange(len(new))
+            self.learn([names[i] for i in new], int(plain.sum()))
+        self.used[got] += 1
+        return got
+
+    def of(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of all texts, joined, and how many each text has."""
+        whole = pc.match_substring_regex(texts, WHOLE).to_numpy(zero_copy_only=False)
+        special = {int(i): np.array(x, dtype=np.uint32) for i, x in zip(np.flatnonzero(whole), self.encode(texts.filter(pa.array(whole)).to_pylist()), strict=True)}
+        lists = pc.utf8_split_whitespace(pc.if_else(pa.array(whole), "", texts))
+        chunks = lists.flatten()
+        # Blanks at the ends of a text give empty chunks, which have no ids.
+        distinct = chunks.dictionary_encode()
+        low = pc.ascii_lower(distinct.dictionary)
+        core = pc.if_else(pc.match_substring_regex(low, CLOSED), pc.utf8_rtrim(low, MARKS), low)
+        tail = pc.if_else(pc.equal(core, low), "", pc.replace_substring_regex(low, r"(?s)^.*?([[:punct:]]+)$", r"\1"))
+        words = pa.concat_arrays([core, tail]).dictionary_encode()
+        at = self.places(words.dictionary)
+        pairs = at[words.indices.to_numpy()].reshape(2, -1).T  # core and tail of each distinct chunk
+        stream = pairs[distinct.indices.to_numpy()].ravel()
+        counts = self.count[stream]
+        ids = self.flat[np.repeat(self.first[stream] - (np.cumsum(counts) - counts), counts) + np.arange(int(counts.sum()))]
+        ends = np.concatenate([[0], np.cumsum(counts)])[2 * lists.offsets.to_numpy()]
+        sizes = np.diff(ends)
+        if special:
+            parts = np.split(ids, ends[1:-1])
+            for i, x in special.items():
+                parts[i], sizes[i] = x, len(x)
+            ids = np.concatenate(parts)
+        # No word of this batch is needed any more, so what is remembered can be cut back.
+        if len(self.flat) > 16 * MEMORY:
+            self.place, self.flat, self.first, self.count, self.used = {}, self.flat[:0], self.first[:0], self.count[:0], self.used[:0]
+        elif len(self.place) > MEMORY:
+            self.forget()
+        return ids, sizes
+
+
+_known: dict[str, WordIds] = {}
 
 
 def tokenizer_path(name: str = TOKENIZER) -> str:
@@ -100,37 +142,52 @@ def tokenizer_path(name: str = TOKENIZER) -> str:
     return public_tokenizers.path(name)
 
 
-def cut_pieces(texts: list[str], ids: ChunkIds, capacity: int, end: bytes) -> Iterator[list[tuple[int, int, int, int]]]:
-    """Per text its pieces (piece, start, length, crc32 of the ids), of `capacity` ids but for the last."""
-    for first in range(0, len(texts), 512):
-        group = texts[first : first + 512]
-        split = [t.split() for t in group]
-        ids.learn(set().union(*split))
-        for text, chunks in zip(group, split, strict=True):
-            data = ids.of(text, chunks) + end
-            yield [
-                (k, at // 4, len(data[at : at + 4 * capacity]) // 4, zlib.crc32(data[at : at + 4 * capacity]))
-                for k, at in enumerate(range(0, len(data), 4 * capacity))
-            ]
+def slices(texts: pa.Array, most: int = SLICE_BYTES) -> Iterator[tuple[int, int]]:
+    """Runs of texts (first, last + 1) of at most `most` bytes, or of one longer text."""
+    size = np.cumsum(pc.binary_length(texts).to_numpy(zero_copy_only=False)) if len(texts) else np.zeros(0)
+    first = 0
+    while first < len(texts):
+        done = size[first - 1] if first else 0
+        last = max(first + 1, int(np.searchsorted(size, done + most, side="right")))
+        yield first, last
+        first = last
+
+
+def cut_pieces(ids: np.ndarray, sizes: np.ndarray, capacity: int, end: int) -> tuple[np.ndarray, ...]:
+    """Per text its pieces of `capacity` ids but for the last: text, piece, start, length, crc32 of the ids with the end id."""
+    sizes = sizes + 1
+    whole = np.insert(ids, np.cumsum(sizes - 1), end).astype("<u4")
+    many = -(-sizes // capacity)
+    text = np.repeat(np.arange(len(sizes)), many)
+    piece = np.arange(len(text)) - np.repeat(np.cumsum(many) - many, many)
+    start = piece * capacity
+    length = np.minimum(capacity, sizes[text] - start)
+    at = (np.cumsum(sizes) - sizes)[text] + start
+    data = memoryview(whole).cast("B")
+    crc = np.fromiter((zlib.crc32(data[4 * a : 4 * (a + n)]) for a, n in zip(at.tolist(), length.tolist(), strict=True)), dtype=np.int64, count=len(at))
+    return text, piece.astype(np.int32), start, length, crc
 
 
 def token_pieces(df: DataFrame, id_col: str, text_col: str, capacity: int = CAPACITY, tokenizer: str | None = None) -> DataFrame:
-    """A row per piece: df's id, piece, start, length, ids_crc32. A null text is empty: its one id is the end id."""
+    """A row per piece: ident, piece, start, length, ids_crc32. A null text is empty: its one id is the end id.
+
+    What is known of letters and closing marks holds for the vocabulary of TOKENIZER; another file must have its normaliser and word pattern.
+    """
     path = tokenizer or tokenizer_path()
     kind = df.schema[id_col].dataType.simpleString()
-    end = np.array([END_ID], dtype="<u4").tobytes()
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         if path not in _known:
-            _known[path] = ChunkIds(path)
+            _known[path] = WordIds(path)
         for batch in batches:
-            many = list(cut_pieces(batch["text"].tolist(), _known[path], capacity, end))
-            table = pd.DataFrame([x for rows in many for x in rows], columns=["piece", "start", "length", "ids_crc32"])
-            table.insert(0, "ident", batch["ident"].repeat([len(rows) for rows in many]).to_numpy())
-            yield table
+            texts = batch.column("text")
+            for first, last in slices(texts):
+                text, *columns = cut_pieces(*_known[path].of(texts.slice(first, last - first)), capacity, END_ID)
+                own = batch.column("ident").slice(first, last - first).take(pa.array(text))
+                yield pa.RecordBatch.from_arrays([own, *map(pa.array, columns)], names=["ident", "piece", "start", "length", "ids_crc32"])
 
     slim = df.select(F.col(f"`{id_col}`").alias("ident"), text_of(text_col).alias("text"))
-    return slim.mapInPandas(run, f"ident {kind}, {PIECE_SCHEMA}")
+    return slim.mapInArrow(run, f"ident {kind}, {PIECE_SCHEMA}")
 
 
 def nnls(columns: np.ndarray, uses: np.ndarray, goal: np.ndarray, sweeps: int = 60) -> np.ndarray:
@@ -262,28 +319,36 @@ def pack(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", capacity
     least squares, rounded, and the rest packed by best fit. Pieces of one length are interchangeable, so
     each is numbered among its length, in groups side by side, and its number gives sequence and offset.
 
-    Null and empty texts are one id. Null and repeated ids are kept as they are: every row is packed. An
+    Null and empty texts are one id. Null and repeated ids are kept as they are: every row is packed. A very long text is cut
+    into as many pieces as it needs. Other columns of df aren't carried; an id column that is named like one of the result's comes back with "_id" added. An
     empty table gives an empty table.
     """
     spark = df.sparkSession
-    pieces = written(token_pieces(df, id_col, text_col, capacity, tokenizer), "pieces")
-    group = F.pmod(F.xxhash64("ident", "piece", "ids_crc32"), F.lit(RANK_GROUPS))
-    tally = pieces.groupBy("length", group.alias("group")).agg(F.count(F.lit(1)).alias("n"))
-    counted = tally.collect()  # capacity * RANK_GROUPS rows at most
-    table = np.zeros((capacity + 1, RANK_GROUPS), dtype=np.int64)
-    for r in counted:
-        table[r["length"], r["group"]] = r["n"]
-    counts = table.sum(axis=1)
-    before = table.cumsum(axis=1) - table
-    # A group's ranks run from `before`; split the slots where groups meet, so that each slot row is for one group.
+    with small_batches(spark):
+        pieces = written(token_pieces(df, id_col, text_col, capacity, tokenizer), "pieces")
+    counts = np.zeros(capacity + 1, dtype=np.int64)
+    for r in pieces.groupBy("length").agg(F.count(F.lit(1)).alias("n")).collect():  # `capacity` rows at most
+        counts[r["length"]] = r["n"]
+    share = max(GROUP_ROWS, -(-int(counts.sum()) // RANK_GROUPS))
+    many = np.maximum(1, -(-counts // share))
+    groups = F.element_at(F.array(*[F.lit(int(n)) for n in many]), (F.col("length") + 1).cast("int"))
+    group = F.pmod(F.xxhash64("ident", "piece", "ids_crc32"), groups).cast("long")
+    table: dict[int, dict[int, int]] = {}
+    for r in pieces.groupBy("length", group.alias("group")).agg(F.count(F.lit(1)).alias("n")).collect():  # RANK_GROUPS + capacity rows at most
+        table.setdefault(r["length"], {})[r["group"]] = r["n"]
+    # A group's ranks run from the sum of those before it; split the slots where groups meet, so that each slot row is for one group.
     rows = []
     at: dict[int, list[tuple[int, int, int, int]]] = {}
     for length, first, end, base, offset in slots(plan_patterns(counts, capacity)):
         at.setdefault(length, []).append((first, end, base, offset))
     for length, own in at.items():
-        for g in np.flatnonzero(table[length]):
-            low, high = int(before[length, g]), int(before[length, g] + table[length, g])
-            rows += [(length, int(g), max(a, low) - low, min(b, high) - low, s + max(a, low) - a, o) for a, b, s, o in own if a < high and b > low]
+        high, k = 0, 0
+        for g, n in sorted(table[length].items()):
+            low, high = high, high + n
+            while k < len(own) and own[k][1] <= low:
+                k += 1
+            for a, b, s, o in takewhile(lambda x: x[0] < high, own[k:]):
+                rows.append((length, g, max(a, low) - low, min(b, high) - low, s + max(a, low) - a, o))
     plan = spark.createDataFrame(rows, "length long, group long, low long, high long, base long, at long")
     order = Window.partitionBy("length", "group").orderBy(F.col("ident").asc_nulls_last(), "piece", "ids_crc32", "start")
     ranked = pieces.withColumn("group", group).withColumn("rank", F.row_number().over(order) - 1)
@@ -297,7 +362,7 @@ def pack(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", capacity
         merged.withColumn("slot", slot)
         .where(F.col("kind") == 1)
         .select(
-            F.col("ident").alias(id_col),
+            F.col("ident").alias(f"{id_col}_id" if id_col.lower() in OUT else id_col),
             "piece",
             "start",
             "length",
