@@ -52,6 +52,20 @@ def drop_table(df: DataFrame) -> None:
         at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(at, True)
 
 
+def release_memory() -> None:
+    """Gives memory that a Python worker has freed back to the system: workers stay for later tasks."""
+    import ctypes
+    import gc
+
+    import pyarrow as pa
+
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim:
+        trim(0)
+
+
 @contextmanager
 def small_batches(spark: SparkSession, rows: int = 1000, size: int = 8_000_000) -> Iterator[None]:
     """Python workers get at most so many rows and bytes at once in jobs that run while this holds; whole texts are in them."""

@@ -6,30 +6,23 @@ import hashlib
 import re
 from collections import OrderedDict
 from collections.abc import Iterator
-from contextlib import contextmanager
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
-from .frames import BROADCAST_ROWS, fresh, small, text_of, written
+from .frames import drop_table, fresh, release_memory, small, small_batches, text_of, written
 
 SHINGLE = 5
 SIMILAR = 0.8
 #: 32 bands of 5 registers: two texts of similarity 0.8 share no band with a chance of 3 in a million.
 BANDS, ROWS = 32, 5
-#: Up to so many texts in a bucket are compared with one another; larger buckets are worked off leader by leader.
-FEW = 16
-#: Leaders of a large bucket's cell in its first round, and by how much each round has more.
-LEADERS, MORE = 1, 4
-#: Width of a cell of distances: above 1 - SIMILAR by far more than a rounding error.
-WIDTH = 1 - SIMILAR + 1e-6
-#: Rows that a Python worker gets at once, and distinct shingles that are signed together.
-BATCH_ROWS, BATCH_SHINGLES = 1000, 60_000
-#: Distinct shingles of texts just compared that a Python worker remembers (16 bytes each).
-HELD_SHINGLES = 1_000_000
-#: Bytes of leaders' texts that are sent to every task.
-LEAD_BYTES = 16_000_000
+#: Texts, and shingles, of a block: what one group of comparisons takes of each of its two sides, about.
+BLOCK_TEXTS, BLOCK_SHINGLES = 512, 400_000
+#: Texts of one class in a bucket from which on they have blocks of their own, which aren't compared with one another.
+BIG = 64
+#: Distinct shingles that are signed together, and shingles of texts just compared that a worker remembers (8 bytes each).
+BATCH_SHINGLES, HELD_SHINGLES = 60_000, 1_000_000
 _WORD = re.compile(r"\w+")
 _GOLDEN = np.uint64(0x9E3779B97F4A7C15)
 
@@ -141,15 +134,23 @@ def signatures(bags: list[tuple[np.ndarray, np.ndarray]], registers: int = BANDS
 
 
 def band_keys(signature: np.ndarray, bands: int = BANDS, rows: int = ROWS) -> np.ndarray:
-    keys = np.zeros((len(signature), bands), dtype=np.uint64)
+    """A key for each band of each signature; keys of different bands differ."""
+    keys = np.zeros((len(signature), bands), dtype=np.uint64) + np.arange(bands, dtype=np.uint64)
     for r in range(rows):
         keys = stir(keys * _GOLDEN + signature[:, r::rows][:, :bands])
     return keys.view(np.int64)
 
 
+def elements(bag: tuple[np.ndarray, np.ndarray]) -> np.ndarray:
+    """A multiset as a set: the i-th copy of a shingle is an element of its own, so shared elements are the sum of the smaller counts."""
+    keys, counts = bag
+    rank = (np.arange(int(counts.sum())) - np.repeat(np.cumsum(counts) - counts, counts)).astype(np.uint64)
+    return np.where(rank > 0, stir(np.repeat(keys, counts) + rank * _GOLDEN), np.repeat(keys, counts))
+
+
 def _signed(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
     for texts in batches:
-        digest: list[str | None] = [None] * len(texts)
+        digest = np.zeros((len(texts), 2), dtype=np.int64)
         weight = np.zeros(len(texts), dtype=np.int64)
         bands: list = [None] * len(texts)
         held: list[tuple[int, tuple[np.ndarray, np.ndarray]]] = []
@@ -165,7 +166,7 @@ def _signed(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
             bag = shingles(texts.iat[i])
             if not len(bag[0]):
                 continue
-            digest[i] = hashlib.blake2b(bag[0].tobytes() + bag[1].tobytes(), digest_size=16).hexdigest()
+            digest[i] = np.frombuffer(hashlib.blake2b(bag[0].tobytes() + bag[1].tobytes(), digest_size=16).digest(), dtype="<i8")
             weight[i] = bag[1].sum()
             held.append((i, bag))
             size += len(bag[0])
@@ -174,142 +175,165 @@ def _signed(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
                 held, size = [], 0
         if held:
             flush()
-        yield pd.DataFrame({"digest": digest, "weight": weight, "bands": bands})
+        yield pd.DataFrame({"d1": digest[:, 0], "d2": digest[:, 1], "weight": weight, "bands": bands})
+    _keys.clear()
+    release_memory()
+
 
+def joined(first: list[np.ndarray], second: list[np.ndarray] | None, class_of: list[int]) -> list[tuple[int, int]]:
+    """Pairs of places, first and then second, that link texts of different classes and that no links so far have joined.
 
-def _verified(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    kept: OrderedDict[str, tuple] = OrderedDict()
+    Texts are sets of elements. Each of `first` is compared with each of `second`, or, where that is None, with those of `first` before it.
+    """
+    every = first + (second or [])
+    size = np.array([len(x) for x in every])
+    _, at = np.unique(np.concatenate(every), return_inverse=True)
+    starts = np.concatenate([[0], np.cumsum(size)])
+    mark = np.zeros(int(at.max()) + 1, dtype=np.int32)
+    up: dict[int, int] = {}
+
+    def top(c: int) -> int:
+        while c in up:
+            c = up[c]
+        return c
+
+    found = []
+    for i in range(len(first)):
+        low, high = (len(first), len(every)) if second is not None else (0, i)
+        if low == high:
+            continue
+        own = at[starts[i] : starts[i + 1]]
+        mark[own] = 1
+        both = np.add.reduceat(mark[at[starts[low] : starts[high]]], starts[low:high] - starts[low])
+        mark[own] = 0
+        for j in np.flatnonzero(both >= SIMILAR * (size[i] + size[low:high] - both)) + low:
+            a, b = top(class_of[i]), top(class_of[j])
+            if a != b:
+                up[a] = b
+                found.append((i, int(j)))
+    return found
+
+
+def _linked(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """Links of groups of rows (group, side, node, label, text) that come one after the other: sides 0 and 1 are compared, or side 0 with itself."""
+    kept: OrderedDict[int, np.ndarray] = OrderedDict()
     size = 0
 
-    def bag(digest: str, text: str) -> tuple:
+    def bag(node: int, text: str) -> np.ndarray:
         nonlocal size
-        if digest in kept:
-            kept.move_to_end(digest)
-            return kept[digest]
-        got = kept[digest] = shingles(text)
-        size += len(got[0])
+        if node in kept:
+            kept.move_to_end(node)
+            return kept[node]
+        got = kept[node] = elements(shingles(text))
+        size += len(got)
         while size > HELD_SHINGLES and len(kept) > 1:
-            size -= len(kept.popitem(last=False)[1][0])
+            size -= len(kept.popitem(last=False)[1])
         return got
 
-    for pairs in batches:
-        likeness = [overlap(bag(a, x), bag(b, y)) for a, b, x, y in zip(pairs["a"], pairs["b"], pairs["text_a"], pairs["text_b"], strict=True)]
-        yield pd.DataFrame({"digest": pairs["a"], "lead": pairs["b"], "similarity": likeness})
-
-
-def _pairs_within(rows: DataFrame, key: list[str]) -> DataFrame:
-    """Pairs within buckets of at most FEW texts; a pair's weights must allow the similarity."""
-    x = rows.select(*key, F.col("digest").alias("a"), F.col("weight").alias("wa"))
-    y = rows.select(*key, F.col("digest").alias("b"), F.col("weight").alias("wb"))
-    alike = F.least("wa", "wb") >= SIMILAR * F.greatest("wa", "wb")
-    return x.join(y, key).where((F.col("a") < F.col("b")) & alike).select("a", "b").distinct()
-
+    now, rows = None, []
+
+    def links_of() -> list[tuple[int, int]]:
+        rows.sort(key=lambda r: r[0])
+        first = [x for side, _, _, x in rows if side == 0]
+        second = [x for side, _, _, x in rows if side == 1]
+        pairs = joined(first, second or None, [label for _, _, label, _ in rows]) if first else []
+        return [(min(a, b), max(a, b)) for a, b in ((rows[i][1], rows[j][1]) for i, j in pairs)]
+
+    for batch in batches:
+        found = []
+        for group, side, node, label, text in zip(*(batch[c].tolist() for c in ("group", "side", "node", "label", "text")), strict=True):
+            if group != now:
+                found += links_of()
+                now, rows = group, []
+            rows.append((side, node, label, bag(node, text)))
+        yield pd.DataFrame(found, columns=["a", "b"], dtype="int64")
+    yield pd.DataFrame(links_of(), columns=["a", "b"], dtype="int64")
+    kept.clear()
+    _keys.clear()
+    release_memory()
+
+
+def _compared(work: DataFrame, table: DataFrame) -> DataFrame:
+    """Links (a, b) within the groups of work(group, side, node, label), written. Only texts that some group needs are shuffled."""
+    work = written(work, "work")
+    need = small(written(work.select("node").distinct(), "need"))
+    texts = table.join(need, "node", "left_semi")
+    parts = int(work.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    full = work.join(texts, "node").repartition(parts, "group").sortWithinPartitions("group", "side")
+    return written(full.select("group", "side", "node", "label", "text").mapInPandas(_linked, "a long, b long"), "links")
+
+
+def _stars(hits: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """hits(key, node, weight, n) with each bucket's leader, written; and the groups that compare leaders with the other texts of their buckets.
+
+    A leader is the text that shares most buckets with most texts. Of a text and a leader that meet in several buckets one comparison is made, and the
+    texts of a leader are dealt out to groups of about BLOCK_TEXTS.
+    """
+    score = hits.groupBy("node").agg(F.sum("n").alias("score"))
+    lead = hits.join(score, "node").groupBy("key").agg(F.max(F.struct("score", "node", "weight")).alias("s"))
+    led = written(hits.join(lead.select("key", F.col("s.node").alias("lead"), F.col("s.weight").alias("lead_weight")), "key"), "led")
+    fits = F.least("weight", "lead_weight") >= SIMILAR * F.greatest("weight", "lead_weight")
+    pairs = written(led.where((F.col("node") != F.col("lead")) & fits).groupBy("node", "lead").agg(F.first("weight").alias("weight")), "pairs")
+    many = pairs.groupBy("lead").agg(_blocks().alias("many"))
+    dealt = written(pairs.join(many, "lead").select("lead", "node", F.pmod(F.xxhash64("node"), "many").alias("part")), "dealt")
+    group = F.xxhash64("lead", "part")
+    others = dealt.select(group.alias("group"), F.lit(1).alias("side"), "node", F.col("node").alias("label"))
+    heads = dealt.select("lead", "part").distinct().select(group.alias("group"), F.lit(0).alias("side"), F.col("lead").alias("node"), F.col("lead").alias("label"))
+    return led, heads.unionByName(others)
 
-def _leaders(rows: DataFrame, key: list[str], slot: Column) -> DataFrame:
-    """A leader per slot of each bucket: the text that shares most buckets with most texts."""
-    best = rows.groupBy(*key, slot.alias("slot")).agg(F.max(F.struct("score", "digest", "weight", "label")).alias("s"))
-    return best.select(*key, F.col("s.digest").alias("lead"), F.col("s.weight").alias("lead_weight"), F.col("s.label").alias("lead_label"))
 
+def _blocks() -> Column:
+    """How many blocks the rows of a group need."""
+    return F.greatest(F.ceil(F.count(F.lit(1)) / BLOCK_TEXTS), F.ceil(F.sum("weight") / BLOCK_SHINGLES))
 
-def _ordered(x: str, y: str) -> list[Column]:
-    return [F.least(x, y).alias("a"), F.greatest(x, y).alias("b")]
 
+def _rest(led: DataFrame, label: DataFrame) -> DataFrame:
+    """Groups that compare all other texts of a bucket, but for those that are in one class already.
 
-def _asked(rows: DataFrame) -> DataFrame:
-    """Pairs (a, b, lead) of rows(digest, lead), each once; lead is one of the two."""
-    return rows.select(*_ordered("digest", "lead"), "lead").groupBy("a", "b").agg(F.min("lead").alias("lead"))
+    Buckets of the same texts count once. A bucket's texts are dealt out to blocks, those of a class with BIG texts or more to blocks of its own; a group compares two blocks, or the
+    texts of a block of small classes.
+    """
+    own = led.where("node != lead").join(label, "node", "left").select("key", "node", "weight", F.coalesce("label", "node").alias("label"))
+    sums = [F.count(F.lit(1)).alias("n"), F.bit_xor(F.xxhash64("node")).alias("s1"), F.bit_xor(F.xxhash64("node", F.lit(1))).alias("s2")]
+    live = own.groupBy("key").agg(F.min("label").alias("low"), F.max("label").alias("high"), *sums).where("low != high")
+    live = live.groupBy("n", "s1", "s2").agg(F.min("key").alias("key")).select("key")
+    own = written(own.join(live, "key", "left_semi"), "open")
+    classes = own.groupBy("key", "label").agg(F.count(F.lit(1)).alias("m")).where(F.col("m") >= BIG).select("key", "label", F.col("label").alias("big"))
+    own = own.join(classes, ["key", "label"], "left").withColumns({"alone": F.col("big").isNotNull(), "big": F.coalesce("big", F.lit(0).cast("long"))})
+    own = written(own, "parts")
+    kind = ["key", "alone", "big"]
+    many = written(own.groupBy(*kind).agg(_blocks().cast("long").alias("many")), "many")
+    own = own.join(many, kind).withColumn("block", F.xxhash64("alone", "big", F.pmod(F.xxhash64("node"), "many")))
+    blocks = many.withColumn("i", F.explode(F.sequence(F.lit(0).cast("long"), F.col("many") - 1))).select(*kind, F.xxhash64("alone", "big", "i").alias("block"))
+    x = blocks.select("key", *[F.col(c).alias(f"x_{c}") for c in ("alone", "big", "block")])
+    y = blocks.select("key", *[F.col(c).alias(f"y_{c}") for c in ("alone", "big", "block")])
+    differ = ~F.col("x_alone") | ~F.col("y_alone") | (F.col("x_big") != F.col("y_big"))
+    pairs = x.join(y, "key").where((F.col("x_block") <= F.col("y_block")) & differ)
+    group = F.xxhash64("key", "x_block", "y_block")
+    sides = F.when(F.col("x_block") == F.col("y_block"), F.array(F.struct(F.lit(0).alias("side"), F.col("x_block").alias("block")))).otherwise(
+        F.array(F.struct(F.lit(0).alias("side"), F.col("x_block").alias("block")), F.struct(F.lit(1).alias("side"), F.col("y_block").alias("block")))
+    )
+    asked = pairs.select("key", group.alias("group"), F.explode(sides).alias("s")).select("key", "group", "s.side", "s.block")
+    return own.join(asked, ["key", "block"]).select("group", "side", "node", "label")
 
 
-def _compared(pairs: DataFrame, sig: DataFrame) -> DataFrame:
-    """Pairs (a, b, lead) with the similarity of their shingle multisets, written.
+def classes_of(multisets: DataFrame, table: DataFrame) -> DataFrame:
+    """(node, label) of the multisets of multisets(node, weight, bands) that have a link, written: the components of all links between texts that share a band.
 
-    A pair is dealt out by the text that isn't its leader, and the leaders' texts are sent to every task if they have LEAD_BYTES at most
-    together; so whole texts aren't shuffled once for every pair.
-    """
-    need = small(written(pairs.select(F.explode(F.array("a", "b")).alias("digest")).distinct(), "need"))
-    texts = written(sig.join(need, "digest", "left_semi").groupBy("digest").agg(F.min("text").alias("text")), "texts")
-    leads = texts.join(pairs.select(F.col("lead").alias("digest")).distinct(), "digest", "left_semi")
-    leads = written(leads.select(F.col("digest").alias("lead"), F.col("text").alias("text_b")), "leads")
-    size = leads.agg(F.count(F.lit(1)).alias("n"), F.sum(F.octet_length("text_b")).alias("bytes")).first()
-    if size["n"] <= BROADCAST_ROWS and (size["bytes"] or 0) <= LEAD_BYTES:
-        leads = F.broadcast(leads)
-    other = F.when(F.col("a") == F.col("lead"), F.col("b")).otherwise(F.col("a"))
-    full = pairs.withColumn("digest", other).join(texts.withColumnRenamed("text", "text_a"), "digest").join(leads, "lead")
-    full = full.select(F.col("digest").alias("a"), F.col("lead").alias("b"), "text_a", "text_b")
-    done = full.mapInPandas(_verified, "digest string, lead string, similarity double")
-    return written(done.select(*_ordered("digest", "lead"), "similarity"), "compared")
-
-
-def _merged(label: DataFrame, found: DataFrame) -> DataFrame:
-    """label (node, label) after the links found (a, b) have joined components."""
-    ends = found.select(F.explode(F.array("a", "b")).alias("node")).distinct().join(label, "node", "left_anti")
-    every = written(label.unionByName(ends.select("node", F.col("node").alias("label"))), "nodes")
-    of = lambda end: every.select(F.col("node").alias(end), F.col("label").alias(f"of_{end}"))
-    edges = found.join(of("a"), "a").join(of("b"), "b").where("of_a != of_b").select(*_ordered("of_a", "of_b")).distinct()
-    new = components(written(edges, "edges")).select(F.col("node").alias("label"), F.col("label").alias("new"))
-    return written(every.join(new, "label", "left").select("node", F.coalesce("new", "label").alias("label")), "labels")
-
-
-def links(sig: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Links and components of the different multisets of sig(digest, weight, bands, text), both written.
-
-    The first table, (a, b) with a < b, has enough of the links for the second, (node, label), to be the components of all links
-    between texts that share a band; a link within a component that others join already may lack.
-
-    Texts of a bucket of at most FEW are compared with one another. In a larger one, all are first compared with one leader.
-    Distances (1 - similarity) keep the triangle inequality, so texts whose distances to the leader differ by more than
-    1 - SIMILAR aren't linked: the bucket falls into overlapping cells of distance, and each possible link has
-    both ends in one. Then rounds follow. A cell whose texts are all in one component is done. In any other cell some leaders are
-    compared with every text of another component and a fitting weight; that settles a leader, which leaves the cell.
-    Leaders are drawn by component and by text in turn, more from round to round, so a cell of n texts takes about log n rounds,
-    and one with a large component and a few others about as many comparisons as texts for each of the others.
+    table(node, text) has their texts. First the leader of each bucket is compared with its other texts; then, where the others are still in more than one class, all
+    the rest are compared block by block. So every pair that shares a band is compared unless other links join it already.
     """
-    key, cell = ["band", "key"], ["band", "key", "cell"]
-    one = written(
-        sig.where("digest is not null").groupBy("digest").agg(F.min(F.struct("weight", "bands")).alias("s")).select("digest", "s.weight", "s.bands"),
-        "multisets",
-    )
-    each = one.select("digest", "weight", F.posexplode("bands").alias("band", "key"))
-    shared = each.groupBy(*key).agg(F.count(F.lit(1)).alias("n")).where("n > 1")
-    hits = written(each.join(shared, key), "buckets")
-
-    score = hits.where(F.col("n") > FEW).groupBy("digest").agg(F.sum("n").alias("score"))
-    crowd = written(hits.where(F.col("n") > FEW).join(score, "digest").withColumn("label", F.col("digest")), "crowd")
-    lead = written(_leaders(crowd, key, F.lit(0)), "lead")
-    star = crowd.join(lead, key).where("digest != lead").select(*key, "digest", "lead", "weight", "score", *_ordered("digest", "lead"))
-    near = _pairs_within(hits.where(F.col("n") <= FEW), key).select(F.col("a").alias("digest"), F.col("b").alias("lead"))
-    tried = _compared(written(_asked(near.unionByName(star.select("digest", "lead"))), "pairs"), sig)
-    found = tried.where(F.col("similarity") >= SIMILAR).select("a", "b")
+    each = multisets.select("node", "weight", F.explode("bands").alias("key"))
+    shared = small(written(each.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1"), "shared"))
+    hits = written(each.join(shared, "key"), "buckets")
+    led, work = _stars(hits)
+    found = _compared(work, table)
     label = components(found)
-
-    at = F.floor((1 - F.col("similarity")) / WIDTH)
-    crowd = written(
-        star.join(tried, ["a", "b"]).select(*key, F.explode(F.array(at, at - 1)).alias("cell"), "digest", "weight", "score"),
-        "cells",
-    )
-    parts = int(sig.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    leaders, turn = LEADERS, 0
-    while True:
-        own = crowd.join(label.withColumnRenamed("node", "digest"), "digest", "left").withColumn("label", F.coalesce("label", "digest"))
-        live = own.groupBy(*cell).agg(F.min("label").alias("low"), F.max("label").alias("high")).where("low != high").select(*cell)
-        # Dealt out by text: a cell that makes many pairs then lies in many tasks.
-        own = written(own.join(live, cell, "left_semi").repartition(parts, "digest"), "open")
-        if own.limit(1).count() == 0:
-            return found, label
-        slot = F.pmod(F.xxhash64("label" if turn % 2 == 0 else "digest", F.lit(turn)), F.lit(leaders))
-        lead = written(_leaders(own, cell, slot), "lead")
-        fits = F.least("weight", "lead_weight") >= SIMILAR * F.greatest("weight", "lead_weight")
-        pairs = _asked(own.join(lead, cell).where((F.col("label") != F.col("lead_label")) & fits))
-        pairs = written(pairs.join(tried, ["a", "b"], "left_anti"), "pairs")
-        if pairs.limit(1).count():
-            more = _compared(pairs, sig)
-            tried = tried.unionByName(more)
-            more = more.where(F.col("similarity") >= SIMILAR).select("a", "b")
-            if more.limit(1).count():
-                found = found.unionByName(more)
-                label = _merged(label, more)
-        crowd = own.drop("label").join(lead.select(*cell, F.col("lead").alias("digest")), [*cell, "digest"], "left_anti")
-        leaders, turn = leaders * MORE, turn + 1
+    more = _compared(_rest(led, label), table)
+    drop_table(hits), drop_table(led)
+    if more.limit(1).count() == 0:
+        return label
+    return components(found.unionByName(more))
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -325,59 +349,50 @@ def components(edges: DataFrame) -> DataFrame:
         own = label.select(F.col("node").alias("next"), F.col("label").alias("far"))
         new = written(step.join(own, "next", "left").select("node", F.col("label").alias("old"), F.least("next", F.coalesce("far", "next")).alias("label")), "labels")
         moved = new.where("old != label").limit(1).count()
+        drop_table(label)
         label = new.select("node", "label")
         if not moved:
             return label
 
 
-@contextmanager
-def small_batches(spark: SparkSession, rows: int = BATCH_ROWS) -> Iterator[None]:
-    """Python workers get at most so many rows at once while this holds; whole texts are in them."""
-    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
-    before = spark.conf.get(name)
-    spark.conf.set(name, rows)
-    try:
-        yield
-    finally:
-        spark.conf.set(name, before)
-
-
 def near_classes(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Every row of df with class_id, class_size, n_links and kept added.
 
     Texts are multisets of five-word shingles (lower-cased runs of letters, digits and underscores; a shorter
     text is one shingle). Texts with equal multisets are copies. Different ones are linked if their weighted Jaccard
     similarity is 0.8 or more: BagMinHash signatures are banded, and candidates' multisets are compared in full.
-    Copies and links make classes; class_id is a class's smallest id, whose row is the one kept. n_links counts the different multisets
-    that a text was found linked to on the way to the classes: not less than one if it has a link, and all if none of its buckets has more than FEW texts.
-
-    Texts of a large bucket that are in one class already aren't compared again; all other pairs that share a band are compared or
-    ruled out by the triangle inequality (see `links`).
+    Copies and links make classes; class_id is a class's smallest id, whose row is the one kept. n_links counts the different multisets that a text's links join it
+    to, directly or through others: those of its class, without its own.
 
-    Texts without a word (null, empty) are classes of their own. Null ids rank last. Rows that repeat an id are
-    separate rows, of which one is kept per class. Columns of df named like an added one are replaced.
+    Texts without a word (null, empty) are classes of their own. Very long texts are compared whole. Null ids rank last. Rows that repeat an id are
+    separate rows, of which one is kept per class. Columns of df named like an added one are replaced. An empty table gives an empty table.
     """
     out = ["class_id", "class_size", "n_links", "kept"]
     df = df.drop(*[c for c in df.columns if c.lower() in out and c not in (id_col, text_col)])
-    signed = F.pandas_udf(_signed, "digest string, weight long, bands array<long>")
-    (row, sig, group, lab, best, links_) = fresh(df, "nd_row", "nd_sig", "nd_group", "nd_label", "nd_best", "nd_links")
+    signed = F.pandas_udf(_signed, "d1 long, d2 long, weight long, bands array<long>")
+    (row, sig, lab, best, size, links) = fresh(df, "nd_row", "nd_sig", "nd_label", "nd_best", "nd_size", "nd_links")
+    d1, d2, node = fresh(df, "nd_d1", "nd_d2", "nd_node")
     with small_batches(df.sparkSession):
         table = written(df.withColumn(row, F.monotonically_increasing_id()).withColumn(sig, signed(text_of(text_col))), "signed")
-        found, label = links(table.select(f"{sig}.digest", f"{sig}.weight", f"{sig}.bands", text_of(text_col).alias("text")))
-    label = label.select(F.col("node").alias(group), F.col("label").alias(lab))
-    degree = found.select(F.explode(F.array("a", "b")).alias(group)).groupBy(group).agg(F.count(F.lit(1)).alias(links_))
-    notes = small(written(label.join(degree, group), "notes"))
-
-    alone = F.concat(F.lit("row "), F.col(row).cast("string"))
-    rows = table.withColumn(group, F.coalesce(F.col(f"{sig}.digest"), alone)).join(notes, group, "left").withColumn(group, F.coalesce(lab, group))
-    ident = F.col(f"`{id_col}`")
-    # Only classes of two rows or more are joined back; the others are their own.
-    classes = rows.groupBy(group).agg(F.min(F.struct(ident.isNull().alias("no"), ident.alias("id"), F.col(row).alias("row"))).alias(best), F.count(F.lit(1)).alias("class_size")).where("class_size > 1")
+        worded = table.where(F.col(f"{sig}.weight") > 0)
+        least = F.min(F.struct(F.col(row).alias("node"), F.col(f"{sig}.weight").alias("weight"), F.col(f"{sig}.bands").alias("bands")))
+        digests = worded.groupBy(F.col(f"{sig}.d1").alias(d1), F.col(f"{sig}.d2").alias(d2)).agg(least.alias("s"), F.count(F.lit(1)).alias("n"))
+        multisets = written(digests.select(d1, d2, F.col("s.node").alias("node"), F.col("s.weight").alias("weight"), F.col("s.bands").alias("bands"), "n"), "multisets")
+        label = classes_of(multisets.select("node", "weight", "bands"), table.select(F.col(row).alias("node"), text_of(text_col).alias("text")))
+    known = multisets.join(label, "node", "left").where("n > 1 or label is not null")
+    notes = small(written(known.select(d1, d2, F.col("node").alias(node), F.coalesce("label", "node").alias(lab)), "notes"))
+
+    # Rows that aren't in a class of two or more have keys of their own, so they don't meet in one task.
+    ident, alone = F.col(f"`{id_col}`"), -F.col(row) - 1
+    keyed = table.withColumns({d1: F.when(F.col(f"{sig}.weight") > 0, F.col(f"{sig}.d1")).otherwise(alone), d2: F.when(F.col(f"{sig}.weight") > 0, F.col(f"{sig}.d2"))})
+    rows = keyed.withColumn(d2, F.coalesce(d2, F.lit(0).cast("long"))).join(notes, [d1, d2], "left")
+    first = F.min(F.struct(ident.isNull().alias("no"), ident.alias("id"), F.col(row).alias("row")))
+    classes = rows.where(F.col(lab).isNotNull()).groupBy(lab).agg(first.alias(best), F.count(F.lit(1)).alias(size), (F.count_if(F.col(row) == F.col(node)) - 1).alias(links))
     classes = small(written(classes, "classes"))
-    return rows.join(classes, group, "left").select(
+    return rows.withColumn(lab, F.coalesce(F.col(lab), alone)).join(classes, lab, "left").select(
         *[F.col(f"`{c}`") for c in df.columns if c.lower() not in out],
         F.when(F.col(best).isNull(), ident).otherwise(F.col(f"{best}.id")).alias("class_id"),
-        F.coalesce("class_size", F.lit(1)).cast("long").alias("class_size"),
-        F.coalesce(links_, F.lit(0)).cast("long").alias("n_links"),
+        F.coalesce(size, F.lit(1)).cast("long").alias("class_size"),
+        F.coalesce(links, F.lit(0)).cast("long").alias("n_links"),
         F.coalesce(F.col(f"{best}.row") == F.col(row), F.lit(True)).alias("kept"),
     )

@@ -12,7 +12,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window, functions as F
 
-from .frames import small_batches, text_of, written
+from .frames import release_memory, small_batches, text_of, written
 
 CAPACITY = 2048
 TOKENIZER = "word_bpe_49k.json"
@@ -185,6 +185,7 @@ def token_pieces(df: DataFrame, id_col: str, text_col: str, capacity: int = CAPA
                 text, *columns = cut_pieces(*_known[path].of(texts.slice(first, last - first)), capacity, END_ID)
                 own = batch.column("ident").slice(first, last - first).take(pa.array(text))
                 yield pa.RecordBatch.from_arrays([own, *map(pa.array, columns)], names=["ident", "piece", "start", "length", "ids_crc32"])
+        release_memory()
 
     slim = df.select(F.col(f"`{id_col}`").alias("ident"), text_of(text_col).alias("text"))
     return slim.mapInArrow(run, f"ident {kind}, {PIECE_SCHEMA}")
