@@ -210,3 +210,15 @@ def test_apportion_is_sainte_lague(spark):
 
 def test_pandas_is_used_only_off_the_native_paths():
     assert pd is not None and not any("pandas" in open(m.__file__).read() for m in (chat, mixing, exact_dedup, licences))
+
+
+def test_toxicity_sample_is_drawn_from_labels_with_texts(spark):
+    rows = [(i, words(30) + (" vile idiot" if i % 2 else "")) for i in range(200)] + [(0, "again")] * 3
+    df = spark.createDataFrame(rows, "doc_id long, text string").withColumn("score", F.lit("x")).withColumn("toxic", F.lit(7))
+    other = [(10_000 + i, 1) for i in range(5000)]  # labels of another corpus
+    labels = spark.createDataFrame([(i, i % 2) for i in range(200)] + other, "doc_id long, toxic int")
+    model = toxicity.fit(df, labels, rows=120)
+    assert model.trees is not None and 0.3 < model.prior < 0.7
+    got = toxicity.classify(df, labels).collect()
+    assert len(got) == 203 and all(isinstance(r["score"], float) for r in got)
+    assert toxicity.classify(df.limit(0), labels).count() == 0

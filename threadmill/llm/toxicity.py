@@ -9,14 +9,14 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
-from .frames import fresh, text_of, written
+from .frames import fresh, release_memory, small_batches, text_of, written
 
 #: Labelled rows that the lexicon, the trees and the calibration are fitted on, at most: those with the smallest digests of their ids.
 TRAIN_ROWS = 20_000
-#: Terms of the learned lexicon, at most, and toxic documents that a term must occur in.
-TERMS, SUPPORT = 20_000, 4
+#: Of a term of the learned lexicon: toxic documents it must occur in, log odds, and these over their standard error.
+SUPPORT, ODDS, SURE = 4, 1.5, 2.5
 THRESHOLD = 0.3
 TREES, DEPTH, RATE, BINS = 60, 3, 0.15, 32
 #: Chunks between white space whose look a worker remembers.
@@ -266,45 +266,65 @@ def lexicon(table: np.ndarray, terms: list[str], rows: np.ndarray) -> dict[str,
     toxic, clean = table[:, 1], table[:, 0]
     odds = np.log((toxic + 0.5) / (rows[1] + 1)) - np.log((clean + 0.5) / (rows[0] + 1))
     sure = odds / np.sqrt(1 / (toxic + 0.5) + 1 / (clean + 0.5))
-    good = (toxic >= SUPPORT) & (sure > 2.5) & (odds > 1.5)
+    good = (toxic >= SUPPORT) & (sure > SURE) & (odds > ODDS)
     return {terms[i]: float(odds[i]) for i in np.flatnonzero(good)}
 
 
+def telling(toxic: Column, clean: Column, sizes: np.ndarray) -> Column:
+    """Whether a term that so many toxic and other documents hold belongs in a lexicon, as `lexicon` says, with a margin for rounding."""
+    odds = F.log((toxic + 0.5) / F.lit(float(sizes[1] + 1))) - F.log((clean + 0.5) / F.lit(float(sizes[0] + 1)))
+    sure = odds / F.sqrt(1 / (toxic + 0.5) + 1 / (clean + 0.5))
+    return (toxic >= SUPPORT) & (sure > SURE - 1e-6) & (odds > ODDS - 1e-6)
+
+
 def fit(df: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_id: str = "doc_id", label_col: str = "toxic", rows: int = TRAIN_ROWS) -> Model:
     """Fits a model on labelled rows whose crc32(id) mod 4 isn't 2.
 
-    At most `rows` of them are used, those with the smallest digests of their ids, so the sample is bounded whatever the input. Texts stay on
-    the executors: the driver gets counts of the terms that toxic texts favour (at most TERMS) and the dense features of the sample.
+    At most `rows` of those that have a text are used, with the smallest digests of their ids, so the sample is bounded whatever the input. Texts stay on
+    the executors: the driver gets the counts of the terms that belong in a lexicon and the dense features of the sample.
     Features of a row use a lexicon learned without its fold, and the calibration uses scores of trees that haven't seen it.
-    Null labels, and labels without a text, are left out; an id labelled twice counts by its largest label.
+    Null labels, and labels without a text, are left out; an id labelled twice counts by its largest label, and an id with several texts by the smallest of them.
+    Without rows of both labels (empty tables) there are no trees, and every score is the share of toxic rows, 0 if there is none.
     """
+    own = df.select(F.col(f"`{id_col}`").cast("string").alias("ident"), text_of(text_col).alias("text")).where("ident is not null and crc32(ident) % 4 != 2")
     known = (
         labels.select(F.col(f"`{label_id}`").cast("string").alias("ident"), F.col(f"`{label_col}`").cast("int").alias("toxic"))
         .where("ident is not null and toxic is not null and crc32(ident) % 4 != 2")
         .groupBy("ident")
         .agg(F.max("toxic").alias("toxic"))
+        .join(own.select("ident"), "ident", "left_semi")
         .orderBy(F.md5("ident"))
         .limit(rows)
     )
     rank = {0: 0, 1: 1, 3: 2}
     fold = F.element_at(F.create_map(*[F.lit(x) for kv in rank.items() for x in kv]), (F.crc32("ident") % 4).cast("int"))
-    # Bounded, and read three times: written once, so that the documents are.
-    sample = written(
-        df.select(F.col(f"`{id_col}`").cast("string").alias("ident"), text_of(text_col).alias("text"))
-        .join(F.broadcast(known), "ident")
-        .select("ident", "text", fold.alias("fold"), F.when(F.col("toxic") > 0, 1).otherwise(0).alias("toxic")),
-        "sample",
-    )
+    # Bounded by `rows`, and read three times: written once, so that the documents are.
+    with small_batches(df.sparkSession):
+        sample = written(
+            own.join(F.broadcast(written(known, "known")), "ident")
+            .groupBy("ident")
+            .agg(F.min("text").alias("text"), F.max("toxic").alias("toxic"))
+            .select("ident", "text", fold.alias("fold"), F.when(F.col("toxic") > 0, 1).otherwise(0).alias("toxic")),
+            "sample",
+        )
+        return fit_sample(sample)
+
+
+def fit_sample(sample: DataFrame) -> Model:
+    """A model from sample(ident, text, fold, toxic)."""
     terms = sample.mapInPandas(_terms, "term string, fold int, toxic int, n long")
     held = [F.sum(F.when((F.col("fold") == f) & (F.col("toxic") == t), F.col("n")).otherwise(0)).alias(f"n{f}{t}") for f in range(3) for t in range(2)]
-    toxic, clean = F.expr("n01 + n11 + n21"), F.expr("n00 + n10 + n20")
-    counted = terms.groupBy("term").agg(*held).where(toxic >= SUPPORT).orderBy(((toxic + 1) / (clean + toxic + 4)).desc(), toxic.desc(), "term").limit(TERMS).collect()
     sizes = np.zeros((3, 2))
     for r in sample.groupBy("fold", "toxic").count().collect():
         sizes[r["fold"], r["toxic"]] = r["count"]
     prior = float(sizes[:, 1].sum() / sizes.sum()) if sizes.sum() else 0.0
     if not sizes[:, 0].sum() or not sizes[:, 1].sum():
         return Model({}, None, (np.zeros(1), np.zeros(1)), prior)
+    whole = [F.col("n00") + F.col("n10") + F.col("n20"), F.col("n01") + F.col("n11") + F.col("n21")]
+    wanted = telling(whole[1], whole[0], sizes.sum(axis=0))
+    for f in range(3):
+        wanted |= telling(whole[1] - F.col(f"n{f}1"), whole[0] - F.col(f"n{f}0"), sizes.sum(axis=0) - sizes[f])
+    counted = terms.groupBy("term").agg(*held).where(wanted).orderBy("term").collect()
     names = [r["term"] for r in counted]
     table = np.array([[[r[f"n{f}{t}"] for t in range(2)] for f in range(3)] for r in counted]).reshape(len(names), 3, 2)
     own = [lexicon(table.sum(axis=1) - table[:, f], names, sizes.sum(axis=0) - sizes[f]) for f in range(3)]
@@ -335,12 +355,16 @@ def toxic_score(df: DataFrame, model: Model, text_col: str = "text", name: str =
         for texts in batches:
             x = np.array([reader.read(t) for t in texts], dtype=float).reshape(-1, len(FEATURES))
             yield pd.Series(held.value.score(x))
+        release_memory()
 
     return df.withColumn(name, F.pandas_udf(run, "double")(text_of(text_col)))
 
 
 def classify(df: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", threshold: float = THRESHOLD) -> DataFrame:
-    """Rows of df with held_out, score and predicted added (columns of df so named are replaced). Null ids aren't held out."""
+    """Rows of df with held_out, score and predicted added (columns of df so named are replaced). Null ids aren't held out.
+
+    Every whole text is scored, however long; null and empty ones as texts without any sign. Rows that repeat an id or a text are scored each. An empty table gives an empty table.
+    """
     df = df.drop(*[c for c in df.columns if c.lower() in ("held_out", "score", "predicted")])
     model = fit(df, labels, id_col, text_col)
     held = F.coalesce(F.crc32(F.col(f"`{id_col}`").cast("string").cast("binary")) % 4 == 2, F.lit(False))
