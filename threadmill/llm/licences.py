@@ -47,16 +47,16 @@ KNOWN = (
 
 # Whole texts that the SQL's list lacks, as canonical digests of the published texts; those that end in instructions also without them.
 DIGESTS = (
-    ("Apache-2.0", "ff7be961361eda3cd2a76927dd0d9482cf45defafde2045befedf77400d98100"),
-    ("Apache-2.0", "e9dbf930ca0f1e090ec68da9a37b657d11bc9e43b30643455d6a96dbf73116ca"),
-    ("GPL-2.0", "9405dc2ae3fe08dea519d5874a1a44bb05d513336aed49976b5030bd5b8f27f6"),
-    ("GPL-2.0", "41ba7b30f66484c3c9496407451675398b15ceaf26ae3739656f1e67a76307a3"),
-    ("GPL-3.0", "1d0e7e346a64e5a57232a9fbb953744c9272a4f97823baaab065df792fcefb24"),
-    ("GPL-3.0", "4656e9bb10355428e7f78abc1428ebcfbc9335e37d74fa0058fcd9eeed9a4cfe"),
-    ("LGPL-2.0", "6d450d1ebaa20ebfaf4db3349aea4f6d20fed294c7a11fa809c0934df11790aa"),
-    ("LGPL-2.0", "43056e963ed1b927908f558dfcf4f812f56c6be4630e8da88aa9bfc1660f6d09"),
-    ("LGPL-2.1", "c50d1dab612965648634f79bbc0a4de520f387ff588eaccddc9a4989710ed9d0"),
-    ("LGPL-2.1", "045e8054a0e84e3386fa254424f91424346ad391f2936e3a21e6324a50414391"),
+    ("Apache-2.0", "045649cdaf85384ba827242062f2f3b36409835c98d297e25177cb1faf7c2847"),
+    ("Apache-2.0", "108490d21e2d3edc9128233e48fabc169818d0c7c5f0bbdd58231a367d2d6c87"),
+    ("GPL-2.0", "cf74dfa78ca9ac981c7ae9e50c4ecfb828df2e5ef2f1646368388676215766b5"),
+    ("GPL-2.0", "c33d2f29477d94c3f3e48ae230c47966a4f4c05a0f6087cf607e1589848d2986"),
+    ("GPL-3.0", "68ca42869e9a3e25843be66c6f296ce2b1f3629ac71d77465db0636dc8781c06"),
+    ("GPL-3.0", "df20d6920a2688bef2bb6fb95fc7472aa40799a7027c0ce468190c67658a9656"),
+    ("LGPL-2.0", "1862ecc2c3c5e3b9e88481e95603c88e089c43e9d5702b2ec01391491b606a9e"),
+    ("LGPL-2.0", "e29dcc167f8a363847b3c4b0a7ced67d7a2bb7b9112a3311b6877a9c0570d635"),
+    ("LGPL-2.1", "ac0856eb11aebb30c08445444c942c1ddcde9d0a0447c9ed2b8a19ab7d51eba5"),
+    ("LGPL-2.1", "2858f5a00f6672bd47f63b69b9bf4e1bc31f3541b08a5a263e59d9b384f72fdc"),
     ("LGPL-3.0", "aae2b222477171fb64e298e7965e768a9a6f85320646b266c94399ac029d42be"),
     ("MPL-1.1", "1cfb6cca26abe2169c9c61164807107b2d4a0b64955a2cf2de46fad3483acda1"),
     ("MPL-2.0", "95f6a0d094cf3da6a140310541c7b576789031b600469b70877b34f97918e4c9"),
@@ -66,20 +66,21 @@ WHOLE = (
     ("Unlicense", "This is free and unencumbered software released into the public domain.\n\nAnyone is free to copy, modify, publish, use, compile, sell, or distribute this software, either in source code form or as a compiled binary, for any purpose, commercial or non-commercial, and by any means.\n\nIn jurisdictions that recognize copyright laws, the author or authors of this software dedicate any and all copyright interest in the software to the public domain. We make this dedication for the benefit of the public at large and to the detriment of our heirs and successors. We intend this dedication to be an overt act of relinquishment in perpetuity of all present and future rights to this software under copyright law.\n\nTHE SOFTWARE IS PROVIDED \"AS IS\", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF MERCHANTABILITY, FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT. IN NO EVENT SHALL THE AUTHORS BE LIABLE FOR ANY CLAIM, DAMAGES OR OTHER LIABILITY, WHETHER IN AN ACTION OF CONTRACT, TORT OR OTHERWISE, ARISING FROM, OUT OF OR IN CONNECTION WITH THE SOFTWARE OR THE USE OR OTHER DEALINGS IN THE SOFTWARE.\n\nFor more information, please refer to <https://unlicense.org>"),
 )
 
-#: A line that is a copyright line, or "all rights reserved", whatever stands before it as a comment mark.
-COPYRIGHT = r"(?imd)^[^\p{L}\p{N}\n]*(copyright\b[^\n]*|\(c\)[ \t][^\n]*|©[^\n]*|all rights reserved[^\n]*)$"
-COPYRIGHT_SQL = r"(?im)^[^\p{L}\p{N}\n]*(copyright\b[^\n]*|\(c\)[ \t][^\n]*|©[^\n]*|all rights reserved[^\n]*)$"
+#: A line that is a copyright line: one with the word and a sign, a year, a placeholder or "by" after it, or with the sign alone, whatever stands before it as a comment mark; or "all rights
+#: reserved". A wrapped line of a text that merely begins with the word stays.
+_LINE = r"^[^\p{L}\p{N}\n]*(copyright\b[^\n]*(\(c\)|©|\b(19|20)[0-9][0-9]\b)[^\n]*|copyright[ \t]*([<{\[][^\n]*|by\b[^\n]*)?|\(c\)[ \t][^\n]*|©[^\n]*|all rights reserved[^\n]*)$"
+COPYRIGHT, COPYRIGHT_SQL = f"(?imd){_LINE}", f"(?im){_LINE}"
 OTHER = r"[^\p{L}\p{N}]+"
 
 
 def canonical(text: Column) -> Column:
     """Copyright lines off, lower case, punctuation and white space as single blanks, equivalent spellings as one; the whole text."""
     plain = F.regexp_replace(F.regexp_replace(text, r"\r\n?", "\n"), COPYRIGHT, "")
-    out = F.concat(F.lit(" "), F.regexp_replace(F.lower(plain), OTHER, " "), F.lit(" "))
-    out = F.regexp_replace(out, " +", " ")
+    # Two blanks between words, so that a word's blanks are its own and neighbours are replaced alike.
+    out = F.concat(F.lit(" "), F.regexp_replace(F.lower(plain), OTHER, "  "), F.lit(" "))
     for a, b in SPELLINGS:
-        out = F.replace(out, F.lit(f" {a} "), F.lit(f" {b} "))
-    return F.trim(out)
+        out = F.replace(out, F.lit(f" {a.replace(' ', '  ')} "), F.lit(f" {b.replace(' ', '  ')} "))
+    return F.trim(F.replace(out, F.lit("  "), F.lit(" ")))
 
 
 def known_licences(spark: SparkSession, known: tuple[tuple[str, str], ...] = KNOWN) -> DataFrame:
@@ -93,13 +94,15 @@ def scan_licences(df: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     """Id, license_digest and license_id (null if the whole text is no known licence) of every row.
 
     Texts are brought into canonical form and their digests joined to those of the known texts, which are a fixed list and so are sent to every executor. A null or
-    empty text, or one of nothing but copyright lines and punctuation, has the digest of the empty text and no licence. Rows that repeat an id give a row each.
+    empty text, or one of nothing but copyright lines and punctuation, has the digest of the empty text and no licence. Rows that repeat an id give a row each. A very long text
+    is read whole. Other columns of df aren't carried; an id column named like one of the result's comes back with "_id" added. An empty table gives an empty table.
     """
     digest = F.sha2(canonical(text_of(text_col)), 256)
+    name = f"{id_col}_id" if id_col.lower() in ("license_digest", "license_id") else id_col
     return (
-        df.select(F.col(f"`{id_col}`"), digest.alias("license_digest"))
+        df.select(F.col(f"`{id_col}`").alias(name), digest.alias("license_digest"))
         .join(F.broadcast(known_licences(df.sparkSession, known)), "license_digest", "left")
-        .select(F.col(f"`{id_col}`"), "license_digest", "license_id")
+        .select(F.col(f"`{name}`"), "license_digest", "license_id")
     )
 
 
@@ -108,12 +111,15 @@ def _quote(x: str) -> str:
 
 
 def canonical_sql(column: str) -> str:
-    """The canonical form as SQL, for checks against another engine."""
+    """The canonical form as SQL, for checks against another engine: single words by a table of words, then the spellings of two words by pattern."""
     out = f"regexp_replace(regexp_replace(coalesce({column}, ''), '\\r\\n?', chr(10), 'g'), {_quote(COPYRIGHT_SQL)}, '', 'g')"
-    out = f"regexp_replace(' ' || regexp_replace(lower({out}), {_quote(OTHER)}, ' ', 'g') || ' ', ' +', ' ', 'g')"
+    out = f"string_split(trim(regexp_replace(lower({out}), {_quote(OTHER)}, ' ', 'g')), ' ')"
+    names, others = zip(*[(_quote(a), _quote(b)) for a, b in SPELLINGS if " " not in a], strict=True)
+    out = f"array_to_string(list_transform({out}, lambda w: coalesce(MAP {{{', '.join(f'{a}: {b}' for a, b in zip(names, others, strict=True))}}}[w], w)), ' ')"
     for a, b in SPELLINGS:
-        out = f"replace({out}, ' {a} ', ' {b} ')"
-    return f"trim({out})"
+        if " " in a:
+            out = f"regexp_replace({out}, '\\b{a}\\b', {_quote(b)}, 'g')"
+    return out
 
 
 def scan_sql(known: tuple[tuple[str, str], ...] = KNOWN) -> str:
