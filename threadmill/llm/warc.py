@@ -12,11 +12,12 @@ from datetime import datetime, timezone
 from urllib.parse import quote, urlsplit
 
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from .frames import new_path, small, text_of, written
+from .frames import new_path, small, small_batches, text_of, written
 
-#: Bytes of a payload that are read or encoded at once, and characters of it that a row of the chunk table holds. The writer gets whole payloads.
+#: Bytes of a payload that a row of the chunk table holds, on the way out and back.
 CHUNK = 1 << 18
 #: Equal payloads of at least so many bytes are archived once.
 REVISIT_BYTES = 1000
@@ -78,12 +79,6 @@ def record_head(record_type: str, record_id: str, url: str, when: str, payload_b
 HTTP = b"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\n\r\n"
 
 
-def encoded(text: str, chunk: int = CHUNK) -> Iterator[bytes]:
-    """The UTF-8 bytes of a text, a bounded piece at a time."""
-    for at in range(0, len(text), chunk):
-        yield text[at : at + chunk].encode("utf-8", "surrogatepass")
-
-
 def plan_records(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", payload_col: str = "html", least: int = REVISIT_BYTES) -> DataFrame:
     """Pages with the record each becomes: columns id, url, html and payload_bytes, payload_digest, record_type, refers_to.
 
@@ -113,38 +108,82 @@ def plan_records(pages: DataFrame, id_col: str = "page_id", url_col: str = "url"
     )
 
 
+def chunk_rows(records: DataFrame, chunk: int = CHUNK) -> DataFrame:
+    """Planned records as rows of a record identifier, a chunk number and at most `chunk` bytes, in order within a partition; a record's first row says what it is.
+
+    A payload is cut in Spark's own memory, where a table's row is anyway; Python gets one chunk after the other. A revisit is one row without bytes.
+    """
+    data = F.when(F.col("record_type") == "response", F.col("html").cast("binary")).otherwise(F.lit("").cast("binary"))
+    cut = records.withColumn("data", data).withColumn("record", F.monotonically_increasing_id())
+    spots = F.sequence(F.lit(0), F.greatest(F.lit(0), F.ceil(F.octet_length("data") / F.lit(chunk)).cast("int") - 1))
+    first = lambda c: F.when(F.col("chunk_number") == 0, F.col(c)).alias(c)
+    return cut.withColumn("chunk_number", F.explode(spots)).select(
+        "record",
+        "chunk_number",
+        F.substring("data", F.col("chunk_number") * chunk + 1, F.lit(chunk)).alias("data"),
+        *[first(c) for c in ("page_id", "url", "payload_bytes", "payload_digest", "record_type", "refers_to")],
+    )
+
+
+class RecordWriter:
+    """Writes chunk rows as gzip members of one WARC file; a payload's digest is carried from chunk to chunk and held against its header at the end."""
+
+    def __init__(self, out, part: int, when: str) -> None:
+        self.out, self.part, self.when = out, part, when
+        self.count, self.now, self.member = 0, None, None
+
+    def close(self) -> None:
+        if self.member is None:
+            return
+        self.member.write(b"\r\n\r\n")
+        self.member.close()
+        self.member = None
+        if self.whole and (self.digest.hexdigest() != self.told or self.size != self.bytes):
+            raise ValueError("a payload's chunks differ from its digest")
+
+    def begin(self, record: int, page: int | None, url: str, size: int, digest: str, record_type: str, refers: int | None) -> None:
+        self.close()
+        self.now, self.whole, self.told, self.bytes = record, record_type == "response", digest, size
+        self.digest, self.size = hashlib.sha1(), 0
+        self.member = gzip.GzipFile(fileobj=self.out, mode="wb", compresslevel=4, mtime=0)
+        name = str(uuid.uuid5(uuid.NAMESPACE_URL, f"{self.part}/{self.count}/{page}"))
+        self.member.write(record_head(record_type, name, url, self.when, size, digest, len(HTTP) + size if self.whole else 0, page, refers))
+        if self.whole:
+            self.member.write(HTTP)
+        self.count += 1
+
+    def add(self, data: bytes) -> None:
+        self.digest.update(data)
+        self.size += len(data)
+        self.member.write(data)
+
+
 def write_archives(records: DataFrame, folder: str, chunk: int = CHUNK) -> DataFrame:
     """Writes planned records as gzip members of a WARC file per partition: path and records of each file.
 
-    A record's block goes out chunk by chunk. A task writes to a name of its own and renames it when done, so a task that is run again leaves one whole file.
+    Records go out as chunk rows, so a task holds a batch of chunks and never a payload. A task writes to a name of its own and renames it when done, so a task that is run again leaves one whole file.
     """
     when = datetime.now(timezone.utc).strftime("%Y-%m-%dT%H:%M:%SZ")
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
         part = TaskContext.get().partitionId()
         draft, final = f"{folder}/draft-{part:06d}-{uuid.uuid4().hex}", f"{folder}/part-{part:06d}.warc.gz"
-        count = 0
         with open_file(draft, "wb") as out:
+            writer = RecordWriter(out, part, when)
             for batch in batches:
-                for r in batch.itertuples(index=False):
-                    refers = None if pd.isna(r.refers_to) else int(r.refers_to)
-                    page = None if pd.isna(r.page_id) else int(r.page_id)
-                    whole = r.record_type == "response"
-                    name = str(uuid.uuid5(uuid.NAMESPACE_URL, f"{part}/{count}/{page}"))
-                    with gzip.GzipFile(fileobj=out, mode="wb", compresslevel=4, mtime=0) as member:
-                        member.write(record_head(r.record_type, name, r.url, when, r.payload_bytes, r.payload_digest, len(HTTP) + r.payload_bytes if whole else 0, page, refers))
-                        if whole:
-                            member.write(HTTP)
-                            for data in encoded(r.html, chunk):
-                                member.write(data)
-                        member.write(b"\r\n\r\n")
-                    count += 1
+                names = batch.schema.names
+                for row in zip(*(batch.column(c).to_pylist() for c in names), strict=True):
+                    r = dict(zip(names, row, strict=True))
+                    if r["record"] != writer.now:
+                        writer.begin(r["record"], r["page_id"], r["url"], r["payload_bytes"], r["payload_digest"], r["record_type"], r["refers_to"])
+                    writer.add(r["data"])
+            writer.close()
         publish(draft, final)
-        yield pd.DataFrame({"path": [final], "records": [count]})
+        yield pa.RecordBatch.from_arrays([pa.array([final]), pa.array([writer.count], pa.int64())], names=["path", "records"])
 
-    return records.mapInPandas(run, "path string, records long")
+    return chunk_rows(records, chunk).mapInArrow(run, "path string, records long")
 
 
 def read_records(stream, chunk: int = CHUNK) -> Iterator[dict]:
@@ -238,7 +277,8 @@ def archive(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", pay
     spark = pages.sparkSession
     folder = new_path(spark, "warc")
     make_folder(spark, folder)
-    files = written(write_archives(plan_records(pages, id_col, url_col, payload_col), folder), "files")
+    with small_batches(spark, 256, 4_000_000):
+        files = written(write_archives(plan_records(pages, id_col, url_col, payload_col), folder), "files")
     spread = files.repartition(max(1, min(10_000, files.count())))
     return (
         read_archives(spread, data=False)
