@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window, functions as F
@@ -9,8 +11,8 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from .frames import written
 
 LEAF = 128
-#: Vectors of a shard and queries of a block: what one task holds.
-SHARD_ROWS, BLOCK_ROWS = 16_384, 4_096
+#: Vectors of a shard and queries of a block: what one task holds. Blocks that one task takes in turn.
+SHARD_ROWS, BLOCK_ROWS, BLOCKS = 16_384, 4_096, 16
 
 
 class BallTree:
@@ -52,59 +54,89 @@ class BallTree:
 def search(tree: BallTree, vectors: np.ndarray, ids: np.ndarray, queries: np.ndarray, own: np.ndarray, k: int, floor: np.ndarray) -> list[tuple[np.ndarray, np.ndarray]]:
     """Per query the best k (scores, ids), best first; of them all that may beat floor[query], the kth score known so far.
 
-    Nodes are bounded by centre . query + radius * |query| and expanded level by level; a node goes once its bound is
-    under the query's kth score. Leaves are visited in order of bound, for many queries at once, and every visit raises the kth score.
+    Best first: each query goes on with the open node of the highest bound, centre . query + radius * |query|, and stops when that is under its kth score. A
+    node's children are opened with bounds no higher than its own, a leaf's vectors are scored, which raises the kth score. Queries that are at the same node take the step together.
     """
     scores = [np.zeros(0, np.int64) for _ in queries]
     found = [np.zeros(0, np.int64) for _ in queries]
     kth = floor.astype(float).copy()
     norms = np.sqrt((queries.astype(float) ** 2).sum(axis=1))
-    leaves: list[tuple[int, np.ndarray, np.ndarray]] = []
-    todo = [(0, np.arange(len(queries)))]
-    while todo:
-        node, who = todo.pop()
-        bound = queries[who] @ tree.centres[node] + tree.radii[node] * norms[who]
-        bound = bound + 1e-9 * np.abs(bound) + 1e-6
-        keep = bound >= kth[who]
-        who, bound = who[keep], bound[keep]
-        if not len(who):
-            continue
-        if tree.left[node] < 0:
-            leaves.append((node, who, bound))
-        else:
-            todo += [(tree.left[node], who), (tree.right[node], who)]
-    if not leaves:
-        return list(zip(scores, found, strict=True))
-    leaf = np.concatenate([np.full(len(w), i) for i, (_, w, _) in enumerate(leaves)])
-    who = np.concatenate([w for _, w, _ in leaves])
-    bound = np.concatenate([b for _, _, b in leaves])
-    by = np.lexsort((-bound, who))
-    leaf, who, bound = leaf[by], who[by], bound[by]
-    starts = np.searchsorted(who, np.arange(len(queries)))
-    rank = np.arange(len(who)) - starts[who]
-    for turn in range(int(rank.max()) + 1):
-        at = np.flatnonzero(rank == turn)
-        at = at[bound[at] >= kth[who[at]]]
-        if not len(at):
-            break
-        for i in np.unique(leaf[at]):
-            asked = who[at[leaf[at] == i]]
-            node = leaves[i][0]
+    opened = np.full((len(queries), len(tree.first)), -np.inf)
+
+    def bound(who: np.ndarray, node: int) -> np.ndarray:
+        got = queries[who] @ tree.centres[node] + tree.radii[node] * norms[who]
+        return got + 1e-9 * np.abs(got) + 1e-6  # above any rounding error
+
+    live = np.arange(len(queries))
+    opened[:, 0] = bound(live, 0)
+    while len(live):
+        best = opened[live].argmax(axis=1)
+        top = opened[live, best]
+        go = (top >= kth[live]) & (top > -np.inf)
+        live, best, top = live[go], best[go], top[go]
+        order = np.argsort(best, kind="stable")
+        cuts = np.flatnonzero(np.diff(best[order])) + 1
+        for at in np.split(order, cuts) if len(order) else []:
+            node, who = int(best[at[0]]), live[at]
+            opened[who, node] = -np.inf
+            if tree.left[node] >= 0:
+                for child in (tree.left[node], tree.right[node]):
+                    opened[who, child] = np.minimum(bound(who, child), top[at])
+                continue
             rows = tree.order[tree.first[node] : tree.last[node]]
-            table = queries[asked] @ vectors[rows].T
-            for q, line in zip(asked, table, strict=True):
+            for q, line in zip(who, queries[who] @ vectors[rows].T, strict=True):
                 good = np.flatnonzero((line >= kth[q]) & (ids[rows] != own[q]))
                 if not len(good):
                     continue
                 s = np.concatenate([scores[q], line[good].astype(np.int64)])
                 v = np.concatenate([found[q], ids[rows[good]]])
-                best = np.lexsort((v, -s))[:k]
-                scores[q], found[q] = s[best], v[best]
-                if len(best) == k:
-                    kth[q] = max(kth[q], float(s[best[-1]]))
+                first = np.lexsort((v, -s))[:k]
+                scores[q], found[q] = s[first], v[first]
+                if len(first) == k:
+                    kth[q] = max(kth[q], float(s[first[-1]]))
     return list(zip(scores, found, strict=True))
 
 
+def searched(k: int, block_rows: int):
+    """Searches groups of rows (grp, kind, id, v, low) that come one after the other: a shard's vectors (kind 0), of which one tree is built, then its queries, some at a time."""
+
+    def result(ids: list, got: list[tuple[np.ndarray, np.ndarray]]) -> pd.DataFrame:
+        sizes = [len(s) for s, _ in got]
+        table = {"query_id": np.repeat(np.array(ids, dtype=np.int64), sizes)}
+        table |= {"vec_id": np.concatenate([v for _, v in got]), "score": np.concatenate([s for s, _ in got])}
+        return pd.DataFrame(table)
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        now, held, asked, tree = None, [], [], None
+
+        def answers() -> pd.DataFrame:
+            nonlocal tree, asked
+            if tree is None:
+                matrix = np.stack([v for _, v in held])
+                tree = (BallTree(matrix), matrix, np.array([i for i, _ in held], dtype=np.int64))
+            own = [i for i, _, _ in asked]
+            got = search(*tree, np.stack([v for _, v, _ in asked]), np.array(own, dtype=np.int64), k, np.array([low for _, _, low in asked]))
+            asked = []
+            return result(own, got)
+
+        for batch in batches:
+            for group, kind, ident, v, low in zip(*(batch[c] for c in ("grp", "kind", "id", "v", "low")), strict=True):
+                if group != now:
+                    if asked and held:
+                        yield answers()
+                    now, held, asked, tree = group, [], [], None
+                if kind == 0:
+                    held.append((ident, v))
+                    continue
+                asked.append((ident, v, low))
+                if len(asked) == block_rows and held:
+                    yield answers()
+        if asked and held:
+            yield answers()
+
+    return run
+
+
 def scaled(embedding: Column, scale: int = 64) -> Column:
     """floor(scale * x) of each component; null for a vector that is null, empty or holds a null or non-finite component."""
     wide = embedding.cast("array<double>")
@@ -115,59 +147,48 @@ def scaled(embedding: Column, scale: int = 64) -> Column:
 def top_k(df: DataFrame, is_query: Column, k: int = 20, id_col: str = "vec_id", vector_col: str = "embedding", shard_rows: int = SHARD_ROWS, block_rows: int = BLOCK_ROWS) -> DataFrame:
     """The k best candidates of each query by inner product of scaled vectors: query_id, rank, vec_id, score.
 
-    Candidates are dealt to shards and queries to blocks by id; a task builds the ball tree of one shard and runs one block
-    through it. The first shard is searched before the others, so that these start from a kth score near
-    the final one. Each task returns at most k rows a query.
+    Candidates are dealt to shards by id. A task builds the ball tree of one shard once and runs all queries, or BLOCKS blocks of them, through it, a block at a time.
+    Shards are searched in waves of 1, 2, 4, ... shards, and each wave starts from the kth scores that all waves before have left, so most of a late shard's nodes are never opened. Each task returns at most k rows a query.
 
     A query's own id is no candidate; ties go to the smaller id. Rows with a null id, and vectors that are null, empty or hold null or
     non-finite components, take no part. A vector is compared with vectors of its own length only. Of rows that repeat an id, each is a candidate, and
-    the first by vector order is the query. Components must stay below 2 ** 24 in size, so that scores are exact.
+    the first by vector order is the query. Scores of 2 ** 53 or more aren't exact in doubles, so they are an error. Other columns of df aren't carried. An empty table gives an empty table.
     """
+    spark = df.sparkSession
     vectors = written(
         df.select(F.col(f"`{id_col}`").cast("long").alias("id"), scaled(F.col(f"`{vector_col}`")).alias("v"), is_query.alias("q"))
         .where("id is not null and v is not null")
         .withColumn("d", F.size("v")),
         "vectors",
     )
-    rows = vectors.count()
-    shards = max(1, -(-rows // shard_rows))
+    sums = vectors.agg(F.count(F.lit(1)).alias("n"), F.max(F.aggregate("v", F.lit(0.0), lambda a, x: a + x * x)).alias("most")).first()
+    if (sums["most"] or 0) >= 2.0**53:
+        raise ValueError("components are too large for exact scores")
+    shards = max(1, -(-sums["n"] // shard_rows))
     base = vectors.withColumn("shard", F.pmod(F.xxhash64("id"), F.lit(shards)).cast("int")).select("id", "v", "d", "shard")
-    asked = vectors.where("q").groupBy("id", "d").agg(F.min("v").alias("v"))
-    blocks = max(1, -(-asked.count() // block_rows))
-    asked = written(asked.withColumn("block", F.pmod(F.xxhash64("id", F.lit(5)), F.lit(blocks)).cast("int")), "asked")
-
-    def run(key: tuple, left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
-        if not len(left) or not len(right):
-            return pd.DataFrame({"query_id": [], "vec_id": [], "score": []}).astype("int64")
-        matrix = np.stack(left["v"].to_numpy())
-        asks = np.stack(right["v"].to_numpy())
-        got = search(BallTree(matrix), matrix, left["id"].to_numpy(), asks, right["id"].to_numpy(), k, right["floor"].to_numpy())
-        sizes = [len(s) for s, _ in got]
-        return pd.DataFrame(
-            {
-                "query_id": np.repeat(right["id"].to_numpy(), sizes),
-                "vec_id": np.concatenate([v for _, v in got]) if got else [],
-                "score": np.concatenate([s for s, _ in got]) if got else [],
-            }
-        ).astype("int64")
-
-    def wave(part: DataFrame, queries: DataFrame, numbers: Column) -> DataFrame:
-        copies = part.withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))))
-        sent = queries.withColumn("shard", F.explode(numbers))
-        keys = ["d", "shard", "block"]
-        return copies.groupBy(*keys).cogroup(sent.groupBy(*keys)).applyInPandas(run, "query_id long, vec_id long, score long")
-
+    asked = written(vectors.where("q").groupBy("id", "d").agg(F.min("v").alias("v")), "asked")
+    parts = max(1, -(-asked.count() // (BLOCKS * block_rows)))
+    nothing = F.lit(float("-inf"))
     best = Window.partitionBy("query_id").orderBy(F.col("score").desc(), "vec_id")
 
-    def kept(found: DataFrame) -> DataFrame:
-        return found.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k)
-
-    nothing = F.lit(float("-inf"))
-    first = written(kept(wave(base.where("shard = 0"), asked.withColumn("floor", nothing), F.array(F.lit(0)))).drop("rank"), "pilot")
-    if shards == 1:
-        return kept(first).select("query_id", "rank", "vec_id", "score")
-    known = first.groupBy(F.col("query_id").alias("id")).agg(F.min("score").alias("low"), F.count(F.lit(1)).alias("n"))
-    low = F.when(F.col("n") >= k, F.col("low").cast("double")).otherwise(nothing)
-    floored = written(asked.join(known, "id", "left").withColumn("floor", low).drop("low", "n"), "asked")
-    others = wave(base.where("shard > 0"), floored, F.sequence(F.lit(1), F.lit(shards - 1)))
-    return kept(first.unionByName(others)).select("query_id", "rank", "vec_id", "score")
+    def wave(first: int, last: int, queries: DataFrame) -> DataFrame:
+        """What the shards from `first` to before `last` have for the queries."""
+        group = F.xxhash64("d", "shard", "part").alias("grp")
+        copies = base.where(F.col("shard").between(first, last - 1)).withColumn("part", F.explode(F.sequence(F.lit(0), F.lit(parts - 1))))
+        sent = queries.withColumns({"shard": F.explode(F.sequence(F.lit(first), F.lit(last - 1))), "part": F.pmod(F.xxhash64("id", F.lit(5)), F.lit(parts)).cast("int")})
+        rows = copies.select(group, F.lit(0).alias("kind"), "id", "v", nothing.alias("low")).unionByName(sent.select(group, F.lit(1).alias("kind"), "id", "v", "low"))
+        dealt = rows.repartition((last - first) * parts, "grp").sortWithinPartitions("grp", "kind")
+        return dealt.mapInPandas(searched(k, block_rows), "query_id long, vec_id long, score long")
+
+    found = spark.createDataFrame([], "query_id long, vec_id long, score long")
+    first, width = 0, 1
+    while True:
+        known = found.groupBy(F.col("query_id").alias("id")).agg(F.min("score").alias("least"), F.count(F.lit(1)).alias("n"))
+        low = F.when(F.col("n") >= k, F.col("least").cast("double")).otherwise(nothing)
+        queries = asked.join(known, "id", "left").select("id", "d", "v", low.alias("low"))
+        last = min(shards, first + width)
+        ranked = found.unionByName(wave(first, last, queries)).withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k)
+        if last == shards:
+            return ranked.select("query_id", "rank", "vec_id", "score")
+        found = written(ranked.drop("rank"), "wave")
+        first, width = last, 2 * width
