@@ -19,8 +19,8 @@ TRAIN_ROWS = 20_000
 SUPPORT, ODDS, SURE = 4, 1.5, 2.5
 THRESHOLD = 0.3
 TREES, DEPTH, RATE, BINS = 60, 3, 0.15, 32
-#: Chunks between white space whose look a worker remembers.
-SEEN = 400_000
+#: Chunks between white space whose look a worker remembers, and terms that it counts before it passes the counts on.
+SEEN, COUNTED = 150_000, 150_000
 #: Words between an insult and a word of address that count as near.
 NEAR = 6
 
@@ -71,8 +71,8 @@ def terms_of(word: str) -> list[str]:
 class Reader:
     """Reads texts into features; what it has seen of a chunk between white space is remembered."""
 
-    def __init__(self, learned: dict[str, float]) -> None:
-        self.learned = learned
+    def __init__(self, learned: dict[str, float], most: int = SEEN) -> None:
+        self.learned, self.most = learned, most
         self.seen: dict[str, int] = {}
         self.strong: dict[str, float] = {}  # of seen chunks, those with a learned term
         # Every term that a word may match begins with the word's own first letters.
@@ -126,7 +126,7 @@ class Reader:
         n = len(chunks)
         if not n:
             return [0.0] * len(FEATURES)
-        if len(self.seen) > SEEN:
+        if len(self.seen) > self.most:
             self.seen.clear()
             self.strong.clear()
         seen, strong = self.seen, self.strong
@@ -254,11 +254,17 @@ class Model:
 def _terms(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     """Per fold, in how many toxic and other texts of this partition each term occurs."""
     count: Counter = Counter()
+    table = lambda got: pd.DataFrame([(*k, n) for k, n in got.items()], columns=["term", "fold", "toxic", "n"])
     for batch in batches:
         for text, fold, toxic in zip(batch["text"], batch["fold"], batch["toxic"], strict=True):
             count.update((t, fold, toxic) for t in {t for w in set(_CORE.findall(text.lower())) for t in terms_of(w)})
+            if len(count) > COUNTED:
+                yield table(count)
+                count.clear()
     if count:
-        yield pd.DataFrame([(*k, n) for k, n in count.items()], columns=["term", "fold", "toxic", "n"])
+        yield table(count)
+    count.clear()
+    release_memory()
 
 
 def lexicon(table: np.ndarray, terms: list[str], rows: np.ndarray) -> dict[str, float]:
@@ -331,10 +337,12 @@ def fit_sample(sample: DataFrame) -> Model:
     learned = lexicon(table.sum(axis=1), names, sizes.sum(axis=0))
 
     def features(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        readers = [Reader(x) for x in own]
+        readers = [Reader(x, SEEN // 3) for x in own]
         for batch in batches:
             x = [readers[f].read(t) for f, t in zip(batch["fold"], batch["text"], strict=True)]
             yield pd.DataFrame({"ident": batch["ident"], "fold": batch["fold"], "toxic": batch["toxic"], "x": x})
+        readers.clear()
+        release_memory()
 
     got = sample.mapInPandas(features, "ident string, fold int, toxic int, x array<double>").toPandas().sort_values(["ident", "x"], key=lambda c: c.map(str), kind="stable")
     x, y, fold_of = np.stack(got["x"].to_numpy()), got["toxic"].to_numpy().astype(float), got["fold"].to_numpy()
