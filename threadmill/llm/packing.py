@@ -20,7 +20,7 @@ END_ID = 0
 #: Pieces of one length are numbered in groups side by side: so many groups in all at most, besides one a length, and rows that a group has at least.
 RANK_GROUPS, GROUP_ROWS = 16_384, 256
 #: Words a worker remembers the ids of (and sixteen times as many ids), and bytes of text that are split at once.
-MEMORY, SLICE_BYTES = 250_000, 4_000_000
+MEMORY, SLICE_BYTES = 250_000, 2_000_000
 OUT = ("piece", "start", "length", "ids_crc32", "sequence_id", "offset")
 PIECE_SCHEMA = "piece int, start long, length long, ids_crc32 long"
 
