@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import difflib
 import unicodedata
+from collections.abc import Callable
 
 import pandas as pd
 from pyspark.sql import Column, functions as F, types as Y
@@ -31,12 +32,22 @@ def nfkc_casefold(texts: pd.Series) -> pd.Series:
     return texts.map(lambda t: t if t is None else t.lower() if t.isascii() else unicodedata.normalize("NFKC", t).casefold())
 
 
+@F.pandas_udf(Y.StringType())
+def casefold(texts: pd.Series) -> pd.Series:
+    return texts.map(lambda t: t if t is None else t.casefold())
+
+
 @F.pandas_udf(Y.DoubleType())
 def sequence_ratio(a: pd.Series, b: pd.Series) -> pd.Series:
     """Ratcliff-Obershelp similarity of a with b (not symmetric); the standard library's matcher defines it."""
     return pd.Series([difflib.SequenceMatcher(None, x, y).ratio() for x, y in zip(a, b, strict=True)], dtype=float)
 
 
+def once(value: Column, f: Callable[[Column], Column]) -> Column:
+    """f of a value that is worked out once, however often f uses it."""
+    return F.transform(F.array(value), f)[0]
+
+
 def squeeze(c: Column) -> Column:
     return F.trim(F.regexp_replace(c, SPACE, " "))
 
@@ -52,20 +63,25 @@ def tokens(c: Column) -> Column:
 def post_text(raw: Column) -> Column:
     """Struct of a post's normalised text and flags; a null text is empty."""
     raw = F.coalesce(raw, F.lit(""))
+
+    def fields(x: Column) -> Column:
+        clean, base = x["clean"], x["base"]
+        return F.struct(
+            raw.alias("post_text_raw"),
+            clean.alias("post_text_clean"),
+            squeeze(F.regexp_replace(clean, r"[^a-z0-9\s]", " ")).alias("post_text_alnum"),
+            F.size(tokens(clean)).cast("long").alias("post_token_count"),
+            F.length(clean).cast("long").alias("post_char_count"),
+            base.rlike(rf"(?<!{WORD})#{WORD}+").alias("has_hashtag"),
+            base.rlike(POST_URL).alias("has_url"),
+            base.rlike(rf"(?<!{WORD})@{WORD}+").alias("has_mention"),
+            base.rlike(SPECIAL).alias("has_special_chars"),
+            base.rlike(NON_ASCII).alias("has_non_ascii"),
+        )
+
     base = F.regexp_replace(straight(nfkc(raw)), r"[\r\n\t]", " ")
-    clean = squeeze(F.regexp_replace(F.lower(base), POST_SEPARATORS, " "))
-    return F.struct(
-        raw.alias("post_text_raw"),
-        clean.alias("post_text_clean"),
-        squeeze(F.regexp_replace(clean, r"[^a-z0-9\s]", " ")).alias("post_text_alnum"),
-        F.size(tokens(clean)).cast("long").alias("post_token_count"),
-        F.length(clean).cast("long").alias("post_char_count"),
-        base.rlike(rf"(?<!{WORD})#{WORD}+").alias("has_hashtag"),
-        base.rlike(POST_URL).alias("has_url"),
-        base.rlike(rf"(?<!{WORD})@{WORD}+").alias("has_mention"),
-        base.rlike(SPECIAL).alias("has_special_chars"),
-        base.rlike(NON_ASCII).alias("has_non_ascii"),
-    )
+    both = lambda b: F.struct(b.alias("base"), squeeze(F.regexp_replace(F.lower(b), POST_SEPARATORS, " ")).alias("clean"))
+    return once(base, lambda b: once(both(b), fields))
 
 
 def _core(folded: Column, separators: str) -> Column:
@@ -162,3 +178,46 @@ def time_parts(ts: Column) -> list[Column]:
         day.isin(5, 6).alias("post_is_weekend"),
         F.coalesce(F.month(ts), F.lit(0)).alias("post_month"),
     ]
+
+
+def key_normal(raw: Column) -> Column:
+    """A match key: trimmed, case-folded, runs of white space as one blank."""
+    return squeeze(casefold(F.coalesce(raw, F.lit(""))))
+
+
+def simple_key(raw: Column) -> Column:
+    """The lexical key of a name: compatibility form in lower case, without anything but letters, digits and single blanks."""
+    return squeeze(F.regexp_replace(F.lower(nfkc(raw)), r"[^\p{L}\p{N}\s]", " "))
+
+
+def text_tests(raw: Column, stopwords: list[str], short: int = 3) -> dict[str, Column]:
+    """Tests of a name: emoji, repeated separators, white space at its ends, shortness, little information, mostly stopwords."""
+    words = tokens(squeeze(F.lower(raw)))
+    stops = F.size(F.filter(words, lambda w: w.isin(*stopwords)))
+    return {
+        "has_emoji": raw.rlike(r"[\x{1F300}-\x{1FAFF}\x{2600}-\x{27BF}]"),
+        "has_repeated_separator": raw.rlike(r"[-_.,/&]{2,}"),
+        "has_edge_space": raw.rlike(r"^\s|\s$"),
+        "is_short": F.length(F.trim(raw)) < short,
+        "is_low_information": ~raw.rlike(r"[\p{L}]"),
+        "is_mostly_stopwords": (F.size(words) > 0) & (stops * 2 > F.size(words)),
+    }
+
+
+def iso_time(value: Column) -> Column:
+    """An ISO time as a timestamp: Z is UTC, a time without a zone is UTC too (the session's zone must be), what doesn't parse is null."""
+    return F.try_to_timestamp(F.regexp_replace(F.trim(value), "Z$", "+00:00"))
+
+
+def file_matches(staged: Column, name: Column) -> Column:
+    """Whether a staged file's path is a name, or ends in it after a slash."""
+    return (staged == name) | staged.endswith(F.concat(F.lit("/"), name))
+
+
+def human_bytes(n: Column) -> Column:
+    """Bytes with a unit, one decimal."""
+    units = ("B", "KB", "MB", "GB")
+    out = F.format_string("%.1f TB", n / 1024.0**4)
+    for i in reversed(range(len(units))):
+        out = F.when(n < 1024.0 ** (i + 1), F.format_string(f"%.1f {units[i]}", n / 1024.0**i)).otherwise(out)
+    return out

@@ -30,7 +30,8 @@ def usable(clean: str, words: list[str], is_hashtag: bool) -> bool:
         return False
     if len(words) == 1:
         return len(words[0]) >= 3 and words[0] not in ARTIFACTS and words[0] not in BLOCKED and (is_hashtag or not ID_LIKE.match(words[0]))
-    if words[0] in STOPSET or words[-1] in STOPSET:
+    # N-grams only: a hashtag may begin or end with a stopword.
+    if not is_hashtag and (words[0] in STOPSET or words[-1] in STOPSET):
         return False
     links = sum(w in ARTIFACTS for w in words)
     return links < 2 and links / len(words) < 0.5 and (is_hashtag or not any(ID_LIKE.match(w) for w in words))

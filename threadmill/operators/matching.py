@@ -133,19 +133,28 @@ def match(candidates: DataFrame, trends: DataFrame, days: int = WINDOW_DAYS, mos
     order = Window.partitionBy("candidate_id").orderBy(F.col("score").desc(), F.col("counts").desc_nulls_last(), "name", "trend_id")
     every = Window.partitionBy("candidate_id")
     ranked = found.withColumns({"stage_rank": F.row_number().over(order), "ambiguity_count": F.count(F.lit(1)).over(every)}).where(F.col("stage_rank") <= most)
+    place = [c for c in ("candidate_rank_in_post",) if c in timed.columns]
     return (
-        timed.select("candidate_id", "uri", "key", "mode")
+        timed.select("candidate_id", "uri", "key", "mode", *place)
         .join(ranked, "candidate_id", "left")
         .withColumns({"stage": F.coalesce("stage", F.lit("unmatched")), "is_matched": F.col("trend_id").isNotNull(), "is_ambiguous": F.coalesce(F.col("ambiguity_count") > 1, F.lit(False))})
     )
 
 
 def best_per_post(matches: DataFrame) -> DataFrame:
-    """One row per uri: stage, score, counts (null last), name, then candidate."""
+    """One row per uri: stage, score, counts (null last), name, then the candidate's rank in its post where that is known, its phrase, and its number."""
     stage = F.create_map(*[F.lit(x) for kv in STAGES.items() for x in kv])[F.col("stage")]
-    w = Window.partitionBy("uri").orderBy(stage, F.col("score").desc_nulls_last(), F.col("counts").desc_nulls_last(), F.col("name").asc_nulls_last(), "candidate_id", F.col("trend_id").asc_nulls_last())
+    rank = [F.col(c).asc_nulls_last() for c in ("candidate_rank_in_post",) if c in matches.columns]
+    w = Window.partitionBy("uri").orderBy(stage, F.col("score").desc_nulls_last(), F.col("counts").desc_nulls_last(), F.col("name").asc_nulls_last(), *rank, "key", "candidate_id", F.col("trend_id").asc_nulls_last())
     return matches.withColumn("_best", F.row_number().over(w)).where("_best = 1").drop("_best")
 
 
 def length_bounds(n: int, least: float = FUZZY) -> tuple[int, int]:
     return math.ceil(n * least / (2 - least)), math.floor(n * (2 - least) / least)
+
+
+def best_per_candidate(matches: DataFrame) -> DataFrame:
+    """One row per candidate: stage, its rank in the stage, then trend."""
+    stage = F.create_map(*[F.lit(x) for kv in STAGES.items() for x in kv])[F.col("stage")]
+    w = Window.partitionBy("candidate_id").orderBy(stage, F.col("stage_rank").asc_nulls_last(), F.col("trend_id").asc_nulls_last())
+    return matches.withColumn("_best", F.row_number().over(w)).where("_best = 1").drop("_best")

@@ -59,3 +59,15 @@ def coverage(df: DataFrame, hits: list[str]) -> DataFrame:
 
 def top_counts(df: DataFrame, column: str, k: int) -> DataFrame:
     return df.groupBy(F.col(column).cast("string").alias("value")).agg(F.count(F.lit(1)).alias("n")).orderBy(F.col("n").desc(), F.col("value").asc_nulls_last()).limit(k)
+
+
+def numbered(df: DataFrame, key: str, parts: int = 200, name: str = "surrogate_id") -> DataFrame:
+    """df with each row's place in order of a distinct numeric key, from 0: keys are cut into ranges at approximate quantiles, and a row's place in its range is added to the rows before it."""
+    cuts = df.agg(F.percentile_approx(key, F.array(*[F.lit(i / parts) for i in range(1, parts)])).alias("q")).first()["q"] or []  # `parts` numbers
+    cuts = sorted(set(cuts))
+    part = F.size(F.filter(F.array(*map(F.lit, cuts)), lambda q: q < F.col(key))) if cuts else F.lit(0)
+    dealt = df.withColumn("_part", part)
+    sizes = dealt.groupBy("_part").agg(F.count(F.lit(1)).alias("_n"))
+    before = sizes.select("_part", F.coalesce(F.sum("_n").over(Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_before"))
+    rank = F.row_number().over(Window.partitionBy("_part").orderBy(key)) - 1
+    return dealt.withColumn("_rank", rank).join(F.broadcast(before), "_part").withColumn(name, F.col("_before") + F.col("_rank")).drop("_part", "_rank", "_before")

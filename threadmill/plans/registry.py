@@ -73,15 +73,11 @@ def join_coverage(spark: SparkSession, sf: str) -> DataFrame:
 
 @query("SELECT user_id, row_number() OVER (ORDER BY user_id) - 1 AS surrogate_id FROM (SELECT DISTINCT user_id FROM events)")
 def surrogate_ids(spark: SparkSession, sf: str) -> DataFrame:
-    """Positions of keys in order: range partitions are counted, so no task numbers all rows."""
-    keys = table(spark, sf, "events").select("user_id").distinct()
-    ranked = keys.rdd.map(lambda r: r[0]).sortBy(lambda x: x).zipWithIndex()
-    return spark.createDataFrame(ranked, "user_id long, surrogate_id long")
+    return relational.numbered(table(spark, sf, "events").select("user_id").distinct(), "user_id")
 
 
 # Text
 
-_FOLD = "replace(lower({0}), 'ß', 'ss')"
 _POST = r"""
 WITH c AS (SELECT doc_id, text, regexp_replace(text, '[\r\n\t]', ' ', 'g') AS base FROM documents),
 d AS (SELECT *, trim(regexp_replace(regexp_replace(lower(base), '[&\-/_,.;:!?(){{}}\[\]"`]+', ' ', 'g'), '[\s\x1c-\x1f\x85\p{{Z}}]+', ' ', 'g')) AS clean FROM c),
@@ -153,7 +149,7 @@ def _drawn_candidates(spark: SparkSession, sf: str) -> DataFrame:
     said = table(spark, sf, "conversations").select("conv_id", "turn", _said_on().alias("candidate_date"), T.post_text(F.col("text")).alias("p"))
     posts = said.select(F.struct("conv_id", "turn", "candidate_date").alias("uri"), "p.post_text_clean", "p.post_text_alnum")
     number = (F.col("uri.conv_id") * 1000 + F.col("uri.turn")) * 100 + F.col("candidate_rank_in_post")
-    return candidates.generate(posts).select(number.alias("candidate_id"), F.col("uri.conv_id").alias("uri"), F.col("candidate_phrase_alnum").alias("key"), F.col("uri.candidate_date").alias("candidate_date"))
+    return candidates.generate(posts).select(number.alias("candidate_id"), F.col("uri.conv_id").alias("uri"), F.col("candidate_phrase_alnum").alias("key"), F.col("uri.candidate_date").alias("candidate_date"), "candidate_rank_in_post")
 
 
 def _keyed_trends(spark: SparkSession, sf: str) -> DataFrame:
@@ -264,18 +260,22 @@ def temporal_coverage(spark: SparkSession, sf: str) -> DataFrame:
     return got.withColumns({c: F.col(c).cast("string") for c in ("first_day", "last_day")})
 
 
-@query("""WITH s AS (SELECT DISTINCT CAST(o_orderdate AS DATE) AS day FROM orders WHERE o_orderpriority LIKE '1%' AND o_custkey % 7 = 0)
+@query("""WITH s AS (SELECT DISTINCT CAST(o_orderdate AS DATE) AS day FROM orders)
 SELECT CAST(day AS VARCHAR) AS day FROM (SELECT unnest(generate_series((SELECT min(day) FROM s), (SELECT max(day) FROM s), INTERVAL 1 DAY))::DATE AS day) WHERE day NOT IN (SELECT day FROM s)""")
 def missing_days(spark: SparkSession, sf: str) -> DataFrame:
-    """Over all orders; the SQL holds a filter on priority and customer, so its rows are more (see the README)."""
     return quality.missing_days(table(spark, sf, "orders"), F.to_date("o_orderdate")).withColumn("day", F.col("day").cast("string"))
 
 
-@query("SELECT lower(left(text, 12)) AS k, count(DISTINCT text) AS variants, count(*) AS n FROM conversations GROUP BY 1 HAVING count(DISTINCT text) > 1")
+@query(r"""
+WITH t AS (SELECT text, DATE '2024-01-01' + CAST(conv_id % 40 AS INTEGER) AS day, replace(replace(lower(coalesce(text, '')), '’', ''''), '‘', '''') AS low FROM conversations),
+k AS (SELECT text, day, trim(regexp_replace(trim(regexp_replace(regexp_replace(regexp_replace(regexp_replace(trim(regexp_replace(replace(low, 'ß', 'ss'), '[\s\p{Z}]+', ' ', 'g')), '[&\-.,/_]+', ' ', 'g'), '''', ' ', 'g'),
+  '[^\p{L}\p{N}_\s\p{Z}#$]', ' ', 'g'), '[\s\p{Z}]+', ' ', 'g')), '^#', '')) AS k FROM t),
+g AS (SELECT day, k, count(DISTINCT text) AS variants, count(*) AS n, CAST(count(*) - count(DISTINCT text) - max(CASE WHEN text IS NULL THEN 1 ELSE 0 END) AS BIGINT) AS duplicates_before, count(*) - 1 AS duplicates_after FROM k GROUP BY 1, 2)
+SELECT CAST(day AS VARCHAR) AS day, k, variants, n, duplicates_before, duplicates_after, 'group' AS level FROM g WHERE variants > 1
+UNION ALL SELECT NULL, NULL, CAST(coalesce(sum(variants), 0) AS BIGINT), CAST(coalesce(sum(n), 0) AS BIGINT), CAST(coalesce(sum(duplicates_before), 0) AS BIGINT), CAST(coalesce(sum(duplicates_after), 0) AS BIGINT), 'all' FROM g""")
 def duplicate_impact(spark: SparkSession, sf: str) -> DataFrame:
-    """Over the whole normalised texts by day; the SQL groups by a prefix and has no counts before and after, so its rows differ (see the README)."""
     said = table(spark, sf, "conversations").select("text", T.trend_name(F.col("text"))["normalized_key_no_hash"].alias("k"), _said_on().alias("day"))
-    return quality.duplicate_impact(said, ["k"], "text", "day")
+    return quality.duplicate_impact(said, ["k"], "text", "day").withColumn("day", F.col("day").cast("string"))
 
 
 @query(r"""SELECT count(*) AS n, count(*) FILTER (contains(url, '#')) AS with_hash, count(*) FILTER (contains(url, '&')) AS with_ampersand, count(*) FILTER (contains(url, '''')) AS with_apostrophe, count(*) FILTER (contains(url, '-')) AS with_hyphen,
@@ -287,7 +287,7 @@ def text_noise(spark: SparkSession, sf: str) -> DataFrame:
 
 @query("SELECT source, count(*) AS rows, count(DISTINCT text) AS distinct_texts, count(*) FILTER (trim(text) <> '') AS with_text FROM documents GROUP BY source")
 def source_ranking(spark: SparkSession, sf: str) -> DataFrame:
-    return table(spark, sf, "documents").groupBy("source").agg(F.count(F.lit(1)).alias("rows"), F.countDistinct("text").alias("distinct_texts"), F.count_if(F.trim("text") != "").alias("with_text"))
+    return table(spark, sf, "documents").groupBy("source").agg(F.count(F.lit(1)).alias("rows"), F.countDistinct(F.sha2("text", 256)).alias("distinct_texts"), F.count_if(F.trim("text") != "").alias("with_text"))
 
 
 @query("SELECT CAST(event_type AS VARCHAR) AS value, count(*) AS n FROM events GROUP BY 1 ORDER BY n DESC, value LIMIT 3")
@@ -295,10 +295,13 @@ def value_counts(spark: SparkSession, sf: str) -> DataFrame:
     return relational.top_counts(table(spark, sf, "events"), "event_type", 3)
 
 
-@query("SELECT source AS family, count(*) AS local_rows, count(DISTINCT doc_id) AS local_keys, count(*) AS landing_rows, count(DISTINCT doc_id) AS landing_keys, true AS agrees FROM documents GROUP BY 1")
+@query("""WITH a AS (SELECT source AS family, count(*) AS local_rows, count(DISTINCT doc_id) AS local_keys FROM documents GROUP BY 1),
+b AS (SELECT source AS family, count(*) AS landing_rows, count(DISTINCT doc_id) AS landing_keys FROM documents WHERE doc_id IN (SELECT doc_id FROM labels) GROUP BY 1)
+SELECT family, local_rows, local_keys, landing_rows, landing_keys, local_rows IS NOT DISTINCT FROM landing_rows AND local_keys IS NOT DISTINCT FROM landing_keys AS agrees FROM a FULL JOIN b USING (family)""")
 def load_parity(spark: SparkSession, sf: str) -> DataFrame:
+    """All documents against those that have landed a label."""
     docs = table(spark, sf, "documents").select(F.col("source").alias("family"), "doc_id")
-    return quality.parity(docs, docs, "family", "doc_id")
+    return quality.parity(docs, docs.join(table(spark, sf, "labels").select("doc_id"), "doc_id", "left_semi"), "family", "doc_id")
 
 
 @query("SELECT quality, toxic, count(*) AS n FROM labels GROUP BY 1, 2")
