@@ -62,3 +62,13 @@ def test_crc_is_of_the_ids_with_the_end():
 
     assert text.tolist() == [0, 1, 1] and length.tolist() == [1, 2, 2] and start.tolist() == [0, 0, 2]
     assert crc.tolist() == [zlib.crc32(np.array(x, "<u4").tobytes()) for x in ([0], [5, 6], [7, 0])]
+
+
+def test_mix_keeps_null_and_repeated_ids_apart(spark):
+    from threadmill.llm import mixing
+
+    rows = [(None, "a", 10, 5), (None, "a", 10, 5), (3, None, 40, 5), (3, "b", 0, 5), (4, "b", 25_000, 5)]
+    df = spark.createDataFrame(rows, "doc_id long, source string, size long, target int")
+    got = mixing.mix(df).collect()
+    assert len(got) == 5 and all(0 <= r["taken"] <= 3 * r["size"] for r in got)
+    assert {r["source"]: r["source_size"] for r in got} == {"a": 20, "b": 25_000, None: 40}

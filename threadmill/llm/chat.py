@@ -112,7 +112,8 @@ def reply_order(df: DataFrame, conv_col: str = "conv_id", turn_col: str = "turn"
     threads stay together. The order is that of one range sort, so a very long conversation is split among tasks.
 
     A row per row of df. Null texts are empty. Rows with a null conversation form one conversation, and so on with turns: null turns come first and link to nothing. Rows that repeat a
-    conversation and turn are messages of the same place; a quote of either links to that turn, and the parent is the earliest of those their quotes name. An empty table gives an empty table.
+    conversation and turn are messages of the same place; a quote of either links to that turn, and the parent is the earliest of those their quotes name. A very long message is parsed whole, in one row. Other columns
+    of df aren't carried, so their names can't clash. An empty table gives an empty table.
     """
     base = df.select(
         F.col(f"`{conv_col}`").cast("long").alias("conv"), F.col(f"`{turn_col}`").cast("long").alias("turn"), F.col(f"`{role_col}`").alias("role"), text_of(text_col).alias("text")

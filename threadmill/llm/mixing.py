@@ -114,7 +114,8 @@ def mix(
     So a document gives `copies` whole copies and its first `part` words: taken = copies * size + part.
 
     Null sources form one source, last in order. Empty documents and null ids take part with what
-    size they have. Rows that repeat an id are separate documents. An empty table gives an empty table.
+    size they have. Rows that repeat an id are separate documents. A very long document counts with its whole size, and a block may cut it
+    anywhere. Columns of df named like an added one are replaced. An empty table gives an empty table.
     """
     source, size, ident = F.col(f"`{source_col}`"), F.col(f"`{size_col}`"), F.col(f"`{id_col}`")
     drop = ["source_size", "target", "copies", "part", "taken"]
