@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from threadmill.functions import text as T
-from threadmill.operators.relational import freshest_by_key, left_with_hit, null_safe_total, one_per_key
+from threadmill.operators.relational import freshest_by_key, left_with_hit, null_safe_total, one_per_key, quantiles
 
 
 def candidate_counts(matches: DataFrame) -> DataFrame:
@@ -20,7 +20,7 @@ def engagement_label(df: DataFrame, total: str, low: float = 0.33, high: float =
 
     The quantiles are exact; they and the class sizes are one row, so they are broadcast.
     """
-    q = df.agg(F.percentile(total, F.array(F.lit(low), F.lit(high))).alias("q")).select(F.col("q")[0].alias("q_low"), F.col("q")[1].alias("q_high"))
+    q = quantiles(df, total, [low, high]).select(F.col("q")[0].alias("q_low"), F.col("q")[1].alias("q_high"))
     sizes = df.crossJoin(F.broadcast(q)).groupBy("q_low", "q_high").agg(
         F.count_if(F.col(total) <= F.col("q_low")).alias("n_low"),
         F.count_if((F.col(total) > F.col("q_low")) & (F.col(total) <= F.col("q_high"))).alias("n_mid"),

@@ -2,10 +2,14 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.ml import Pipeline
 from pyspark.ml.classification import LogisticRegression, RandomForestClassifier
 from pyspark.ml.feature import StringIndexer, VectorAssembler
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
+
+from threadmill.operators.relational import places, quantiles
 
 SEED, TEST_SHARE = 42, 0.30
 
@@ -16,15 +20,14 @@ def seeded(key: str, seed: int = SEED) -> Column:
 
 def stratified_split(df: DataFrame, label: str, key: str, share: float = TEST_SHARE, seed: int = SEED) -> DataFrame:
     """df with `split`: per class, round(n * share) rows in seeded order are test, at least one and at most all but one; a single row trains."""
-    n = F.count(F.lit(1)).over(Window.partitionBy(label))
-    rank = F.row_number().over(Window.partitionBy(label).orderBy(seeded(key, seed), key))
+    n = F.col("_n")
     test = F.when(n <= 1, 0).otherwise(F.least(n - 1, F.greatest(F.lit(1), F.bround(n * share))))
-    return df.withColumn("split", F.when(rank <= test, "test").otherwise("train"))
+    return places(df, label, seeded(key, seed), key).withColumn("split", F.when(F.col("_rank") <= test, "test").otherwise("train")).drop("_rank", "_n")
 
 
 def encode(train: DataFrame, df: DataFrame, numeric: list[str]) -> DataFrame:
     """Numeric columns with nulls at the training median, centred and scaled by its population deviation (1 where that is 0)."""
-    median = train.agg(*[F.median(c).alias(f"{c}_median") for c in numeric])
+    median = reduce(DataFrame.crossJoin, [quantiles(train, c, [0.5]).select(F.col("q")[0].alias(f"{c}_median")) for c in numeric])
     filled = train.crossJoin(F.broadcast(median)).select(*[F.coalesce(F.col(c), F.col(f"{c}_median")).alias(c) for c in numeric])
     moments = filled.agg(*[x for c in numeric for x in (F.avg(c).alias(f"{c}_mean"), F.stddev_pop(c).alias(f"{c}_std"))])
     stats = median.crossJoin(moments)
@@ -58,11 +61,9 @@ def class_weights(df: DataFrame, label: str) -> DataFrame:
 
 def balanced_resample(df: DataFrame, label: str, key: str) -> DataFrame:
     """Every class as large as the largest: its rows go round in seeded order; column `copy` numbers the rounds."""
-    counts = df.groupBy(label).agg(F.count(F.lit(1)).alias("_n"))
-    most = counts.agg(F.max("_n").alias("_most"))
-    rank = F.row_number().over(Window.partitionBy(label).orderBy(seeded(key), key)) - 1
-    times = F.floor((F.col("_most") - 1 - F.col("_rank")) / F.col("_n"))
-    sized = df.join(F.broadcast(counts.crossJoin(most)), label).withColumn("_rank", rank)
+    most = df.groupBy(label).agg(F.count(F.lit(1)).alias("_size")).agg(F.max("_size").alias("_most"))
+    times = F.floor((F.col("_most") - F.col("_rank")) / F.col("_n"))
+    sized = places(df, label, seeded(key), key).crossJoin(F.broadcast(most))
     return sized.withColumn("copy", F.explode(F.sequence(F.lit(0).cast("long"), times))).drop("_n", "_most", "_rank")
 
 
@@ -133,8 +134,6 @@ def experiments(split: DataFrame, label: str, key: str, features: list[str], l2:
 
 
 def scored(models: dict[str, tuple[Pipeline, DataFrame]], test: DataFrame, label: str, key: str) -> DataFrame:
-    from functools import reduce
-
     from threadmill.operators.quality import class_metrics
 
     rows = [class_metrics(predictions(p.fit(own), test, label, key), "label", "predicted").withColumn("model", F.lit(name)) for name, (p, own) in models.items()]

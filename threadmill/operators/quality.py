@@ -4,18 +4,19 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from threadmill.operators.relational import quantiles
+
 
 def describe(df: DataFrame, column: str) -> DataFrame:
-    p = F.percentile(column, F.array(*map(F.lit, (0.5, 0.9, 0.95, 0.99))))
+    p = quantiles(df, column, [0.5, 0.9, 0.95, 0.99])
     c = F.col(column)
-    return df.agg(F.count(c).alias("n"), F.avg(c).alias("mean"), F.stddev_samp(c).alias("std"), F.min(c).alias("min"), p.alias("p"), F.max(c).alias("max")).select(
-        "n", "mean", "std", "min", *[F.col("p")[i].alias(n) for i, n in enumerate(("p50", "p90", "p95", "p99"))], "max"
-    )
+    one = df.agg(F.count(c).alias("n"), F.avg(c).alias("mean"), F.stddev_samp(c).alias("std"), F.min(c).alias("min"), F.max(c).alias("max"))
+    return one.crossJoin(F.broadcast(p)).select("n", "mean", "std", "min", *[F.col("q")[i].alias(n) for i, n in enumerate(("p50", "p90", "p95", "p99"))], "max")
 
 
 def iqr_outliers(df: DataFrame, column: str) -> DataFrame:
     """Bounds 1.5 interquartile ranges beyond the quartiles, and the rows outside."""
-    q = df.agg(F.percentile(column, F.array(F.lit(0.25), F.lit(0.75))).alias("q"))
+    q = quantiles(df, column, [0.25, 0.75])
     reach = 1.5 * (F.col("q")[1] - F.col("q")[0])
     bounds = q.select((F.col("q")[0] - reach).alias("lower_bound"), (F.col("q")[1] + reach).alias("upper_bound"))
     out = (F.col(column) < F.col("lower_bound")) | (F.col(column) > F.col("upper_bound"))
