@@ -4,9 +4,13 @@ import random
 
 import numpy as np
 import pytest
+from pyspark.errors import PySparkException
+from pyspark.sql import functions as F
 
+from threadmill.functions import text as T
 from threadmill.operators.models import seeded
 from threadmill.operators.relational import places, quantiles
+from threadmill.sources import events
 
 SHARES = [0.0, 0.25, 0.33, 0.5, 0.66, 0.9, 0.99, 1.0]
 
@@ -39,3 +43,16 @@ def test_places_follow_the_digest(spark):
     for g in (None, 0, 1):
         own = sorted((k for k, x in rows if x == g), key=lambda k: (digests[k], k))
         assert [got[k] for k in own] == [(i + 1, len(own)) for i in range(len(own))]
+
+
+def test_one_leading_symbol_goes_before_punctuation(spark):
+    names = spark.createDataFrame([("#A-b",), ("-#a",), (" #$x y",), ("##a",), (None,)], "n string")
+    got = [(r["t"]["normalized_key_with_hash"], r["t"]["normalized_key_no_hash"], r["t"]["normalized_key_no_dollar"]) for r in names.select(T.trend_name(F.col("n")).alias("t")).collect()]
+    assert got == [("#a b", "a b", "a b"), ("#a", "#a", "#a"), ("#$x y", "$x y", "x y"), ("##a", "#a", "#a"), ("", "", "")]
+
+
+def test_a_row_that_fits_two_families_is_an_error(spark):
+    both = '{"repo_did": 1, "has_reply": 1, "has_embed": 1, "cid_at_capture": 1, "reason": 1, "attempt_count": 1}'
+    with pytest.raises(PySparkException, match="two families"):
+        spark.createDataFrame([(both,)], "j string").select(events.family_of_row(F.col("j"))).collect()
+    assert spark.createDataFrame([("[]",), (None,), ("x",)], "j string").select(events.family_of_row(F.col("j"))).distinct().collect() == [(None,)]

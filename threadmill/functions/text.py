@@ -94,35 +94,48 @@ def _alnum(c: Column) -> Column:
 
 
 def trend_name(raw: Column) -> Column:
-    """Struct of a trend name's normalised keys and flags; null and blank names have empty keys."""
+    """Struct of a trend name's normalised keys and flags; null and blank names have empty keys. One leading # or $ goes before punctuation does, so that of `-#a` stays."""
     raw = F.coalesce(raw.cast("string"), F.lit(""))
-    with_hash = _core(squeeze(nfkc_casefold(straight(raw))), TREND_SEPARATORS)
-    no_hash = F.trim(F.regexp_replace(with_hash, r"^#", ""))
-    no_dollar = F.trim(F.regexp_replace(no_hash, r"^\$", ""))
-    return F.struct(
-        raw.alias("trend_name_raw"),
-        with_hash.alias("trend_name_clean"),
-        no_hash.alias("normalized_key_no_hash"),
-        no_dollar.alias("normalized_key_no_dollar"),
-        _alnum(no_hash).alias("trend_name_alnum"),
-        F.size(tokens(no_hash)).cast("long").alias("trend_name_token_count"),
-        F.length(no_hash).cast("long").alias("trend_name_char_count"),
-        (squeeze(raw) == "").alias("is_blank_raw"),
-        squeeze(raw).startswith("#").alias("is_hashtag"),
-        raw.rlike(SPECIAL).alias("has_special_chars"),
-        raw.rlike(NON_ASCII).alias("has_non_ascii"),
-        raw.rlike(TREND_URL).alias("has_url_like"),
-    )
+
+    def fields(low: Column) -> Column:
+        with_hash = _core(low, TREND_SEPARATORS)
+        no_hash = _core(F.regexp_replace(low, r"^#", ""), TREND_SEPARATORS)
+        return once(F.struct(with_hash.alias("with_hash"), no_hash.alias("no_hash")), named)
+
+    def named(x: Column) -> Column:
+        with_hash, no_hash = x["with_hash"], x["no_hash"]
+        no_dollar = F.trim(F.regexp_replace(no_hash, r"^\$", ""))
+        return F.struct(
+            raw.alias("trend_name_raw"),
+            with_hash.alias("trend_name_clean"),
+            no_hash.alias("trend_name_clean_no_hash"),
+            no_dollar.alias("trend_name_clean_no_dollar"),
+            with_hash.alias("normalized_key_with_hash"),
+            no_hash.alias("normalized_key_no_hash"),
+            no_dollar.alias("normalized_key_no_dollar"),
+            _alnum(no_hash).alias("trend_name_alnum"),
+            F.size(tokens(no_hash)).cast("long").alias("trend_name_token_count"),
+            F.length(no_hash).cast("long").alias("trend_name_char_count"),
+            (squeeze(raw) == "").alias("is_blank_raw"),
+            squeeze(raw).startswith("#").alias("is_hashtag"),
+            raw.rlike(SPECIAL).alias("has_special_chars"),
+            raw.rlike(NON_ASCII).alias("has_non_ascii"),
+            raw.rlike(TREND_URL).alias("has_url_like"),
+        )
+
+    return once(squeeze(nfkc_casefold(straight(raw))), fields)
 
 
 def candidate_phrase(raw: Column) -> Column:
-    """Struct of a candidate phrase's clean, alnum and hash-free forms; tokens are counted on alnum, characters on clean."""
+    """Struct of a candidate phrase's raw, clean, alnum and hash-free forms; tokens are counted on alnum, characters on clean."""
     folded = F.regexp_replace(straight(nfkc_casefold(raw)), r"[\r\n\t]", " ")
     clean = _core(folded, POST_SEPARATORS)
     alnum = _alnum(clean)
     return F.struct(
+        F.coalesce(raw, F.lit("")).alias("candidate_phrase_raw"),
         clean.alias("candidate_phrase_clean"),
         alnum.alias("candidate_phrase_alnum"),
+        F.trim(F.regexp_replace(clean, r"^#", "")).alias("candidate_phrase_no_hash"),
         F.size(tokens(alnum)).cast("long").alias("candidate_token_count"),
         F.length(clean).cast("long").alias("candidate_char_count"),
         alnum.rlike("[0-9]").alias("candidate_contains_digit"),

@@ -291,7 +291,7 @@ def class_table(spark: SparkSession, sf: str) -> DataFrame:
     return got.select("class", "support", F.round("precision", 9).alias("precision"), F.round("recall", 9).alias("recall"))
 
 
-@query("SELECT trim(regexp_replace(regexp_replace(lower(event_type || '-' || user_id % 3), '[^\\p{L}\\p{N}\\s]', ' ', 'g'), '\\s+', ' ', 'g')) AS simple_key, 2 AS forms FROM events GROUP BY 1 HAVING count(DISTINCT event_id % 2) > 1")
+@query("SELECT trim(regexp_replace(regexp_replace(lower(event_type || '-' || user_id % 3), '[^\\p{L}\\p{N}\\s]', ' ', 'g'), '\\s+', ' ', 'g')) AS simple_key, CAST(2 AS BIGINT) AS forms FROM events GROUP BY 1 HAVING count(DISTINCT event_id % 2) > 1")
 def simple_key_collisions(spark: SparkSession, sf: str) -> DataFrame:
     mark = F.when(F.col("event_id") % 2 == 0, "-").otherwise("_")
     rows = table(spark, sf, "events").select(F.concat("event_type", mark, (F.col("user_id") % 3).cast("string")).alias("raw"))

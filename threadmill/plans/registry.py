@@ -88,10 +88,10 @@ p AS (SELECT *, trim(regexp_replace(regexp_replace(clean, '[^a-z0-9\s]', ' ', 'g
 @query(_POST + r"""SELECT doc_id, clean AS post_text_clean, alnum AS post_text_alnum,
   CAST(len(list_filter(string_split(clean, ' '), lambda t: t <> '')) AS BIGINT) AS post_token_count, CAST(length(clean) AS BIGINT) AS post_char_count,
   regexp_matches(base, '(^|[^\p{L}\p{N}_])#[\p{L}\p{N}_]') AS has_hashtag, regexp_matches(base, '(^|[^\p{L}\p{N}_])@[\p{L}\p{N}_]') AS has_mention,
-  regexp_matches(base, '[^A-Za-z0-9\s]') AS has_special_chars, regexp_matches(base, '[^\x00-\x7F]') AS has_non_ascii FROM p""")
+  regexp_matches(base, '(?i)((https?://\S+)|(www\.\S+)|(\b(?:[a-z0-9-]+\.)+[a-z]{2,}(?:/\S*)?\b))') AS has_url, regexp_matches(base, '[^A-Za-z0-9\s]') AS has_special_chars, regexp_matches(base, '[^\x00-\x7F]') AS has_non_ascii FROM p""")
 def post_text(spark: SparkSession, sf: str) -> DataFrame:
     docs = table(spark, sf, "documents").select("doc_id", T.post_text(F.col("text")).alias("p"))
-    return docs.select("doc_id", *[f"p.{c}" for c in ("post_text_clean", "post_text_alnum", "post_token_count", "post_char_count", "has_hashtag", "has_mention", "has_special_chars", "has_non_ascii")])
+    return docs.select("doc_id", *[f"p.{c}" for c in ("post_text_clean", "post_text_alnum", "post_token_count", "post_char_count", "has_hashtag", "has_url", "has_mention", "has_special_chars", "has_non_ascii")])
 
 
 @query(_POST + r"""SELECT doc_id, CAST(len(list_distinct(list_filter(string_split(alnum, ' '), lambda t: t <> ''))) AS BIGINT) AS post_unique_token_count,
@@ -111,18 +111,20 @@ def _trends(spark: SparkSession, sf: str) -> DataFrame:
 
 
 _TREND = r"""
-WITH t AS (SELECT item_id AS trend_id, array_to_string(string_split(text, ' ')[1:2], ' ') AS name, DATE '2024-01-01' + CAST(item_id % 30 AS INTEGER) AS trend_date, CAST(length(text) AS DOUBLE) AS counts FROM benchmark),
-n AS (SELECT *, trim(regexp_replace(regexp_replace(regexp_replace(regexp_replace(trim(regexp_replace(replace(lower(name), 'ß', 'ss'), '[\s\p{Z}]+', ' ', 'g')), '[&\-.,/_]+', ' ', 'g'), '''', ' ', 'g'), '[^\p{L}\p{N}_\s\p{Z}#$]', ' ', 'g'), '[\s\p{Z}]+', ' ', 'g')) AS with_hash FROM t),
-k AS (SELECT *, trim(regexp_replace(with_hash, '^#', '')) AS key FROM n)
+WITH t AS (SELECT item_id AS trend_id, text AS name FROM benchmark),
+l AS (SELECT *, trim(regexp_replace(replace(lower(name), 'ß', 'ss'), '[\s\p{Z}]+', ' ', 'g')) AS low FROM t),
+n AS (SELECT *, trim(regexp_replace(regexp_replace(regexp_replace(regexp_replace(low, '[&\-.,/_]+', ' ', 'g'), '''', ' ', 'g'), '[^\p{L}\p{N}_\s\p{Z}#$]', ' ', 'g'), '[\s\p{Z}]+', ' ', 'g')) AS with_hash FROM l),
+k AS (SELECT *, trim(regexp_replace(regexp_replace(regexp_replace(regexp_replace(regexp_replace(low, '^#', ''), '[&\-.,/_]+', ' ', 'g'), '''', ' ', 'g'), '[^\p{L}\p{N}_\s\p{Z}#$]', ' ', 'g'), '[\s\p{Z}]+', ' ', 'g')) AS key FROM n)
 """
 
 
-@query(_TREND + r"""SELECT trend_id, name AS trend_name_raw, with_hash AS trend_name_clean, key AS normalized_key_no_hash, trim(regexp_replace(key, '^\$', '')) AS normalized_key_no_dollar,
+@query(_TREND + r"""SELECT trend_id, name AS trend_name_raw, with_hash AS trend_name_clean, with_hash AS normalized_key_with_hash, key AS trend_name_clean_no_hash, key AS normalized_key_no_hash,
+  trim(regexp_replace(key, '^\$', '')) AS normalized_key_no_dollar, trim(regexp_replace(key, '^\$', '')) AS trend_name_clean_no_dollar,
   trim(regexp_replace(regexp_replace(key, '[^a-z0-9\s]', ' ', 'g'), '\s+', ' ', 'g')) AS trend_name_alnum, CAST(len(list_filter(string_split(key, ' '), lambda t: t <> '')) AS BIGINT) AS trend_name_token_count,
-  CAST(length(key) AS BIGINT) AS trend_name_char_count FROM k""")
+  CAST(length(key) AS BIGINT) AS trend_name_char_count, trim(name) = '' AS is_blank_raw, starts_with(trim(name), '#') AS is_hashtag, regexp_matches(name, '[^A-Za-z0-9\s]') AS has_special_chars,
+  regexp_matches(name, '[^\x00-\x7F]') AS has_non_ascii, regexp_matches(name, '(?i)(https?://\S+|www\.\S+|\b[a-z0-9-]+\.[a-z]{2,}\b)') AS has_url_like FROM k""")
 def trend_names(spark: SparkSession, sf: str) -> DataFrame:
-    named = _trends(spark, sf).select("trend_id", T.trend_name(F.col("name")).alias("t"))
-    return named.select("trend_id", *[f"t.{c}" for c in ("trend_name_raw", "trend_name_clean", "normalized_key_no_hash", "normalized_key_no_dollar", "trend_name_alnum", "trend_name_token_count", "trend_name_char_count")])
+    return table(spark, sf, "benchmark").select(F.col("item_id").alias("trend_id"), T.trend_name(F.col("text")).alias("t")).select("trend_id", "t.*")
 
 
 @query()
@@ -136,12 +138,15 @@ def _said_on():
     return F.date_add(F.lit("2024-01-01").cast("date"), (F.col("conv_id") % 40).cast("int"))
 
 
-def _candidates(spark: SparkSession, sf: str) -> DataFrame:
-    """Dated candidate keys from the conversations' first two words, for the two queries whose SQL says so."""
-    said = table(spark, sf, "conversations")
-    key = T.candidate_phrase(F.array_join(F.slice(F.split("text", " "), 1, 2), " "))["candidate_phrase_alnum"]
-    number = F.col("conv_id") * 1000 + F.col("turn")
-    return said.select(number.alias("candidate_id"), F.col("conv_id").alias("uri"), key.alias("key"), _said_on().alias("candidate_date"))
+def _segments(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
+    """Candidates and trends that name market segments of nations in two spellings, for the two queries that have SQL."""
+    day = lambda n, of: F.date_add(F.lit("2024-01-01").cast("date"), (F.col(n) % of).cast("int"))
+    segment = F.element_at(F.array(*map(F.lit, ("Building", "Machinery", "Furniture", "Household", "Automobile", "Shipping"))), (F.col("s_suppkey") % 6 + 1).cast("int"))
+    phrase = F.concat(segment, F.lit("-"), F.col("s_nationkey").cast("string"))
+    own = table(spark, sf, "supplier").select(F.col("s_suppkey").alias("candidate_id"), F.col("s_suppkey").alias("uri"), T.candidate_phrase(phrase)["candidate_phrase_alnum"].alias("key"), F.when(F.col("s_suppkey") % 11 > 0, day("s_suppkey", 40)).alias("candidate_date"))
+    name = F.concat(F.lit("#"), "c_mktsegment", F.lit("_"), F.col("c_nationkey").cast("string"))
+    trends = table(spark, sf, "customer").select(F.col("c_custkey").alias("trend_id"), name.alias("name"), day("c_custkey", 30).alias("trend_date"), F.col("c_acctbal").alias("counts"), T.trend_name(name)["normalized_key_no_hash"].alias("key"))
+    return own, trends
 
 
 def _drawn_candidates(spark: SparkSession, sf: str) -> DataFrame:
@@ -156,25 +161,22 @@ def _keyed_trends(spark: SparkSession, sf: str) -> DataFrame:
     return _trends(spark, sf).withColumn("key", T.trend_name(F.col("name"))["normalized_key_no_hash"])
 
 
-_CAND = r"""
-, c AS (SELECT conv_id * 1000 + turn AS candidate_id, conv_id AS uri, DATE '2024-01-01' + CAST(conv_id % 40 AS INTEGER) AS candidate_date,
-  array_to_string(string_split(text, ' ')[1:2], ' ') AS phrase FROM conversations),
-ck AS (SELECT *, trim(regexp_replace(regexp_replace(regexp_replace(regexp_replace(regexp_replace(regexp_replace(replace(lower(phrase), 'ß', 'ss'), '[\r\n\t]', ' ', 'g'), '[&\-/_,.;:!?(){}\[\]"`]+', ' ', 'g'), '''', ' ', 'g'), '[^\p{L}\p{N}_\s\p{Z}#$]', ' ', 'g'), '[^a-z0-9\s]', ' ', 'g'), '\s+', ' ', 'g')) AS key FROM c),
+_CAND = """WITH k AS (SELECT c_custkey AS trend_id, lower(c_mktsegment) || ' ' || c_nationkey AS key, DATE '2024-01-01' + CAST(c_custkey % 30 AS INTEGER) AS trend_date FROM customer),
+c AS (SELECT s_suppkey AS candidate_id, ['building', 'machinery', 'furniture', 'household', 'automobile', 'shipping'][s_suppkey % 6 + 1] || ' ' || s_nationkey AS key, CASE WHEN s_suppkey % 11 > 0 THEN DATE '2024-01-01' + CAST(s_suppkey % 40 AS INTEGER) END AS candidate_date FROM supplier),
 near AS (SELECT DISTINCT unnest(range(trend_date - 3, trend_date + 4, INTERVAL 1 DAY))::DATE AS d FROM k),
-timed AS (SELECT ck.*, CASE WHEN candidate_date IS NULL THEN 'global_fallback_no_candidate_date' WHEN candidate_date IN (SELECT d FROM near) THEN 'date_window' ELSE 'global_fallback_no_date_overlap' END AS mode FROM ck)
+timed AS (SELECT c.*, CASE WHEN candidate_date IS NULL THEN 'global_fallback_no_candidate_date' WHEN candidate_date IN (SELECT d FROM near) THEN 'date_window' ELSE 'global_fallback_no_date_overlap' END AS mode FROM c)
 """
 
 
-@query(_TREND + _CAND + "SELECT candidate_id, key, mode FROM timed")
+@query(_CAND + "SELECT candidate_id, key, mode FROM timed")
 def temporal_pool(spark: SparkSession, sf: str) -> DataFrame:
-    return matching.temporal_mode(_candidates(spark, sf), _keyed_trends(spark, sf)).select("candidate_id", "key", "mode")
+    return matching.temporal_mode(*_segments(spark, sf)).select("candidate_id", "key", "mode")
 
 
-@query(_TREND + _CAND + """SELECT candidate_id, trend_id, 'exact' AS stage, 1.0::DOUBLE AS score FROM timed JOIN k USING (key)
-WHERE key <> '' AND (mode <> 'date_window' OR abs(date_diff('day', candidate_date, trend_date)) <= 3)""")
+@query(_CAND + """SELECT candidate_id, trend_id, 'exact' AS stage, 1.0::DOUBLE AS score FROM timed JOIN k USING (key) WHERE mode <> 'date_window' OR abs(date_diff('day', candidate_date, trend_date)) <= 3""")
 def exact_match(spark: SparkSession, sf: str) -> DataFrame:
-    trends = _keyed_trends(spark, sf)
-    return matching.exact_pairs(matching.temporal_mode(_candidates(spark, sf), trends), trends)
+    own, trends = _segments(spark, sf)
+    return matching.exact_pairs(matching.temporal_mode(own, trends), trends)
 
 
 @query()

@@ -64,3 +64,15 @@ def family_of_path(path: Column) -> Column:
     names = ("raw_posts", "hydrated_posts", "hydration_misses", "actor_profiles")
     found = F.filter(F.array(*map(F.lit, names)), lambda n: F.array_contains(F.split(path, "[/\\\\]"), n))
     return F.when(F.size(found) == 1, found[0])
+
+
+# Keys that tell a family by its rows.
+ROW_KEYS = {"raw_posts": ("repo_did", "has_reply", "has_embed"), "hydrated_posts": ("author_did", "like_count", "quote_count"), "actor_profiles": ("actor_run_id", "followers_count", "follows_count"), "hydration_misses": ("cid_at_capture", "reason", "attempt_count")}
+
+
+def family_of_row(line: Column) -> Column:
+    """Dataset family from the keys of a JSON row; null where no family's keys are all there, an error where two families' are."""
+    keys = F.coalesce(F.json_object_keys(line), F.array().cast("array<string>"))
+    each = F.array(*[F.when(F.size(F.array_except(F.array(*map(F.lit, own)), keys)) == 0, name) for name, own in ROW_KEYS.items()])
+    found = F.filter(each, lambda n: n.isNotNull())
+    return F.when(F.size(found) > 1, F.raise_error(F.lit("a row that fits two families")).cast("string")).when(F.size(found) == 1, found[0])
