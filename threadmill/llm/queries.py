@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import chat, exact_dedup, html_text, licences, mixing, near_dedup, packing, topk, toxicity, warc
+from . import chat, exact_dedup, html_text, licences, mixing, near_dedup, packing, sequences, topk, toxicity, warc
 from .frames import read_table, text_of
 
 
@@ -54,6 +54,18 @@ def op10_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(read_table(spark, sf_dir, "documents"))
 
 
+def op11_event_sequences(spark: SparkSession, sf_dir: str) -> DataFrame:
+    second = F.lit(1_000_000)
+    clicks = read_table(spark, sf_dir, "clicks").where("client_id is not null and ts is not null and kind is not null")
+    at, marked = sequences.micros(F.col("ts")), F.crc32(F.col("click_id").cast("string").cast("binary")) % 5 == 0
+    event = lambda t, kind: F.struct(t.alias("t"), kind.alias("kind"))
+    own = event(at, F.col("kind"))
+    around = F.array(own, event(at - second, F.lit("open")), event(at + second, F.lit("shut")))
+    events = clicks.select(F.col("client_id").alias("client"), F.explode(F.when(marked, around).otherwise(F.array(own))).alias("e")).select("client", "e.t", "e.kind")
+    found = sequences.frequent(events, gap=900_000_000, span=2_250_000_000)
+    return found.select("pattern", "length", "support", "clients_crc", "n_wider", "closed")
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     found = {k: v for k, v in globals().items() if k.startswith("op") and callable(v)}
     return dict(sorted(found.items(), key=lambda kv: int(kv[0][2:].split("_")[0])))
@@ -118,5 +130,35 @@ SELECT doc_id, max(doc_id) OVER w AS keep_id, count(*) OVER w AS group_size, doc
 FROM documents WINDOW w AS (PARTITION BY coalesce(text, ''))"""
 
 
+#: The table of CRC-32 by its rule, and the check sum of a text of ASCII characters.
+CRC_TABLE = "(SELECT list(v ORDER BY n) FROM (SELECT n, list_reduce(list_concat([n], range(8)), lambda c, k: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END) AS v FROM range(256) r(n)))"
+CRC = "xor(list_reduce(list_concat([4294967295::BIGINT], {bytes}), lambda c, b: xor(c >> 8, {table}[xor(c, b) & 255 + 1])), 4294967295)".replace("xor(c, b) & 255 + 1", "(xor(c, b) & 255) + 1")
+
+
+def crc_of_number(text: str) -> str:
+    return CRC.format(bytes=f"list_transform(range(1, length({text}) + 1), lambda i: CAST(ascii(substr({text}, i, 1)) AS BIGINT))", table="crc_table")
+
+
+def _chain(m: int) -> str:
+    """Latest starts of patterns of m kinds by client and end, from those of m - 1 kinds."""
+    return f"""l{m} AS (SELECT e.client, e.t, list_append(p.kinds, e.kind) AS kinds, max(p.start) AS start FROM l{m - 1} p JOIN e ON e.client = p.client AND e.t > p.t AND e.t <= p.t + 900000000
+  WHERE e.t - p.start <= 2250000000 GROUP BY ALL)"""
+
+
+SEQUENCE_SQL = f"""
+WITH x AS (SELECT {CRC_TABLE} AS crc_table),
+c AS (SELECT client_id AS client, epoch_us(ts) AS t, kind, {crc_of_number('CAST(click_id AS VARCHAR)')} % 5 = 0 AS marked FROM clicks, x WHERE client_id IS NOT NULL AND ts IS NOT NULL AND kind IS NOT NULL),
+e AS (SELECT client, t, kind FROM c UNION SELECT client, t - 1000000, 'open' FROM c WHERE marked UNION SELECT client, t + 1000000, 'shut' FROM c WHERE marked),
+l1 AS (SELECT client, t, [kind] AS kinds, t AS start FROM e),
+{_chain(2)}, {_chain(3)}, {_chain(4)},
+s AS (SELECT DISTINCT client, kinds FROM (SELECT client, kinds FROM l1 UNION ALL SELECT client, kinds FROM l2 UNION ALL SELECT client, kinds FROM l3 UNION ALL SELECT client, kinds FROM l4)),
+k AS (SELECT kinds, count(*) AS support, CAST(sum({crc_of_number('CAST(client AS VARCHAR)')}) AS BIGINT) AS clients_crc FROM s, x GROUP BY kinds),
+f AS (SELECT * FROM k WHERE support >= 2 AND support * 100 >= 30 * (SELECT count(DISTINCT client) FROM e)),
+sub AS (SELECT DISTINCT kinds AS wider, support, list_filter(kinds, lambda y, i: (bits >> (i - 1)) & 1 = 1) AS kinds FROM f, range(1, 15) b(bits) WHERE bits < (1 << len(kinds)) - 1),
+w AS (SELECT f.kinds, count(*) AS n FROM f JOIN sub ON sub.kinds = f.kinds AND sub.support = f.support GROUP BY f.kinds)
+SELECT array_to_string(f.kinds, '>') AS pattern, CAST(len(f.kinds) AS INTEGER) AS length, support, clients_crc, coalesce(w.n, 0) AS n_wider, coalesce(w.n, 0) = 0 AS closed
+FROM f LEFT JOIN w ON w.kinds = f.kinds"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op2_source_mixing": MIX_SQL, "op3_exact_topk": TOPK_SQL, "op5_warc": WARC_SQL, "op6_exact_dedup": DEDUP_SQL, "op9_license_scan": licences.scan_sql()}
+    return {"op2_source_mixing": MIX_SQL, "op3_exact_topk": TOPK_SQL, "op5_warc": WARC_SQL, "op6_exact_dedup": DEDUP_SQL, "op9_license_scan": licences.scan_sql(), "op11_event_sequences": SEQUENCE_SQL}
