@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import chat, exact_dedup, html_text, licences, mixing, near_dedup, packing, sequences, topk, toxicity, warc
+from . import chat, exact_dedup, html_text, importance, licences, mixing, near_dedup, packing, quality_rules, sequences, topk, toxicity, warc
 from .frames import read_table, text_of
 
 
@@ -66,6 +66,17 @@ def op11_event_sequences(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("pattern", "length", "support", "clients_crc", "n_wider", "closed")
 
 
+def op12_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = importance.importance(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
+    return found.select("doc_id", "n_features", "weight", "score", "rank")
+
+
+def op13_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = quality_rules.cleaned(docs, with_text=False)
+    return found.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     found = {k: v for k, v in globals().items() if k.startswith("op") and callable(v)}
     return dict(sorted(found.items(), key=lambda kv: int(kv[0][2:].split("_")[0])))
@@ -160,5 +171,31 @@ SELECT array_to_string(f.kinds, '>') AS pattern, CAST(len(f.kinds) AS INTEGER) A
 FROM f LEFT JOIN w ON w.kinds = f.kinds"""
 
 
+def _runs(table: str) -> str:
+    return f"""(SELECT row, unnest(grams) AS gram FROM (SELECT row, [a, a || ' ' || b, a || ' ' || b || ' ' || c] AS grams FROM (SELECT row, a, lead(a) OVER o AS b, lead(a, 2) OVER o AS c
+    FROM (SELECT row, unnest(words) AS a, generate_subscripts(words, 1) AS i FROM {table}) WINDOW o AS (PARTITION BY row ORDER BY i))))"""
+
+
+def _words(table: str, ident: str) -> str:
+    return f"SELECT row_number() OVER () AS row, {ident} AS doc_id, regexp_extract_all(translate(coalesce(text, ''), '{importance.UPPER}', '{importance.LOWER}'), '{importance.WORD}') AS words FROM {table}"
+
+
+_GRAM_BYTES = "list_transform(range(1, strlen(gram) + 1), lambda i: CAST('0x' || substr(hexed, 2 * i - 1, 2) AS BIGINT))"
+
+IMPORTANCE_SQL = f"""
+WITH x AS (SELECT {CRC_TABLE} AS crc_table),
+d AS MATERIALIZED ({_words('documents', 'doc_id')}), b AS MATERIALIZED ({_words('benchmark', 'item_id')}),
+dg AS MATERIALIZED (SELECT row, gram, count(*) AS n FROM {_runs('d')} WHERE gram IS NOT NULL GROUP BY ALL), bg AS MATERIALIZED (SELECT gram, count(*) AS n FROM {_runs('b')} WHERE gram IS NOT NULL GROUP BY ALL),
+u AS MATERIALIZED (SELECT gram, {CRC.format(bytes=_GRAM_BYTES, table='crc_table')} % {importance.BUCKETS} AS bucket FROM (SELECT gram, hex(encode(gram)) AS hexed FROM (SELECT gram FROM dg UNION SELECT gram FROM bg)), x),
+s AS (SELECT bucket, sum(n) AS s FROM dg JOIN u USING (gram) GROUP BY bucket), t AS (SELECT bucket, sum(n) AS t FROM bg JOIN u USING (gram) GROUP BY bucket),
+a AS (SELECT (SELECT coalesce(sum(n), 0) FROM dg) AS big_s, (SELECT coalesce(sum(n), 0) FROM bg) AS big_t),
+gain AS (SELECT bucket, CAST(floor(1000 * ln(CAST(coalesce(t, 0) + 1 AS DOUBLE) * (big_s + {importance.BUCKETS}) / (CAST(s + 1 AS DOUBLE) * (big_t + {importance.BUCKETS})))) AS BIGINT) AS gain FROM s LEFT JOIN t USING (bucket), a),
+w AS (SELECT row, CAST(sum(n) AS BIGINT) AS n_features, CAST(sum(n * gain) AS BIGINT) AS weight FROM dg JOIN u USING (gram) JOIN gain USING (bucket) GROUP BY row),
+e AS (SELECT doc_id, len(words) AS n_words, coalesce(n_features, 0) AS n_features, coalesce(weight, 0) AS weight,
+  coalesce(weight, 0) + CAST(floor(-1000 * ln(-ln((CAST('0x' || substr(sha256('{importance.SEED}:' || doc_id), 1, 8) AS BIGINT) + 0.5::DOUBLE) / 4294967296))) AS BIGINT) AS score FROM d LEFT JOIN w USING (row)),
+r AS (SELECT *, CASE WHEN n_words >= {importance.LEAST_WORDS} THEN row_number() OVER (PARTITION BY n_words >= {importance.LEAST_WORDS} ORDER BY score DESC, doc_id) END AS place, count(*) FILTER (n_words >= {importance.LEAST_WORDS}) OVER () AS fit FROM e)
+SELECT doc_id, n_features, weight, score, CASE WHEN place <= {importance.SHARE} * fit // 100 THEN place END AS rank FROM r"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op2_source_mixing": MIX_SQL, "op3_exact_topk": TOPK_SQL, "op5_warc": WARC_SQL, "op6_exact_dedup": DEDUP_SQL, "op9_license_scan": licences.scan_sql(), "op11_event_sequences": SEQUENCE_SQL}
+    return {"op2_source_mixing": MIX_SQL, "op3_exact_topk": TOPK_SQL, "op5_warc": WARC_SQL, "op6_exact_dedup": DEDUP_SQL, "op9_license_scan": licences.scan_sql(), "op11_event_sequences": SEQUENCE_SQL, "op12_importance_resampling": IMPORTANCE_SQL, "op13_quality_rules": quality_rules.RULES_SQL}
