@@ -19,7 +19,7 @@ BUCKETS, LONGEST, LEAST_WORDS, SHARE, SEED = 10_000, 3, 20, 5, 42
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 #: Memory of a worker's DuckDB, beyond which it uses a temporary folder of its task.
-MEMORY = "400MB"
+MEMORY = "250MB"
 COUNTED = "doc_id long, total boolean, n_words long, n_features long, buckets array<int>, counts array<int>"
 
 
@@ -138,7 +138,8 @@ def importance(docs: DataFrame, target: DataFrame, id_col: str = "doc_id", text_
     scored = weights.withColumn("score", F.col("weight") + noise(F.col("doc_id"), seed))
     order = [F.col("score").desc(), F.col("doc_id").asc_nulls_last(), "n_features", "weight"]
     fit = F.col("n_words") >= least_words
-    ranged = written(scored.repartitionByRange(fit.desc(), *order).withColumn("part", F.spark_partition_id()), "scores")
+    with small_batches(docs.sparkSession, 500, 4_000_000):
+        ranged = written(scored.repartitionByRange(fit.desc(), *order).withColumn("part", F.spark_partition_id()), "scores")
     sizes = ranged.where(fit).groupBy("part").agg(F.count(F.lit(1)).alias("size"))  # a row per partition
     before = sizes.select("part", F.coalesce(F.sum("size").over(Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("before"), F.sum("size").over(Window.partitionBy()).alias("all"))
     placed = ranged.withColumn("within", F.row_number().over(Window.partitionBy("part").orderBy(fit.desc(), *order))).join(before, "part", "left")
