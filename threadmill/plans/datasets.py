@@ -19,12 +19,12 @@ def _payloads(spark: SparkSession, sf: str, fields: dict[str, str]) -> DataFrame
     return rows.select("event_id", "raw_payload", F.concat(F.lit("run/"), "event_type", F.lit(".jsonl.gz")).alias("source_filename"), F.col("event_id").alias("source_file_row_number"), F.lit("run").alias("source_run_tag"))
 
 
-@query("""SELECT 'cap_1' AS capture_run_id, event_id AS seq, 'did:' || user_id AS repo_did, 'at://' || event_id AS uri, event_id % 2 = 0 AS has_reply, CAST(NULL AS BOOLEAN) AS has_embed,
+@query("""SELECT 'cap_1' AS capture_run_id, event_id AS seq, 'did:' || user_id AS repo_did, 'at://' || event_id AS uri, event_id % 2 = 0 AS has_reply, ([true, NULL, false, NULL, true, false, NULL])[event_id % 7 + 1] AS has_embed,
 CAST(json_extract(props, '$.k') AS BIGINT) AS k, 'run/' || event_type || '.jsonl.gz' AS source_filename, event_id AS source_file_row_number FROM events""")
 def stg_raw(spark: SparkSession, sf: str) -> DataFrame:
-    landed = _payloads(spark, sf, {"capture_run_id": "'cap_1'", "seq": "event_id", "repo_did": "concat('did:', user_id)", "uri": "concat('at://', event_id)", "has_reply": "event_id % 2 = 0", "has_embed": "if(event_id % 2 = 0, 'no', 'x')", "record": "parse_json(props)"})
+    landed = _payloads(spark, sf, {"capture_run_id": "'cap_1'", "seq": "event_id", "repo_did": "concat('did:', user_id)", "uri": "concat('at://', event_id)", "has_reply": "event_id % 2 = 0", "has_embed": "element_at(array(parse_json('\"yes\"'), parse_json('\"x\"'), parse_json('\"No\"'), parse_json('null'), parse_json('1'), parse_json('false'), parse_json('[true]')), cast(event_id % 7 + 1 as int))", "record": "parse_json(props)"})
     staged = contracts.stage(landed, "raw_posts")
-    return staged.select("capture_run_id", "seq", "repo_did", "uri", "has_reply", F.when(F.lit(False), F.col("has_embed")).alias("has_embed"), F.try_variant_get("record", "$.k", "bigint").alias("k"), "source_filename", "source_file_row_number")
+    return staged.select("capture_run_id", "seq", "repo_did", "uri", "has_reply", "has_embed", F.try_variant_get("record", "$.k", "bigint").alias("k"), "source_filename", "source_file_row_number")
 
 
 @query("SELECT 'at://' || event_id AS uri, user_id AS like_count, CAST(NULL AS BIGINT) AS reply_count, 'did:' || user_id AS author_did, 2 AS labels FROM events")

@@ -326,14 +326,23 @@ def required_fields(spark: SparkSession, sf: str) -> DataFrame:
 
 # Events and queue state
 
-_FRAME = "to_json(named_struct('t', '#commit', 'seq', event_id, 'time', cast(ts as string), 'repo', concat('did:', user_id), 'ops', array(named_struct('action', if(event_type = 'click', 'create', 'delete'), 'path', concat('app.bsky.feed.post/', event_id), 'cid', concat('c', event_id), 'record', parse_json(props)))))"
-
-
-@query("""SELECT 'at://did:' || user_id || '/app.bsky.feed.post/' || event_id AS uri, event_id AS seq, 'did:' || user_id AS repo_did, CAST(event_id AS VARCHAR) AS rkey, 'c' || event_id AS cid, CAST(json_extract(props, '$.k') AS BIGINT) AS k
-FROM events WHERE event_type = 'click'""")
+#: Frames in fourteen shapes, in turn: a record of its own; null, a string or a number in its place, with or without `value`; records by cid; no repo; ops that are no list; both maps; an operation
+#: that is no object; other actions, collections and paths; and every alias.
+_OP = """'"path":"', CASE event_id % 14 WHEN 11 THEN 'app.bsky.feed.like/' WHEN 12 THEN 'nopath' WHEN 13 THEN '/app.bsky.feed.post/' ELSE 'app.bsky.feed.post/' END, event_id, '","cid":"c', event_id, '"',
+  CASE event_id % 14 WHEN 1 THEN concat(',"record":null,"value":', props) WHEN 2 THEN ',"record":"x"' WHEN 3 THEN concat(',"record":5,"value":', props) WHEN 4 THEN ',"record":null' WHEN 5 THEN ',"record":null'
+    WHEN 8 THEN '' ELSE concat(',"record":', props) END, '}'"""
+_FRAME = f"""concat('{{"', if(event_id % 14 = 13, 'type":"commit', 't":"#commit'), '","seq":', event_id, ',"time":"', ts, '"', CASE event_id % 14 WHEN 6 THEN '' WHEN 13 THEN concat(',"repo_did":"did:', user_id, '"') ELSE concat(',"repo":"did:', user_id, '"') END,
+  CASE event_id % 14 WHEN 4 THEN concat(',"records_by_cid":{{"c', event_id, '":', props, '}}') WHEN 8 THEN concat(',"records_by_cid":{{"c', event_id, '":', props, '}},"blocks":{{"c', event_id, '":{{"k":-1}}}}') ELSE '' END,
+  ',"ops":', if(event_id % 14 = 7, '{{}}', concat('[', if(event_id % 14 = 9, '5,', ''), '{{"', if(event_id % 14 = 13, 'op', 'action'), '":"', if(event_id % 14 = 10, 'delete', 'create'), '",', {_OP}, ']')), '}}')"""
+
+
+@query("""SELECT CASE WHEN c NOT IN (6, 7) THEN 'at://did:' || user_id || '/app.bsky.feed.post/' || event_id END AS uri, event_id AS seq, CASE WHEN c <> 6 THEN 'did:' || user_id END AS repo_did, CASE WHEN c NOT IN (6, 7) THEN CAST(event_id AS VARCHAR) END AS rkey,
+  CASE WHEN c NOT IN (6, 7) THEN 'c' || event_id END AS cid, CASE WHEN c IN (6, 7) THEN NULL WHEN c = 8 THEN -1 ELSE CAST(json_extract(props, '$.k') AS BIGINT) END AS k, CASE c WHEN 6 THEN 'commit without repo' WHEN 7 THEN 'commit without a list of ops' END AS extract_error
+FROM (SELECT *, event_id % 14 AS c FROM events) WHERE c NOT IN (2, 5, 10, 11, 12)""")
 def extract_creates(spark: SparkSession, sf: str) -> DataFrame:
     frames = table(spark, sf, "events").select(F.expr(_FRAME).alias("value"))
-    return ev.extract_creates(ev.decode(frames)).select("uri", "seq", "repo_did", "rkey", "cid", F.try_variant_get("record", "$.k", "bigint").alias("k"))
+    named = lambda c: F.when(F.col("extract_error").isNull(), F.col(c)).alias(c)
+    return ev.extract(ev.decode(frames)).select("uri", "seq", "repo_did", named("rkey"), "cid", F.try_variant_get("record", "$.k", "bigint").alias("k"), "extract_error")
 
 
 def _state(spark: SparkSession, sf: str) -> DataFrame:

@@ -6,7 +6,11 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 COLLECTION = "app.bsky.feed.post"
 # Event types by their aliases.
-TYPES = {"#commit": "commit", "commit": "commit", "#info": "info", "info": "info", "#identity": "identity", "identity": "identity", "#account": "account", "account": "account", "#sync": "sync", "sync": "sync"}
+TYPES = {
+    "#commit": "commit", "commit": "commit", "com.atproto.sync.subscriberepos#commit": "commit", "#info": "info", "info": "info", "com.atproto.sync.subscriberepos#info": "info",
+    "#identity": "identity", "identity": "identity", "com.atproto.sync.subscriberepos#identity": "identity", "#account": "account", "account": "account", "com.atproto.sync.subscriberepos#account": "account",
+    "#sync": "sync", "sync": "sync", "com.atproto.sync.subscriberepos#sync": "sync",
+}
 
 
 def _text(v: Column, *paths: str) -> Column:
@@ -24,7 +28,7 @@ def decode(frames: DataFrame, column: str = "value") -> DataFrame:
         .withColumn("decode_error", F.col("payload").isNull() | ~F.coalesce(F.schema_of_variant("payload").startswith("OBJECT"), F.lit(False)))
         .withColumns(
             {
-                "event_type": F.coalesce(F.try_element_at(known, kind), F.regexp_replace(kind, "^#", ""), F.lit("unknown")),
+                "event_type": F.coalesce(F.try_element_at(known, kind), kind, F.lit("unknown")),
                 "seq": F.try_variant_get("payload", "$.seq", "bigint"),
                 "event_time": F.try_variant_get("payload", "$.time", "string"),
             }
@@ -32,24 +36,41 @@ def decode(frames: DataFrame, column: str = "value") -> DataFrame:
     )
 
 
-def extract_creates(events: DataFrame, collection: str = COLLECTION) -> DataFrame:
-    """A row per created post of commit events: uri, repo_did, collection, rkey, cid, record. Operations without a record go."""
+def _object(v: Column) -> Column:
+    """The variant where it is an object, else null."""
+    return F.when(F.schema_of_variant(v).startswith("OBJECT"), v)
+
+
+def extract(events: DataFrame, collection: str = COLLECTION) -> DataFrame:
+    """A row per created post of commit events (uri, repo_did, collection, rkey, cid, record), and one with `extract_error` for a commit without a repo or whose ops are no list.
+
+    An operation's record is its `record` if that is an object, else its `value` if that is one, else what `blocks` or `records_by_cid` hold for its cid; without any object
+    it is no post. Operations that are no objects go. The maps are read only where an operation has no record of its own.
+    """
     ops = F.try_variant_get("payload", "$.ops", "array<variant>")
     commits = events.where(~F.col("decode_error") & (F.col("event_type") == "commit")).withColumn("repo_did", _text(F.col("payload"), "repo", "repo_did"))
-    each = commits.where("repo_did is not null").select("seq", "event_time", "repo_did", "payload", F.explode(ops).alias("op"))
+    listed = F.coalesce(F.schema_of_variant(F.try_variant_get("payload", "$.ops", "variant")).startswith("ARRAY"), F.lit(False))
+    error = F.when(F.col("repo_did").isNull(), "commit without repo").when(~listed, "commit without a list of ops")
+    judged = commits.withColumn("extract_error", error)
+    each = judged.select("seq", "event_time", "repo_did", "payload", "extract_error", F.explode(F.when(F.col("extract_error").isNull(), ops).otherwise(F.array(F.lit(None).cast("variant")))).alias("op"))
     path = F.regexp_replace(_text(F.col("op"), "path"), r"^/+|/+$", "")
-    named = each.withColumns({"action": _text(F.col("op"), "action", "op"), "collection": F.regexp_extract(path, r"^(.*)/([^/]+)$", 1), "rkey": F.regexp_extract(path, r"^(.*)/([^/]+)$", 2), "cid": _text(F.col("op"), "cid")})
-    kept = named.where((F.col("action") == "create") & (F.col("collection") == collection))
-    by_cid = lambda name: F.try_element_at(F.try_variant_get("payload", f"$.{name}", "map<string,variant>"), F.col("cid"))
-    record = F.coalesce(F.try_variant_get("op", "$.record", "variant"), F.try_variant_get("op", "$.value", "variant"), by_cid("records_by_cid"), by_cid("blocks"))
+    named = each.withColumns({"action": _text(F.col("op"), "action", "op"), "collection": F.regexp_extract(path, r"(?s)^(.*)/([^/]+)$", 1), "rkey": F.regexp_extract(path, r"(?s)^(.*)/([^/]+)$", 2), "cid": F.try_variant_get("op", "$.cid", "string")})
+    kept = named.where(F.col("extract_error").isNotNull() | ((F.col("action") == "create") & (F.col("collection") == collection)))
+    by_cid = lambda name: _object(F.try_element_at(F.try_variant_get("payload", f"$.{name}", "map<string,variant>"), F.col("cid")))
+    record = F.coalesce(_object(F.try_variant_get("op", "$.record", "variant")), _object(F.try_variant_get("op", "$.value", "variant")), by_cid("blocks"), by_cid("records_by_cid"))
     return (
         kept.withColumn("record", record)
-        .where(F.col("record").isNotNull())
+        .where(F.col("extract_error").isNotNull() | F.col("record").isNotNull())
         .withColumn("uri", F.concat(F.lit("at://"), "repo_did", F.lit("/"), "collection", F.lit("/"), "rkey"))
         .drop("payload", "op")
     )
 
 
+def extract_creates(events: DataFrame, collection: str = COLLECTION) -> DataFrame:
+    """The posts of `extract`, without its error rows."""
+    return extract(events, collection).where("extract_error is null").drop("extract_error")
+
+
 def raw_posts(created: DataFrame, run_id: str, captured_at: Column) -> DataFrame:
     """The raw_posts contract (14 columns)."""
     has = lambda name: F.coalesce(~F.is_variant_null(F.try_variant_get("record", f"$.{name}", "variant")), F.lit(False))
@@ -61,6 +82,7 @@ def raw_posts(created: DataFrame, run_id: str, captured_at: Column) -> DataFrame
 
 def family_of_path(path: Column) -> Column:
     """Dataset family from a file's path; null where none or more than one is named."""
+    # Names of the families.
     names = ("raw_posts", "hydrated_posts", "hydration_misses", "actor_profiles")
     found = F.filter(F.array(*map(F.lit, names)), lambda n: F.array_contains(F.split(path, "[/\\\\]"), n))
     return F.when(F.size(found) == 1, found[0])
