@@ -2,7 +2,7 @@
 
 import pytest
 
-from threadmill.plans import datasets, steps  # noqa: F401
+from threadmill.plans import datasets, steps, streams  # noqa: F401
 from threadmill.plans.registry import QUERIES, SQL
 
 DATA = "/root/testdata/sf0.001"

@@ -73,7 +73,8 @@ def extract_creates(events: DataFrame, collection: str = COLLECTION) -> DataFram
 
 def raw_posts(created: DataFrame, run_id: str, captured_at: Column) -> DataFrame:
     """The raw_posts contract (14 columns)."""
-    has = lambda name: F.coalesce(~F.is_variant_null(F.try_variant_get("record", f"$.{name}", "variant")), F.lit(False))
+    field = lambda name: F.try_variant_get("record", f"$.{name}", "variant")
+    has = lambda name: field(name).isNotNull() & ~F.is_variant_null(field(name))  # noqa: E731  is_variant_null is false where there is no such field
     return created.select(
         F.lit(run_id).alias("capture_run_id"), "seq", "repo_did", "event_time", F.lit("create").alias("operation"), "collection", "rkey", "uri", "cid",
         F.try_variant_get("record", "$.createdAt", "string").alias("record_created_at"), has("reply").alias("has_reply"), has("embed").alias("has_embed"), captured_at.alias("captured_at"), "record",
