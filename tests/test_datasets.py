@@ -197,7 +197,6 @@ def test_places_and_ranks(spark):
     assert relational.numbered(df.limit(0), "k").count() == 0
     s = spark.createDataFrame([(1, "pending", 5, "a"), (2, "retryable", 3, "a"), (3, "claimed", 1, "a")], "id int, status string, captured_at int, w string")
     assert [(r["id"], r["claim_rank"]) for r in state.claim_rank(s, "id", "captured_at", "w").orderBy("claim_rank").collect()] == [(2, 1), (1, 2)]
-    assert matching.length_bounds(10) == (8, 12)
     wrong = summaries.wrong_pairs(spark.createDataFrame([("a", "b"), ("a", "a"), ("a", "b")], "t string, p string"), "t", "p").first()
     assert (wrong["t"], wrong["p"], wrong["n"]) == ("a", "b", 2)
     assert quality.missingness(spark.createDataFrame([(None, " ")], "a int, b string")).count() == 2

@@ -1,17 +1,17 @@
 """Staged matching of candidates to dated trends: exact, then fuzzy, then semantic.
 
 candidates: candidate_id, uri, key (ASCII alnum), candidate_date. trends: trend_id, key, trend_date, counts, name.
-Keys are scored once per distinct pair, and pairs are found by equi-joins: no stage compares all candidates with all trends. A pair
-that is alike enough for the fuzzy stage shares a token or has a length within the ratio's bound, which a length bucket finds.
+Keys are scored once per distinct pair, and pairs are found by equi-joins: no stage compares all candidates with all trends. The fuzzy stage finds pairs by an index of
+rare pairs of letters, the semantic one by tokens. What a candidate may match is its stage pool: the trends of its dates that share a token outside the stopwords with it; all trends of its
+dates if none anywhere does; the largest ones if it has only stopwords. Pools are cut by the largest counts, from lists that are bounded per day and token.
 """
 
 from __future__ import annotations
 
-import math
-
 from pyspark.sql import DataFrame, Window, functions as F
 
 from threadmill.functions.text import semantic_score, sequence_ratio, tokens
+from threadmill.sources.tables import stored
 
 # Stopwords of lexical blocking, and defaults of the match contract.
 BLOCK_STOPWORDS = """a an and are as at be but by for from he her his i in is it its me my of on or our she that the their them they this
@@ -39,100 +39,168 @@ def exact_pairs(candidates: DataFrame, trends: DataFrame, days: int = WINDOW_DAY
     return candidates.where("key != ''").join(trends, "key").where(in_pool(days)).select("candidate_id", "trend_id", F.lit("exact").alias("stage"), F.lit(1.0).alias("score"))
 
 
-def _key_pairs(candidates: DataFrame, trends: DataFrame, apart: tuple[str, ...] = tuple(BLOCK_STOPWORDS)) -> DataFrame:
-    """Distinct (candidate key, trend key) pairs that share a token outside the words `apart`, the stopwords."""
-    c = candidates.select(F.col("key").alias("ckey")).where("ckey != ''").distinct().select("ckey", F.explode(F.array_distinct(tokens(F.col("ckey")))).alias("token"))
-    t = trends.select(F.col("key").alias("tkey")).where("tkey != ''").distinct().select("tkey", F.explode(F.array_distinct(tokens(F.col("tkey")))).alias("token"))
-    return c.where(~F.col("token").isin(*apart)).join(t, "token").select("ckey", "tkey").distinct()
+#: Stands for the pool of all trends where a candidate has no dates of its own.
+ALL_DAYS = "0001-01-01"
 
 
-def _length_pairs(candidates: DataFrame, trends: DataFrame, least: float) -> DataFrame:
-    """Distinct key pairs whose lengths allow a ratio of `least` and whose character counts do: both bound the ratio from above."""
-    low, high = least / (2 - least), (2 - least) / least
-    letters = lambda k: F.array_sort(F.split(k, ""))
-    c = candidates.select(F.col("key").alias("ckey")).where("ckey != ''").distinct().withColumn("n", F.length("ckey"))
-    sizes = F.sequence(F.ceil(F.col("n") * low).cast("int"), F.floor(F.col("n") * high).cast("int"))
-    t = trends.select(F.col("key").alias("tkey")).where("tkey != ''").distinct().withColumn("m", F.length("tkey"))
-    pairs = c.withColumn("m", F.explode(sizes)).join(t, "m")
-    shared = F.size(F.array_intersect(letters(F.col("ckey")), letters(F.col("tkey"))))
-    distinct = F.greatest(F.size(F.array_distinct(letters(F.col("ckey")))), F.size(F.array_distinct(letters(F.col("tkey")))))
-    missing = distinct - shared
-    return pairs.where(missing <= (1 - least) * (F.col("n") + F.col("m"))).select("ckey", "tkey")
+def pool_day():
+    return F.when(F.col("mode") == "date_window", F.col("candidate_date")).otherwise(F.lit(ALL_DAYS).cast("date")).alias("day")
 
 
-def fuzzy_pairs(candidates: DataFrame, trends: DataFrame, least: float = FUZZY, days: int = WINDOW_DAYS) -> DataFrame:
-    """Pairs of the pool with a sequence ratio of `least` or more. Candidates with an index hit see only trends that share a token; others see the whole pool."""
-    blocked = _key_pairs(candidates, trends)
-    hit = blocked.select(F.col("ckey").alias("key")).distinct()
-    open_ = candidates.where("key != ''").join(hit, "key", "left_anti")
-    keys = blocked.unionByName(_length_pairs(open_, trends, least)).distinct()
-    bound = 2.0 * F.least(F.length("ckey"), F.length("tkey")) / (F.length("ckey") + F.length("tkey"))
-    scored = keys.where(bound >= least).withColumn("score", sequence_ratio("ckey", "tkey")).where(F.col("score") >= least)
-    return _to_rows(scored, candidates, trends, "fuzzy", days)
+def trend_days(trends: DataFrame, days: int) -> DataFrame:
+    """A row per trend and day whose pool has it, and one for the pool of all: at most 2 * days + 2 a trend."""
+    near = F.when(F.col("trend_date").isNotNull(), F.sequence(F.date_sub("trend_date", days), F.date_add("trend_date", days))).otherwise(F.array().cast("array<date>"))
+    return trends.select("trend_id", F.col("key").alias("tkey"), "counts", "name", F.explode(F.array_append(near, F.lit(ALL_DAYS).cast("date"))).alias("day"))
 
 
-def semantic_pairs(candidates: DataFrame, trends: DataFrame, least: float = SEMANTIC, days: int = WINDOW_DAYS, pool: int = SEMANTIC_POOL, most: int = POOL) -> DataFrame:
-    """Pairs with a semantic score of `least` or more among the `pool` trends of a candidate's stage pool that are lexically nearest.
+def _first(df: DataFrame, group: list[str], order: list, most) -> DataFrame:
+    """The first rows of each group. Spark keeps no more than that of a group in any task before it deals them out."""
+    return df.withColumn("_place", F.row_number().over(Window.partitionBy(*group).orderBy(*order))).where(F.col("_place") <= most).drop("_place")
+
+
+def _largest() -> list:
+    return [F.col("counts").desc_nulls_last(), F.col("name").asc_nulls_last(), "trend_id"]
+
+
+class Pools:
+    """The stage pools of (ckey, day), for keys that aren't matched yet."""
+
+    def __init__(self, keys: DataFrame, trends: DataFrame, days: int, most: int) -> None:
+        self.most = most
+        self.trends = stored(trend_days(trends.where("key != ''"), days).join(keys.select("day").distinct(), "day", "left_semi"), "trend-days")
+        words = self.trends.select("*", F.explode(F.array_distinct(tokens(F.col("tkey")))).alias("token"))
+        own = keys.select("ckey").distinct().select("ckey", F.explode(F.array_distinct(tokens(F.col("ckey")))).alias("token")).where(~F.col("token").isin(*BLOCK_STOPWORDS))
+        # Whether any trend shares a token, whatever its date.
+        every = trends.select(F.explode(tokens(F.col("key"))).alias("token")).distinct()
+        kinds = own.join(every.withColumn("known", F.lit(True)), "token", "left").groupBy("ckey").agg(F.max(F.coalesce("known", F.lit(False))).alias("hit"))
+        kind = F.when(F.col("hit").isNull(), "bare").when(F.col("hit"), "blocked").otherwise("open")
+        self.keys = stored(keys.join(kinds, "ckey", "left").select("ckey", "day", kind.alias("kind")), "pool-keys")
+        self.own = own
+        self.listed = _first(words, ["day", "token"], _largest(), 4 * most)  # of each day and token no more than a pool may hold
+        self.words = words
+
+    def sizes(self) -> DataFrame:
+        """(ckey, day, size): how many trends a pool has before it is cut, at most; shared ones count once a token."""
+        of_day = self.trends.groupBy("day").agg(F.count(F.lit(1)).alias("size"))
+        of_token = self.words.groupBy("day", "token").agg(F.count(F.lit(1)).alias("size"))
+        blocked = self.keys.where("kind = 'blocked'").join(self.own, "ckey").join(of_token, ["day", "token"]).groupBy("ckey", "day").agg(F.sum("size").alias("size"))
+        return blocked.unionByName(self.keys.where("kind != 'blocked'").join(of_day, "day").select("ckey", "day", "size"))
+
+    def rows(self, some: DataFrame) -> DataFrame:
+        """The pools of the given (ckey, day), cut by counts: at most 4 * most trends each, `most` for keys of stopwords."""
+        keys = self.keys.join(some.select("ckey", "day").distinct(), ["ckey", "day"], "left_semi")
+        columns = ["ckey", "day", "kind", "trend_id", "tkey", "counts", "name"]
+        blocked = keys.where("kind = 'blocked'").join(self.own, "ckey").join(self.listed, ["day", "token"]).select(columns).distinct()
+        day = _first(self.trends, ["day"], _largest(), 4 * self.most)
+        others = keys.where("kind != 'blocked'").join(day, "day").select(columns)
+        return _first(blocked.unionByName(others), ["ckey", "day"], _largest(), F.when(F.col("kind") == "bare", self.most).otherwise(4 * self.most))
+
+    def within(self, pairs: DataFrame) -> DataFrame:
+        """Rows (ckey, day, tkey, trend_id, counts, name, score) of key pairs whose trend is in the pool."""
+        full = pairs.join(self.keys, "ckey").join(self.trends, ["day", "tkey"])
+        plain = F.array(*map(F.lit, BLOCK_STOPWORDS))
+        shares = F.size(F.array_except(F.array_intersect(tokens(F.col("ckey")), tokens(F.col("tkey"))), plain)) > 0
+        full = full.where((F.col("kind") != "blocked") | shares)
+        wide = self.sizes().where(F.col("size") > self.most)
+        narrow = full.join(wide, ["ckey", "day"], "left_anti")
+        cut = full.join(wide, ["ckey", "day"], "left_semi")
+        kept = cut.join(self.rows(cut).select("ckey", "day", "trend_id"), ["ckey", "day", "trend_id"], "left_semi")
+        return narrow.unionByName(kept.select(narrow.columns))
+
+
+def letter_pairs(key):
+    """Neighbouring letters of a key, each with its number among equal ones: what two keys share of these is counted with repeats."""
+    grams = F.transform(F.sequence(F.lit(1), F.length(key) - 1), lambda i: F.substring(key, i, F.lit(2)))
+    number = F.transform(grams, lambda g, i: F.concat(g, F.lit("\u0001"), F.size(F.filter(F.slice(grams, 1, i + 1), lambda x: x == g)).cast("string")))
+    return F.when(F.length(key) > 1, number).otherwise(F.array().cast("array<string>"))
+
 
-    Without a shared token a score is 0.3 at most, so pairs are found by tokens: by those outside the stopwords for candidates with an index hit, and by
-    stopwords for the others, whose stage pool is the temporal pool (its `most` largest trends for keys of stopwords only).
+def similar_keys(ckeys: DataFrame, tkeys: DataFrame, least: float) -> DataFrame:
+    """Distinct pairs (ckey, tkey) of different keys that may have a sequence ratio of `least` or more; none that has is left out.
+
+    A ratio of `least` leaves at most (1 - least) * (letters of both) letters unmatched, and each takes two letter pairs with it, so a pair of keys shares at least
+    longer - 1 - 2 * unmatched letter pairs. Hence their rarest ones, 2 * floor(2 * (1 - least) * letters) + 2 of each key, have one in common: only these are joined. Then lengths and the shared count are checked.
+    """
+    if least <= 0.75:
+        raise ValueError("below a ratio of 0.75 keys may share no letter pair")
+    gone = 1 - least
+    c = ckeys.select(F.col("ckey").alias("key"), F.lit(0).alias("side"))
+    t = tkeys.select(F.col("tkey").alias("key"), F.lit(1).alias("side"))
+    both = stored(c.unionByName(t).distinct().withColumn("grams", letter_pairs(F.col("key"))), "letter-pairs")
+    each = both.select("key", "side", F.explode("grams").alias("gram"))
+    often = each.groupBy("gram").agg(F.count(F.lit(1)).alias("n"))
+    ranked = each.join(often, "gram").groupBy("key", "side").agg(F.array_sort(F.collect_list(F.struct("n", "gram"))).alias("by"))  # as long as the key
+    rare = stored(ranked.select("key", "side", F.explode(F.slice("by", 1, (2 * F.floor(2 * gone * F.length("key") + F.lit(1e-9)) + 2).cast("int"))).alias("x")).select("key", "side", "x.gram"), "rare-pairs")
+    left, right = rare.where("side = 0").select(F.col("key").alias("ckey"), "gram"), rare.where("side = 1").select(F.col("key").alias("tkey"), "gram")
+    n, m = F.length("ckey"), F.length("tkey")
+    unmatched = F.floor(gone * (n + m) + F.lit(1e-9))
+    met = left.join(right, "gram").where((F.col("ckey") != F.col("tkey")) & (F.abs(n - m) <= unmatched)).select("ckey", "tkey").distinct()
+    shared = F.size(F.array_intersect(letter_pairs(F.col("ckey")), letter_pairs(F.col("tkey"))))
+    return met.where(shared >= F.greatest(n, m) - 1 - 2 * unmatched)
+
+
+def fuzzy_rows(pools: Pools, least: float = FUZZY) -> DataFrame:
+    """Rows of the pools with a sequence ratio of `least` or more, the `most` best of each."""
+    pairs = similar_keys(pools.keys.select("ckey"), pools.trends.select("tkey"), least)
+    scored = stored(pairs.withColumn("score", sequence_ratio("ckey", "tkey")).where(F.col("score") >= least), "fuzzy-keys")
+    return _first(pools.within(scored), ["ckey", "day"], [F.col("score").desc(), *_largest()], pools.most)
+
+
+def semantic_rows(pools: Pools, least: float = SEMANTIC, pool: int = SEMANTIC_POOL) -> DataFrame:
+    """Rows with a semantic score of `least` or more among the `pool` trends of each pool that are nearest by sequence ratio.
+
+    Without a shared token a score is 0.3 at most, so pairs are found by tokens: by those outside the stopwords for blocked keys, by stopwords for the others.
     """
     if least <= 0.3:
         raise ValueError("pairs without a shared token can score 0.3")
-    blocked = _key_pairs(candidates, trends)
-    open_ = candidates.where("key != ''").join(blocked.select(F.col("ckey").alias("key")).distinct(), "key", "left_anti")
-    keys = blocked.unionByName(_key_pairs(open_, trends, ("",)))
-    scored = keys.withColumn("score", semantic_score(F.col("ckey"), F.col("tkey"))).where(F.col("score") >= least)
-    rows = _to_rows(scored, candidates, trends, "semantic", days)
-    if trends.limit(pool + 1).count() <= pool:
-        return rows
-    rows = rows.persist()
-    return rows.join(_beyond_pool(rows, candidates, trends, blocked, days, pool, most), ["candidate_id", "trend_id"], "left_anti")
+    plain = pools.keys.where("kind != 'blocked'").select("ckey", "day", F.explode(F.array_distinct(tokens(F.col("ckey")))).alias("token"))
+    named = pools.keys.where("kind = 'blocked'").join(pools.own, "ckey").select("ckey", "day", "token")
+    met = plain.unionByName(named).join(pools.words.select("day", "token", "tkey"), ["day", "token"]).select("ckey", "tkey").distinct()
+    scored = stored(met.withColumn("score", semantic_score(F.col("ckey"), F.col("tkey"))).where(F.col("score") >= least), "semantic-keys")
+    hits = stored(pools.within(scored), "semantic-hits")
+    wide = stored(hits.select("ckey", "day").distinct().join(pools.sizes().where(F.col("size") > pool), ["ckey", "day"], "left_semi"), "wide-pools")
+    each = pools.rows(wide)
+    ratios = stored(each.select("ckey", "tkey").distinct().withColumn("ratio", sequence_ratio("ckey", "tkey")), "pool-ratios")
+    nearest = _first(each.join(ratios, ["ckey", "tkey"]), ["ckey", "day"], [F.col("ratio").desc(), *_largest()], pool)
+    narrow = hits.join(wide, ["ckey", "day"], "left_anti")
+    kept = hits.join(nearest.select("ckey", "day", "trend_id"), ["ckey", "day", "trend_id"], "left_semi")
+    return narrow.unionByName(kept.select(narrow.columns))
+
+
+def _to_rows(found: DataFrame, candidates: DataFrame, stage: str) -> DataFrame:
+    own = candidates.select("candidate_id", F.col("key").alias("ckey"), pool_day())
+    return own.join(found, ["ckey", "day"]).select("candidate_id", "trend_id", F.lit(stage).alias("stage"), "score")
+
+
+def pools_of(candidates: DataFrame, trends: DataFrame, days: int = WINDOW_DAYS, most: int = POOL) -> Pools:
+    keys = candidates.where("key != ''").select(F.col("key").alias("ckey"), pool_day()).distinct()
+    return Pools(keys, trends, days, most)
+
 
+def fuzzy_pairs(candidates: DataFrame, trends: DataFrame, least: float = FUZZY, days: int = WINDOW_DAYS, most: int = POOL) -> DataFrame:
+    return _to_rows(fuzzy_rows(pools_of(candidates, trends, days, most), least), candidates, "fuzzy")
 
-def _beyond_pool(rows: DataFrame, candidates: DataFrame, trends: DataFrame, blocked: DataFrame, days: int, pool: int, most: int) -> DataFrame:
-    """(candidate_id, trend_id) of the stage pools that the semantic stage doesn't look at; only for candidates of `rows` whose temporal pool exceeds `pool`.
 
-    A stage pool is cut to 4 * `most` trends by counts and name (to `most` for keys of stopwords only), then to `pool` by ratio, counts and name.
+def semantic_pairs(candidates: DataFrame, trends: DataFrame, least: float = SEMANTIC, days: int = WINDOW_DAYS, pool: int = SEMANTIC_POOL, most: int = POOL) -> DataFrame:
+    return _to_rows(semantic_rows(pools_of(candidates, trends, days, most), least, pool), candidates, "semantic")
+
+
+def match(candidates: DataFrame, trends: DataFrame, days: int = WINDOW_DAYS, most: int = POOL, pool: int = SEMANTIC_POOL) -> DataFrame:
+    """All match rows: each candidate's pairs of the first stage that has any, ranked in the stage, with an ambiguity flag; else one unmatched row.
+
+    Each stage's rows are written as a table, and the next stage sees the candidates that are left. candidate_id may be of any type that has an order.
     """
-    near = trends.select(F.explode(F.sequence(F.date_sub("trend_date", days), F.date_add("trend_date", days))).alias("candidate_date"))
-    sizes = near.groupBy("candidate_date").agg(F.count(F.lit(1)).alias("_near"))
-    total = trends.agg(F.count(F.lit(1)).alias("_all"))
-    size = F.when(F.col("mode") == "date_window", F.col("_near")).otherwise(F.col("_all"))
-    some = candidates.join(rows.select("candidate_id").distinct(), "candidate_id", "left_semi").join(sizes, "candidate_date", "left").crossJoin(F.broadcast(total))
-    wide = some.where(size > pool).select("candidate_id", F.col("key").alias("ckey"), "candidate_date", "mode")
-    named = trends.select("trend_id", F.col("key").alias("tkey"), "trend_date", "counts", "name")
-    hit = blocked.select("ckey").distinct()
-    found = wide.join(blocked, "ckey").join(named, "tkey").where(in_pool(days))
-    others = wide.join(hit, "ckey", "left_anti").join(named, in_pool(days))
-    each = found.unionByName(others)
-    bare = F.size(F.array_except(tokens(F.col("ckey")), F.array(*map(F.lit, BLOCK_STOPWORDS)))) == 0
-    largest = Window.partitionBy("candidate_id").orderBy(F.col("counts").desc_nulls_last(), "name", "trend_id")
-    cut = F.row_number().over(largest) > F.when(bare, most).otherwise(4 * most)
-    each = each.withColumn("_cut", cut)
-    ratios = each.select("ckey", "tkey").distinct().withColumn("_ratio", sequence_ratio("ckey", "tkey"))
-    nearest = Window.partitionBy("candidate_id").orderBy("_cut", F.col("_ratio").desc(), F.col("counts").desc_nulls_last(), "name", "trend_id")
-    return each.join(ratios, ["ckey", "tkey"]).withColumn("_rank", F.row_number().over(nearest)).where(F.col("_cut") | (F.col("_rank") > pool)).select("candidate_id", "trend_id")
-
-
-def _to_rows(scored: DataFrame, candidates: DataFrame, trends: DataFrame, stage: str, days: int) -> DataFrame:
-    full = scored.join(candidates, F.col("ckey") == candidates["key"]).join(trends, F.col("tkey") == trends["key"])
-    return full.where(in_pool(days)).select("candidate_id", "trend_id", F.lit(stage).alias("stage"), "score")
-
-
-def match(candidates: DataFrame, trends: DataFrame, days: int = WINDOW_DAYS, most: int = POOL) -> DataFrame:
-    """All match rows: each candidate's pairs of the first stage that has any, ranked in the stage, with an ambiguity flag; else one unmatched row."""
-    # The stages read each other's rows several times; what is kept goes to disk where memory doesn't hold it.
-    timed = temporal_mode(candidates, trends, days).persist()
-    exact = exact_pairs(timed, trends, days)
-    rest = timed.join(exact, "candidate_id", "left_anti")
-    fuzzy = fuzzy_pairs(rest, trends, FUZZY, days).persist()
-    last = rest.join(fuzzy, "candidate_id", "left_anti").persist()
-    semantic = semantic_pairs(last, trends, SEMANTIC, days)
+    timed, trends = stored(temporal_mode(candidates, trends, days), "candidates"), stored(trends, "trends")
+    exact = stored(exact_pairs(timed, trends, days), "exact")
+    rest = stored(timed.where("key != ''").join(exact, "candidate_id", "left_anti"), "inexact")
+    pools = pools_of(rest, trends, days, most)
+    fuzzy = stored(_to_rows(fuzzy_rows(pools), rest, "fuzzy"), "fuzzy")
+    last = rest.join(fuzzy, "candidate_id", "left_anti")
+    semantic = stored(_to_rows(semantic_rows(pools_of(last, trends, days, most), pool=pool), last, "semantic"), "semantic")
     found = exact.unionByName(fuzzy).unionByName(semantic).join(trends.select("trend_id", "counts", "name"), "trend_id")
-    order = Window.partitionBy("candidate_id").orderBy(F.col("score").desc(), F.col("counts").desc_nulls_last(), "name", "trend_id")
+    order = Window.partitionBy("candidate_id").orderBy(F.col("score").desc(), *_largest())
     every = Window.partitionBy("candidate_id")
-    ranked = found.withColumns({"stage_rank": F.row_number().over(order), "ambiguity_count": F.count(F.lit(1)).over(every)}).where(F.col("stage_rank") <= most)
+    ranked = found.withColumns({"stage_rank": F.row_number().over(order), "ambiguity_count": F.count(F.lit(1)).over(every)})
     place = [c for c in ("candidate_rank_in_post",) if c in timed.columns]
     return (
         timed.select("candidate_id", "uri", "key", "mode", *place)
@@ -149,10 +217,6 @@ def best_per_post(matches: DataFrame) -> DataFrame:
     return matches.withColumn("_best", F.row_number().over(w)).where("_best = 1").drop("_best")
 
 
-def length_bounds(n: int, least: float = FUZZY) -> tuple[int, int]:
-    return math.ceil(n * least / (2 - least)), math.floor(n * (2 - least) / least)
-
-
 def best_per_candidate(matches: DataFrame) -> DataFrame:
     """One row per candidate: stage, its rank in the stage, then trend."""
     stage = F.create_map(*[F.lit(x) for kv in STAGES.items() for x in kv])[F.col("stage")]

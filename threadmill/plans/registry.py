@@ -104,10 +104,12 @@ def post_shape(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def _trends(spark: SparkSession, sf: str) -> DataFrame:
-    """Dated trend names from the benchmark: the first two words of each item."""
-    items = table(spark, sf, "benchmark")
-    name = F.array_join(F.slice(F.split("text", " "), 1, 2), " ")
-    return items.select(F.col("item_id").alias("trend_id"), name.alias("name"), F.date_add(F.lit("2024-01-01").cast("date"), (F.col("item_id") % 30).cast("int")).alias("trend_date"), F.length("text").cast("double").alias("counts"))
+    """Dated trend names drawn from the benchmark's whole items, up to 20 of each: trend_id is the item's number and the place in it."""
+    items = table(spark, sf, "benchmark").select("item_id", F.length("text").alias("n"), T.post_text(F.col("text")).alias("p"))
+    drawn = candidates.generate(items.select(F.struct("item_id", "n").alias("uri"), "p.post_text_clean", "p.post_text_alnum"))
+    item, place = F.col("uri.item_id"), F.col("candidate_rank_in_post")
+    day = F.date_add(F.lit("2024-01-01").cast("date"), (item % 30).cast("int"))
+    return drawn.select((item * 100 + place).alias("trend_id"), F.col("candidate_phrase_raw").alias("name"), day.alias("trend_date"), (F.col("uri.n") - place).cast("double").alias("counts"))
 
 
 _TREND = r"""
@@ -153,7 +155,7 @@ def _drawn_candidates(spark: SparkSession, sf: str) -> DataFrame:
     """Dated candidates drawn from the conversations' whole texts, ranked within each turn."""
     said = table(spark, sf, "conversations").select("conv_id", "turn", _said_on().alias("candidate_date"), T.post_text(F.col("text")).alias("p"))
     posts = said.select(F.struct("conv_id", "turn", "candidate_date").alias("uri"), "p.post_text_clean", "p.post_text_alnum")
-    number = (F.col("uri.conv_id") * 1000 + F.col("uri.turn")) * 100 + F.col("candidate_rank_in_post")
+    number = F.struct("uri.conv_id", "uri.turn", "candidate_rank_in_post")
     return candidates.generate(posts).select(number.alias("candidate_id"), F.col("uri.conv_id").alias("uri"), F.col("candidate_phrase_alnum").alias("key"), F.col("uri.candidate_date").alias("candidate_date"), "candidate_rank_in_post")
 
 
@@ -179,14 +181,19 @@ def exact_match(spark: SparkSession, sf: str) -> DataFrame:
     return matching.exact_pairs(matching.temporal_mode(own, trends), trends)
 
 
+def _number():
+    """A candidate's conversation, turn and place as text."""
+    return F.concat_ws("-", *[F.col(f"candidate_id.{c}").cast("string") for c in ("conv_id", "turn", "candidate_rank_in_post")]).alias("candidate_id")
+
+
 @query()
 def staged_match(spark: SparkSession, sf: str) -> DataFrame:
-    return matching.match(_drawn_candidates(spark, sf), _keyed_trends(spark, sf)).select("candidate_id", "uri", "stage", "trend_id", "score", "stage_rank", "is_matched", "is_ambiguous")
+    return matching.match(_drawn_candidates(spark, sf), _keyed_trends(spark, sf)).select(_number(), "uri", "stage", "trend_id", "score", "stage_rank", "is_matched", "is_ambiguous")
 
 
 @query()
 def best_match_per_post(spark: SparkSession, sf: str) -> DataFrame:
-    return matching.best_per_post(matching.match(_drawn_candidates(spark, sf), _keyed_trends(spark, sf))).select("uri", "candidate_id", "stage", "trend_id", "score")
+    return matching.best_per_post(matching.match(_drawn_candidates(spark, sf), _keyed_trends(spark, sf))).select("uri", _number(), "stage", "trend_id", "score")
 
 
 @query()
