@@ -115,33 +115,60 @@ def letter_pairs(key):
     return F.when(F.length(key) > 1, number).otherwise(F.array().cast("array<string>"))
 
 
-def similar_keys(ckeys: DataFrame, tkeys: DataFrame, least: float) -> DataFrame:
+def alike_in_length(least: float):
+    """Whether the lengths of ckey and tkey allow a ratio of `least`, and how many letters it leaves unmatched at most."""
+    n, m = F.length("ckey"), F.length("tkey")
+    unmatched = F.floor((1 - least) * (n + m) + F.lit(1e-9))
+    return F.abs(n - m) <= unmatched, unmatched
+
+
+def lettered(ckeys: DataFrame, tkeys: DataFrame) -> DataFrame:
+    """(key, side, grams) of all distinct keys, written once."""
+    c = ckeys.select(F.col("ckey").alias("key"), F.lit(0).alias("side"))
+    return stored(c.unionByName(tkeys.select(F.col("tkey").alias("key"), F.lit(1).alias("side"))).distinct().withColumn("grams", letter_pairs(F.col("key"))), "letter-pairs")
+
+
+def sharing_enough(pairs: DataFrame, letters: DataFrame, least: float) -> DataFrame:
+    """Pairs (ckey, tkey) whose lengths and shared letter pairs allow a ratio of `least`.
+
+    It leaves at most (1 - least) * (letters of both) letters unmatched, and each takes two letter pairs with it, so they share at least longer - 1 - 2 * unmatched of them.
+    """
+    fits, unmatched = alike_in_length(least)
+    of = lambda side, name, grams: letters.where(F.col("side") == side).select(F.col("key").alias(name), F.col("grams").alias(grams))
+    both = pairs.where(fits).join(of(0, "ckey", "cgrams"), "ckey").join(of(1, "tkey", "tgrams"), "tkey")
+    shared = F.size(F.array_intersect("cgrams", "tgrams"))
+    return both.where(shared >= F.greatest(F.length("ckey"), F.length("tkey")) - 1 - 2 * unmatched).select("ckey", "tkey")
+
+
+def similar_keys(ckeys: DataFrame, tkeys: DataFrame, least: float, letters: DataFrame | None = None) -> DataFrame:
     """Distinct pairs (ckey, tkey) of different keys that may have a sequence ratio of `least` or more; none that has is left out.
 
-    A ratio of `least` leaves at most (1 - least) * (letters of both) letters unmatched, and each takes two letter pairs with it, so a pair of keys shares at least
-    longer - 1 - 2 * unmatched letter pairs. Hence their rarest ones, 2 * floor(2 * (1 - least) * letters) + 2 of each key, have one in common: only these are joined. Then lengths and the shared count are checked.
+    By what such keys share at least (see sharing_enough), their rarest letter pairs, 2 * floor(2 * (1 - least) * letters) + 2 of each key, have one in common, and its places differ by no more
+    than the unmatched letters: only such pairs are joined.
     """
     if least <= 0.75:
         raise ValueError("below a ratio of 0.75 keys may share no letter pair")
-    gone = 1 - least
-    c = ckeys.select(F.col("ckey").alias("key"), F.lit(0).alias("side"))
-    t = tkeys.select(F.col("tkey").alias("key"), F.lit(1).alias("side"))
-    both = stored(c.unionByName(t).distinct().withColumn("grams", letter_pairs(F.col("key"))), "letter-pairs")
-    each = both.select("key", "side", F.explode("grams").alias("gram"))
+    letters = lettered(ckeys, tkeys) if letters is None else letters
+    asked = letters.join(ckeys.select(F.col("ckey").alias("key")).distinct(), "key", "left_semi").where("side = 0").unionByName(letters.where("side = 1"))
+    each = asked.select("key", "side", F.posexplode("grams").alias("at", "gram"))
     often = each.groupBy("gram").agg(F.count(F.lit(1)).alias("n"))
-    ranked = each.join(often, "gram").groupBy("key", "side").agg(F.array_sort(F.collect_list(F.struct("n", "gram"))).alias("by"))  # as long as the key
-    rare = stored(ranked.select("key", "side", F.explode(F.slice("by", 1, (2 * F.floor(2 * gone * F.length("key") + F.lit(1e-9)) + 2).cast("int"))).alias("x")).select("key", "side", "x.gram"), "rare-pairs")
-    left, right = rare.where("side = 0").select(F.col("key").alias("ckey"), "gram"), rare.where("side = 1").select(F.col("key").alias("tkey"), "gram")
-    n, m = F.length("ckey"), F.length("tkey")
-    unmatched = F.floor(gone * (n + m) + F.lit(1e-9))
-    met = left.join(right, "gram").where((F.col("ckey") != F.col("tkey")) & (F.abs(n - m) <= unmatched)).select("ckey", "tkey").distinct()
-    shared = F.size(F.array_intersect(letter_pairs(F.col("ckey")), letter_pairs(F.col("tkey"))))
-    return met.where(shared >= F.greatest(n, m) - 1 - 2 * unmatched)
+    ranked = each.join(often, "gram").groupBy("key", "side").agg(F.array_sort(F.collect_list(F.struct("n", "gram", "at"))).alias("by"))  # as long as the key
+    count = (2 * F.floor(2 * (1 - least) * F.length("key") + F.lit(1e-9)) + 2).cast("int")
+    rare = stored(ranked.select("key", "side", F.explode(F.slice("by", 1, count)).alias("x")).select("key", "side", "x.gram", "x.at"), "rare-pairs")
+    left, right = rare.where("side = 0").select(F.col("key").alias("ckey"), "gram", "at"), rare.where("side = 1").select(F.col("key").alias("tkey"), "gram", F.col("at").alias("there"))
+    fits, unmatched = alike_in_length(least)
+    met = left.join(right, "gram").where((F.col("ckey") != F.col("tkey")) & fits & (F.abs(F.col("at") - F.col("there")) <= unmatched)).select("ckey", "tkey").distinct()
+    return sharing_enough(met, letters, least)
 
 
 def fuzzy_rows(pools: Pools, least: float = FUZZY) -> DataFrame:
-    """Rows of the pools with a sequence ratio of `least` or more, the `most` best of each."""
-    pairs = similar_keys(pools.keys.select("ckey"), pools.trends.select("tkey"), least)
+    """Rows of the pools with a sequence ratio of `least` or more, the `most` best of each. Keys that share a token are met by day and token, the others by their letters."""
+    letters = lettered(pools.keys.select("ckey"), pools.trends.select("tkey"))
+    fits, _ = alike_in_length(least)
+    named = pools.keys.where("kind = 'blocked'").join(pools.own, "ckey").join(pools.listed, ["day", "token"]).where(fits & (F.col("ckey") != F.col("tkey"))).select("ckey", "tkey").distinct()
+    others = similar_keys(pools.keys.where("kind != 'blocked'").select("ckey"), pools.trends.select("tkey"), least, letters)
+    # Written before they are scored: Spark would score pairs before it counts what they share.
+    pairs = stored(sharing_enough(named, letters, least).unionByName(others), "alike-keys")
     scored = stored(pairs.withColumn("score", sequence_ratio("ckey", "tkey")).where(F.col("score") >= least), "fuzzy-keys")
     return _first(pools.within(scored), ["ckey", "day"], [F.col("score").desc(), *_largest()], pools.most)
 
@@ -156,7 +183,7 @@ def semantic_rows(pools: Pools, least: float = SEMANTIC, pool: int = SEMANTIC_PO
     plain = pools.keys.where("kind != 'blocked'").select("ckey", "day", F.explode(F.array_distinct(tokens(F.col("ckey")))).alias("token"))
     named = pools.keys.where("kind = 'blocked'").join(pools.own, "ckey").select("ckey", "day", "token")
     met = plain.unionByName(named).join(pools.words.select("day", "token", "tkey"), ["day", "token"]).select("ckey", "tkey").distinct()
-    scored = stored(met.withColumn("score", semantic_score(F.col("ckey"), F.col("tkey"))).where(F.col("score") >= least), "semantic-keys")
+    scored = stored(stored(met, "token-pairs").withColumn("score", semantic_score(F.col("ckey"), F.col("tkey"))).where(F.col("score") >= least), "semantic-keys")
     hits = stored(pools.within(scored), "semantic-hits")
     wide = stored(hits.select("ckey", "day").distinct().join(pools.sizes().where(F.col("size") > pool), ["ckey", "day"], "left_semi"), "wide-pools")
     each = pools.rows(wide)
