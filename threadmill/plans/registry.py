@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from threadmill.functions import text as T
-from threadmill.operators import candidates, features, matching, models, quality, relational, state
+from threadmill.operators import candidates, features, matching, models, quality, relational, state, stumps
 from threadmill.sources import events as ev
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -483,11 +483,16 @@ def balanced_resample(spark: SparkSession, sf: str) -> DataFrame:
     return models.balanced_resample(table(spark, sf, "labels").select("doc_id", "toxic"), "toxic", "doc_id")
 
 
-def _model(spark: SparkSession, sf: str, kind) -> DataFrame:
+def _vectors(spark: SparkSession, sf: str) -> tuple[DataFrame, list[str]]:
+    """The split vectors, a column per component, and the columns' names."""
     vectors = table(spark, sf, "embeddings")
     names = [f"x{i}" for i in range(vectors.agg(F.max(F.size("embedding"))).first()[0])]
     base = vectors.select("vec_id", F.col("label").cast("string").alias("label"), *[F.col("embedding")[i].cast("double").alias(x) for i, x in enumerate(names)])
-    split = models.stratified_split(base, "label", "vec_id")
+    return models.stratified_split(base, "label", "vec_id"), names
+
+
+def _model(spark: SparkSession, sf: str, kind) -> DataFrame:
+    split, names = _vectors(spark, sf)
     fitted = kind(names, "label").fit(split.where("split = 'train'"))
     return fitted.transform(split.where("split = 'test'")).select("vec_id", "label", "prediction")
 
@@ -499,4 +504,6 @@ def softmax_model(spark: SparkSession, sf: str) -> DataFrame:
 
 @query()
 def stump_model(spark: SparkSession, sf: str) -> DataFrame:
-    return _model(spark, sf, models.bagged_stumps)
+    split, names = _vectors(spark, sf)
+    fitted = stumps.fit(split.where("split = 'train'"), names, "label", "vec_id")
+    return fitted.transform(split.where("split = 'test'")).select("vec_id", "label", "prediction", F.transform("probability", lambda p: F.round(p, 9)).alias("probability"))
