@@ -35,10 +35,24 @@ def test_waves_ties_repeated_ids(spark, shard_rows, block_rows):
     assert found == {q: x for q, x in brute(rows, 7).items() if x}
 
 
-def test_scores_too_large_are_an_error(spark):
-    df = spark.createDataFrame([(0, [1e10]), (20, [1e10])], "vec_id long, embedding array<double>")
-    with pytest.raises(ValueError):
-        topk.top_k(df, F.col("vec_id") % 20 == 0)
+@pytest.mark.parametrize("size", [1e7, 2e6, 3e7])
+def test_scores_beyond_doubles_are_exact(spark, size):
+    r = np.random.default_rng(5)
+    rows = [(i, [float(x) for x in np.floor(r.uniform(-size, size, 3) * 64) / 64]) for i in range(300)]
+    rows += [(i + 300, [x + 1 / 64 for x in rows[i][1]]) for i in range(0, 300, 7)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    got = {}
+    for x in topk.top_k(df, F.col("vec_id") % 20 == 0, k=9, shard_rows=90).orderBy("rank").collect():
+        got.setdefault(x["query_id"], []).append((-x["score"], x["vec_id"]))
+    ints = {i: [int(y * 64) for y in v] for i, v in rows}
+    want = {q: sorted((-sum(a * b for a, b in zip(ints[q], ints[i], strict=True)), i) for i in ints if i != q)[:9] for q in ints if q % 20 == 0}
+    assert got == want
+
+
+def test_a_best_score_that_is_no_long_is_an_error(spark):
+    df = spark.createDataFrame([(0, [1e10]), (20, [1e10]), (21, [1e300])], "vec_id long, embedding array<double>")
+    with pytest.raises(Exception, match="too large|OverflowError"):
+        topk.top_k(df, F.col("vec_id") % 20 == 0).collect()
 
 
 def test_search_opens_few_nodes_when_the_floor_is_high():

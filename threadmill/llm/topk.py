@@ -51,21 +51,25 @@ class BallTree:
         self.centres, self.radii = np.array(centres), np.array(radii)
 
 
-def search(tree: BallTree, vectors: np.ndarray, ids: np.ndarray, queries: np.ndarray, own: np.ndarray, k: int, floor: np.ndarray) -> list[tuple[np.ndarray, np.ndarray]]:
+def search(tree: BallTree, vectors: np.ndarray, ids: np.ndarray, queries: np.ndarray, own: np.ndarray, k: int, floor: np.ndarray, whole: type = float) -> list[tuple[np.ndarray, np.ndarray]]:
     """Per query the best k (scores, ids), best first; of them all that may beat floor[query], the kth score known so far.
 
     Best first: each query goes on with the open node of the highest bound, centre . query + radius * |query|, and stops when that is under its kth score. A
     node's children are opened with bounds no higher than its own, a leaf's vectors are scored, which raises the kth score. Queries that are at the same node take the step together.
+
+    `whole` is the type that scores are exact in: float, np.int64 or object. With the latter two, doubles find what may be good enough, with room for their errors, and its scores are worked out anew.
     """
-    scores = [np.zeros(0, np.int64) for _ in queries]
+    scores = [np.zeros(0, object if whole is object else np.int64) for _ in queries]
+    ints = None if whole is float else (np.array([[int(x) for x in v] for v in vectors], object) if whole is object else vectors.astype(np.int64))
     found = [np.zeros(0, np.int64) for _ in queries]
-    kth = floor.astype(float).copy()
+    kth = floor.astype(float) if whole is float else np.nextafter(floor.astype(float), -np.inf)
+    longest = np.sqrt((vectors.astype(float) ** 2).sum(axis=1).max(initial=0))
     norms = np.sqrt((queries.astype(float) ** 2).sum(axis=1))
     opened = np.full((len(queries), len(tree.first)), -np.inf)
 
     def bound(who: np.ndarray, node: int) -> np.ndarray:
         got = queries[who] @ tree.centres[node] + tree.radii[node] * norms[who]
-        return got + 1e-9 * np.abs(got) + 1e-6  # above any rounding error
+        return got + 1e-9 * np.abs(got) + 1e-6 + 1e-11 * norms[who] * longest  # above any rounding error
 
     live = np.arange(len(queries))
     opened[:, 0] = bound(live, 0)
@@ -85,25 +89,31 @@ def search(tree: BallTree, vectors: np.ndarray, ids: np.ndarray, queries: np.nda
                 continue
             rows = tree.order[tree.first[node] : tree.last[node]]
             for q, line in zip(who, queries[who] @ vectors[rows].T, strict=True):
-                good = np.flatnonzero((line >= kth[q]) & (ids[rows] != own[q]))
+                room = 0 if whole is float else 1e-11 * norms[q] * longest
+                good = np.flatnonzero((line >= kth[q] - room) & (ids[rows] != own[q]))
                 if not len(good):
                     continue
-                s = np.concatenate([scores[q], line[good].astype(np.int64)])
+                if whole is float:
+                    new = line[good].astype(np.int64)
+                else:
+                    new = ints[rows[good]] @ np.array([int(x) for x in queries[q]], whole)
+                s = np.concatenate([scores[q], new])
                 v = np.concatenate([found[q], ids[rows[good]]])
-                first = np.lexsort((v, -s))[:k]
+                first = np.array(sorted(range(len(s)), key=lambda i: (-s[i], v[i]))[:k]) if whole is object else np.lexsort((v, -s))[:k]
                 scores[q], found[q] = s[first], v[first]
                 if len(first) == k:
-                    kth[q] = max(kth[q], float(s[first[-1]]))
+                    last = float(s[first[-1]])
+                    kth[q] = max(kth[q], last if whole is float else np.nextafter(last, -np.inf))
     return list(zip(scores, found, strict=True))
 
 
-def searched(k: int, block_rows: int):
+def searched(k: int, block_rows: int, whole: type = float):
     """Searches groups of rows (grp, kind, id, v, low) that come one after the other: a shard's vectors (kind 0), of which one tree is built, then its queries, some at a time."""
 
     def result(ids: list, got: list[tuple[np.ndarray, np.ndarray]]) -> pd.DataFrame:
         sizes = [len(s) for s, _ in got]
         table = {"query_id": np.repeat(np.array(ids, dtype=np.int64), sizes)}
-        table |= {"vec_id": np.concatenate([v for _, v in got]), "score": np.concatenate([s for s, _ in got])}
+        table |= {"vec_id": np.concatenate([v for _, v in got]), "score": np.concatenate([s for s, _ in got]).astype(np.int64)}
         return pd.DataFrame(table)
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -115,7 +125,7 @@ def searched(k: int, block_rows: int):
                 matrix = np.stack([v for _, v in held])
                 tree = (BallTree(matrix), matrix, np.array([i for i, _ in held], dtype=np.int64))
             own = [i for i, _, _ in asked]
-            got = search(*tree, np.stack([v for _, v, _ in asked]), np.array(own, dtype=np.int64), k, np.array([low for _, _, low in asked]))
+            got = search(*tree, np.stack([v for _, v, _ in asked]), np.array(own, dtype=np.int64), k, np.array([low for _, _, low in asked]), whole)
             asked = []
             return result(own, got)
 
@@ -141,7 +151,8 @@ def scaled(embedding: Column, scale: int = 64) -> Column:
     """floor(scale * x) of each component; null for a vector that is null, empty or holds a null or non-finite component."""
     wide = embedding.cast("array<double>")
     fit = (F.size(wide) > 0) & F.forall(wide, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf")))
-    return F.when(fit, F.transform(wide, lambda x: F.floor(x * F.lit(float(scale))).cast("double")))
+    whole = lambda y: F.when(F.abs(y) < F.lit(2.0**52), F.floor(y).cast("double")).otherwise(y)  # noqa: E731  larger doubles have no fraction, and may be no longs
+    return F.when(fit, F.transform(wide, lambda x: whole(x * F.lit(float(scale)))))
 
 
 def top_k(df: DataFrame, is_query: Column, k: int = 20, id_col: str = "vec_id", vector_col: str = "embedding", shard_rows: int = SHARD_ROWS, block_rows: int = BLOCK_ROWS) -> DataFrame:
@@ -152,7 +163,7 @@ def top_k(df: DataFrame, is_query: Column, k: int = 20, id_col: str = "vec_id",
 
     A query's own id is no candidate; ties go to the smaller id. Rows with a null id, and vectors that are null, empty or hold null or
     non-finite components, take no part. A vector is compared with vectors of its own length only. Of rows that repeat an id, each is a candidate, and
-    the first by vector order is the query. Scores of 2 ** 53 or more aren't exact in doubles, so they are an error. Other columns of df aren't carried. An empty table gives an empty table.
+    the first by vector order is the query. Where scores may reach 2 ** 53, which doubles don't hold exactly, they are worked out in whole numbers; only a score among a query's best that is no long is an error. Other columns of df aren't carried. An empty table gives an empty table.
     """
     spark = df.sparkSession
     vectors = written(
@@ -162,8 +173,8 @@ def top_k(df: DataFrame, is_query: Column, k: int = 20, id_col: str = "vec_id",
         "vectors",
     )
     sums = vectors.agg(F.count(F.lit(1)).alias("n"), F.max(F.aggregate("v", F.lit(0.0), lambda a, x: a + x * x)).alias("most")).first()
-    if (sums["most"] or 0) >= 2.0**53:
-        raise ValueError("components are too large for exact scores")
+    most = sums["most"] or 0
+    whole = float if most < 2.0**53 else np.int64 if most < 2.0**62 else object
     shards = max(1, -(-sums["n"] // shard_rows))
     base = vectors.withColumn("shard", F.pmod(F.xxhash64("id"), F.lit(shards)).cast("int")).select("id", "v", "d", "shard")
     asked = written(vectors.where("q").groupBy("id", "d").agg(F.min("v").alias("v")), "asked")
@@ -178,7 +189,7 @@ def top_k(df: DataFrame, is_query: Column, k: int = 20, id_col: str = "vec_id",
         sent = queries.withColumns({"shard": F.explode(F.sequence(F.lit(first), F.lit(last - 1))), "part": F.pmod(F.xxhash64("id", F.lit(5)), F.lit(parts)).cast("int")})
         rows = copies.select(group, F.lit(0).alias("kind"), "id", "v", nothing.alias("low")).unionByName(sent.select(group, F.lit(1).alias("kind"), "id", "v", "low"))
         dealt = rows.repartition((last - first) * parts, "grp").sortWithinPartitions("grp", "kind")
-        return dealt.mapInPandas(searched(k, block_rows), "query_id long, vec_id long, score long")
+        return dealt.mapInPandas(searched(k, block_rows, whole), "query_id long, vec_id long, score long")
 
     found = spark.createDataFrame([], "query_id long, vec_id long, score long")
     first, width = 0, 1
