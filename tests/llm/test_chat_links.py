@@ -56,11 +56,11 @@ def linked_by_hand(rows):
                 runs[-1][1].append(body)
             else:
                 runs.append((level, [body]))
-        units = [(level, " ".join(x)) for level, x in runs if level] + [(n, x) for n, x in lines if n and len(x) >= chat.LEAST]
+        units = [(level, " ".join(x)) for level, x in runs if level] + [(n, x) for n, x in lines if n]
         held = {}
         for level, body in units:
             for t in range(turn):
-                texts = [normal(own[conv, t])] + [normal(x) for x in own[conv, t].split("\n") if len(normal(x)) >= chat.LEAST]
+                texts = [normal(own[conv, t])] + [normal(x) for x in own[conv, t].split("\n")]
                 if body in texts:
                     held[level, t] = held.get((level, t), 0) + len(body)
                     break
@@ -89,3 +89,9 @@ def test_empty_tables_long_texts_and_other_columns(spark):
     rows = [(1, 0, "u", "A line that is long enough. " * 20_000, 5), (1, 1, "u", "> A line that is long enough.\n" + "x " * 100_000, 5)]
     df = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string, thread int")
     assert chat.reply_order(df).count() == 2 and chat.reply_order(df.limit(0)).count() == 0
+
+
+def test_short_lines_and_ids_of_any_type(spark):
+    rows = [("x-1", "0", "u", "OK then\nlet us meet"), ("x-1", "1", "v", "> OK then\nfine"), ("y", "0", "u", "OK then"), (None, "z", "u", "> OK then"), ("x-1", None, "u", "> OK then")]
+    got = chat.reply_order(spark.createDataFrame(rows, "conv_id string, turn string, role string, text string")).collect()
+    assert len(got) == 5 and [(r["conv_id"], r["turn"], r["parent_turn"]) for r in got if r["parent_turn"] is not None] == [("x-1", 1, 0)]

@@ -10,8 +10,6 @@ from .frames import text_of, written
 QUOTED = r"^[ \t]*>[ \t>]*"
 #: A line that introduces a quotation.
 INTRO = r"(?i)^[ \t]*(on .{3,120} wrote|le .{3,120} a écrit|am .{3,120} schrieb .{0,80}|el .{3,120} escribió|.{1,80} (wrote|writes|said)) ?:[ \t]*$"
-#: Characters of the shortest normalised line that links on its own.
-LEAST = 12
 
 
 def normal(text: Column) -> Column:
@@ -51,7 +49,7 @@ def passages(messages: DataFrame) -> DataFrame:
 def link_quotes(messages: DataFrame) -> DataFrame:
     """The original of each quoting message(message, conv, turn, own, text): message, parent, levels, linked.
 
-    Hashes of whole normalised passages, and of their lines of at least LEAST characters, are joined to the hashes of the messages' own whole texts and lines.
+    Digests of whole normalised passages and of their lines, however short, are joined to the digests of the messages' own whole texts and lines.
     The original of a hash is the earliest message of the conversation that has it (found by partial minima, so a line that everyone writes is one
     row before it is joined). A message's parent is the original that has most of its passages' characters, first those of the outermost quote level, then the
     earlier one; it must come before the message.
@@ -60,8 +58,8 @@ def link_quotes(messages: DataFrame) -> DataFrame:
     single = messages.select("conv", "turn", F.explode(lines_of(F.col("own"))).alias("x")).select("conv", "turn", normal(F.col("x")).alias("body"))
     originals = (
         whole.where("body != ''")
-        .unionByName(single.where(F.length("body") >= LEAST))
-        .groupBy("conv", F.xxhash64("body").alias("hash"), F.length("body").alias("size"))
+        .unionByName(single.where("body != ''"))
+        .groupBy("conv", F.sha2("body", 256).alias("hash"), F.length("body").alias("size"))
         .agg(F.min("turn").alias("original"))
     )
     lines = passages(messages)
@@ -71,8 +69,8 @@ def link_quotes(messages: DataFrame) -> DataFrame:
         .drop("passage")
     )
     units = (
-        joined.unionByName(lines.where(F.length("body") >= LEAST).drop("passage", "line"))
-        .select("message", "conv", "turn", "level", F.xxhash64("body").alias("hash"), F.length("body").alias("size"))
+        joined.unionByName(lines.drop("passage", "line"))
+        .select("message", "conv", "turn", "level", F.sha2("body", 256).alias("hash"), F.length("body").alias("size"))
     )
     found = units.join(originals, ["conv", "hash", "size"]).where("original < turn")
     best = (
@@ -111,14 +109,14 @@ def reply_order(df: DataFrame, conv_col: str = "conv_id", turn_col: str = "turn"
     come by thread (the turn that a chain of replies starts from; a message that quotes no earlier one starts its own) and turn, so that each reply follows its original and
     threads stay together. The order is that of one range sort, so a very long conversation is split among tasks.
 
-    A row per row of df. Null texts are empty. Rows with a null conversation form one conversation, and so on with turns: null turns come first and link to nothing. Rows that repeat a
+    A row per row of df. Conversations may have ids of any type that can be sorted; a turn that is no number counts as null. Null texts are empty. Rows with a null conversation form one conversation, and so on with turns: null turns come first and link to nothing. Rows that repeat a
     conversation and turn are messages of the same place; a quote of either links to that turn, and the parent is the earliest of those their quotes name. A very long message is parsed whole, in one row. Other columns
     of df aren't carried, so their names can't clash. An empty table gives an empty table.
     """
     base = df.select(
-        F.col(f"`{conv_col}`").cast("long").alias("conv"), F.col(f"`{turn_col}`").cast("long").alias("turn"), F.col(f"`{role_col}`").alias("role"), text_of(text_col).alias("text")
+        F.col(f"`{conv_col}`").alias("conv"), F.col(f"`{turn_col}`").try_cast("long").alias("turn"), F.col(f"`{role_col}`").alias("role"), text_of(text_col).alias("text")
     )
-    named = base.withColumns({"own": own_text(F.col("text")), "message": F.xxhash64("conv", "turn", "role", "text")})
+    named = base.withColumns({"own": own_text(F.col("text")), "message": F.sha2(F.to_json(F.struct("conv", "turn", "role", "text")), 256)})
     # Only conversations that hold a quotation have anything to link.
     quoting = named.where(F.exists(lines_of(F.col("text")), lambda x: x.rlike(QUOTED)) & F.col("conv").isNotNull() & F.col("turn").isNotNull())
     talks = written(quoting.select("conv").distinct(), "quoting")
