@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from functools import reduce
+from math import ceil, floor, isnan
+
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 
@@ -73,31 +76,66 @@ def numbered(df: DataFrame, key: str, parts: int = 200, name: str = "surrogate_i
     return dealt.withColumn("_rank", rank).join(F.broadcast(before), "_part").withColumn(name, F.col("_before") + F.col("_rank")).drop("_part", "_rank", "_before")
 
 
-def quantiles(df: DataFrame, column: str, shares: list[float], margin: float = 2e-4) -> DataFrame:
+#: Bits of a double's fraction, the offset of its exponent, its least normal magnitude, and the factor whose square makes the magnitudes below that whole numbers.
+FRACTION, OFFSET, LEAST_NORMAL, HALF_SCALE = 52, 1023, 2.0**-1022, 2.0**537
+#: Bits of an ordered image that one pass of `quantiles` settles.
+DIGIT = 16
+
+
+def with_image(df: DataFrame, value: str, name: str) -> DataFrame:
+    """df with a double's 64 bits as a long that sorts as the double does: both zeros are 0, NaN comes after infinity, null stays null."""
+    v, a, near, e, power = F.col(value), F.col("_a"), F.col("_near"), F.col("_e"), F.col("_power")
+    # A logarithm may be one off beside a power of two. Each step is a column, so that none is worked out twice.
+    steps = df.withColumn("_a", F.abs(v)).withColumn("_near", F.least(F.floor(F.log2(a)).cast("double"), F.lit(float(OFFSET)))).withColumn("_power", F.pow(F.lit(2.0), near))
+    steps = steps.withColumn("_e", F.when(a < power, near - 1).when(a - power >= power, near + 1).otherwise(near))
+    steps = steps.withColumn("_power", F.when(e < near, power / 2).when(e > near, power * 2).otherwise(power))
+    normal = (e + OFFSET).cast("long") * F.lit(1 << FRACTION) + ((a / power - 1) * float(1 << FRACTION)).cast("long")
+    top = 2047 << FRACTION
+    bits = F.when(F.isnan(v), top + 1).when(a == float("inf"), top).when(a < LEAST_NORMAL, (a * HALF_SCALE * HALF_SCALE).cast("long")).otherwise(normal)
+    return steps.withColumn("_bits", bits).withColumn(name, F.when(v.isNotNull(), F.when(v < 0, -F.col("_bits")).otherwise(F.col("_bits")))).drop("_a", "_near", "_e", "_power", "_bits")
+
+
+def quantiles(df: DataFrame, column: str, shares: list[float]) -> DataFrame:
     """One row with `q`, the exact quantiles of a numeric column (between two values in proportion, nulls left out; nulls for a column without values).
 
-    Approximate quantiles a margin to either side of a share bracket its value; they err by a rank of at most a ten-thousandth of the rows, and by one more in
-    few rows, for which the next value outside is added. What lies below a bracket is only counted and what lies inside is summed up in order, so a
-    task sorts less than a thousandth of the values and nothing else is shuffled.
+    Selection by histograms. Values have longs of the same order, of which a pass settles 16 bits: it counts the rows by their next digit, with each digit's
+    least and greatest value, and every wanted place goes on into the digit that it falls in, until a digit holds one value; that takes four passes at most,
+    and the later ones read only what lies between those two values, a filter that reaches the scan. Rows are counted before the shuffle already, a task puts in
+    order 65,536 counts at most, and the driver gets a row per place, two a share, whatever the rows, ties and skew.
     """
     some = df.select(F.col(column).cast("double").alias("v")).where("v is not null")
-    marks = [x for p in shares for x in (max(0.0, p - margin), min(1.0, p + margin))]
-    one = some.agg(F.count(F.lit(1)).alias("total"), F.percentile_approx("v", F.array(*map(F.lit, marks)), 10_000).alias("marks"))
-    v, k = F.col("v"), range(len(shares))
-    low, high = (lambda i: F.col("marks")[2 * i]), (lambda i: F.col("marks")[2 * i + 1])
-    wider = [x for i in k for x in (F.max(F.when(v < low(i), v)).alias(f"under{i}"), F.min(F.when(v > high(i), v)).alias(f"over{i}"))]
-    spans = F.array(*[F.struct(F.coalesce(f"under{i}", low(i)).alias("low"), F.coalesce(f"over{i}", high(i)).alias("high")) for i in k])
-    bounds = some.crossJoin(F.broadcast(one)).groupBy("total", "marks").agg(*wider).select("total", spans.alias("spans"))
-    # Per share a value inside its bracket, or null for one below.
-    spots = F.array(*[F.when(v <= F.col("spans")[i]["high"], F.struct(F.lit(i).alias("i"), F.when(v >= F.col("spans")[i]["low"], v).alias("v"))) for i in k])
-    counted = some.crossJoin(F.broadcast(bounds)).select("total", F.explode(F.filter(spots, lambda s: s.isNotNull())).alias("s")).groupBy("total", "s.i", "s.v").agg(F.count(F.lit(1)).alias("n"))
-    ends = counted.withColumn("end", F.sum("n").over(Window.partitionBy("i").orderBy(F.col("v").asc_nulls_first())))
-    place = F.element_at(F.array(*map(F.lit, shares)), F.col("i") + 1) * (F.col("total") - 1)
-    at = lambda x: F.min(F.when(F.col("end") > x, F.col("v")))
-    found = ends.withColumn("place", place).groupBy("i", "place").agg(at(F.floor("place")).alias("lo"), at(F.ceil("place")).alias("hi"))
-    between = (F.ceil("place") - F.col("place")) * F.col("lo") + (F.col("place") - F.floor("place")) * F.col("hi")
-    value = found.select("i", F.when(F.col("lo") == F.col("hi"), F.col("lo")).otherwise(between).alias("q"))
-    return value.agg(F.array(*[F.max(F.when(F.col("i") == i, F.col("q"))) for i in k]).alias("q"))
+    n, end = F.col("n"), F.col("end")
+    holds = lambda rank: (end > rank) & (end - n <= rank)
+
+    def counted(rows: DataFrame, shift: int) -> DataFrame:
+        digits = with_image(rows, "v", "k").groupBy(F.shiftright("k", shift).alias("g"))
+        each = digits.agg(F.count(F.lit(1)).alias("n"), F.min("v").alias("low"), F.max("v").alias("high"))
+        # The first digits, which have a sign, are one sequence.
+        up = F.lit(0) if shift + DIGIT == 64 else F.shiftright("g", DIGIT)
+        return each.withColumn("up", up).withColumn("end", F.sum("n").over(Window.partitionBy("up").orderBy("g")))
+
+    shift = 64 - DIGIT
+    place = [F.lit(float(p)) * (F.col("total") - 1) for p in shares]
+    first = counted(some, shift).withColumn("total", F.sum("n").over(Window.partitionBy("up")))
+    rows = first.where(reduce(Column.__or__, [holds(f(x)) for x in place for f in (F.floor, F.ceil)])).collect()  # two a share at most
+    spots = [p * (rows[0]["total"] - 1) for p in shares] if rows else []
+    found = {rank: (rank, next(r for r in rows if r["end"] - r["n"] <= rank < r["end"])) for x in spots for rank in (floor(x), ceil(x))}
+    while True:
+        inside = {rank: (at - r["end"] + r["n"], r) for rank, (at, r) in found.items() if not (r["low"] == r["high"] or isnan(r["low"]))}
+        if not inside:
+            break
+        shift -= DIGIT
+        own = some.where(reduce(Column.__or__, [F.col("v").between(low, high) for low, high in {(r["low"], r["high"]) for _, r in inside.values()}]))
+        wanted = [(F.col("up") == r["g"]) & holds(F.lit(at)) for at, r in inside.values()]
+        rows = counted(own, shift).where(reduce(Column.__or__, wanted)).collect()  # a row per place at most
+        found |= {rank: (at, next(x for x in rows if x["up"] == r["g"] and x["end"] - x["n"] <= at < x["end"])) for rank, (at, r) in inside.items()}
+
+    def between(x: float) -> float:
+        lo, hi = found[floor(x)][1]["low"], found[ceil(x)][1]["low"]
+        return lo if lo == hi else (ceil(x) - x) * lo + (x - floor(x)) * hi
+
+    q = [between(x) for x in spots] or [None] * len(shares)
+    return df.sparkSession.range(0, 1, 1, 1).select(F.array(*[F.lit(x).cast("double") for x in q]).alias("q"))
 
 
 def places(df: DataFrame, group: str, digest: Column, key: str) -> DataFrame:
