@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, functions as F
 
 from threadmill.functions import text as T
@@ -40,7 +42,7 @@ def fill_types(df: DataFrame, booleans: list[str], numbers: list[str], texts: di
     """Null-free feature columns: false, 0.0 and given words."""
     filled: dict[str, Column] = {c: F.coalesce(F.col(c).cast("boolean"), F.lit(False)) for c in booleans}
     filled |= {c: F.coalesce(F.col(c).try_cast("double"), F.lit(0.0)) for c in numbers}
-    filled |= {c: F.coalesce(F.col(c), F.lit(v)) for c, v in texts.items()}
+    filled |= {c: F.coalesce(F.col(c).cast("string"), F.lit(v)) for c, v in texts.items()}
     return df.withColumns(filled)
 
 
@@ -138,6 +140,15 @@ def contract_groups(columns: list[str]) -> dict[str, list[str]]:
     return held | {"model_feature_columns": [c for c in columns if c not in apart and not c.startswith(("raw_source_row_json", "hydrated_source_row_json"))]}
 
 
+def contract_columns(df: DataFrame, groups: Callable[[list[str]], dict[str, list[str]]]) -> DataFrame:
+    """A feature table's own columns with their kind in the contract, the groups of `groups` that they are in (a row each, null for none) and how many rows hold no value: one aggregate."""
+    own = groups(df.columns)
+    held = {c: kind for kind, names in contract_groups(df.columns).items() for c in names}
+    nulls = df.agg(*[F.count_if(F.col(f"`{c}`").isNull()).alias(c) for c in held])
+    rows = F.array(*[F.struct(F.lit(c).alias("name"), F.lit(kind).alias("kind"), F.lit(g).cast("string").alias("ablation"), F.col(f"`{c}`").alias("nulls")) for c, kind in held.items() for g in ([x for x, names in own.items() if c in names] or [None])])
+    return nulls.select(F.explode(rows).alias("r")).select("r.*")
+
+
 def feature_summary(df: DataFrame) -> DataFrame:
     """Measures of a feature table as rows (measure, key, value): rows, labels, stages, and per model column its nulls, and range or distinct values."""
     model = contract_groups(df.columns)["model_feature_columns"]

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from threadmill.operators.relational import one_per_key
+
 # States and limits of the queue contract.
 READY = ("pending", "retryable")
 MAX_UNRESOLVED, CLAIM_ROWS, CLAIM_SECONDS, MATURITY_HOURS = 3, 200, 300, 24
@@ -13,9 +15,10 @@ def mature(captured: Column, now: Column, hours: int = MATURITY_HOURS) -> Column
     return captured <= now - F.make_interval(hours=F.lit(hours))
 
 
-def insert_new(state: DataFrame, rows: DataFrame, key: str) -> DataFrame:
-    """Rows whose key the state doesn't hold yet, one per key."""
-    return rows.dropDuplicates([key]).join(state.select(key), key, "left_anti")
+def insert_new(state: DataFrame, rows: DataFrame, key: str, order: list[str]) -> DataFrame:
+    """Rows whose key the state doesn't hold yet, of each key the first in a total order (nulls first). A row without a key isn't inserted."""
+    first = one_per_key(rows.where(F.col(key).isNotNull()), [key], [F.col(c).asc_nulls_first() for c in order])
+    return first.join(state.select(key), key, "left_anti")
 
 
 def release_expired(state: DataFrame, now: Column) -> DataFrame:

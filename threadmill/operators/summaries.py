@@ -7,6 +7,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from threadmill.functions import text as T
+from threadmill.sources.tables import stored
 
 
 def measures(df: DataFrame, named: dict[str, Column]) -> DataFrame:
@@ -117,6 +118,35 @@ def dataset_profile(rows: DataFrame, line: str, file: str, required: list[str],
     return together(measures(rows, named), counts(each, "key", F.col("k"), top), *[counts(rows, f"value:{f}", value(f), top) for f in spread])
 
 
+def json_kind(v: Column) -> Column:
+    """What a variant holds: object, array, string, boolean, number or null."""
+    held = F.schema_of_variant(v)
+    named = F.when(held.startswith("OBJECT"), "object").when(held.startswith("ARRAY"), "array")
+    return named.when(held == "STRING", "string").when(held == "BOOLEAN", "boolean").when(held == "VOID", "null").otherwise("number")
+
+
+def nested_profile(rows: DataFrame, line: str) -> DataFrame:
+    """Every path of JSON texts with the kinds of values at it: rows (path, kind, n).
+
+    `$` is a text itself, `.name` a field (in double quotes where it isn't letters, digits and underscores), `[]` any element of an array. At `$` there are
+    also `invalid` (no JSON, an empty text) and `missing` (null). One level after another is opened by a lateral join and written, with the values that have
+    levels below; it ends where no such value is left. The driver learns only whether one is.
+    """
+    v, kind, key = F.col("v"), F.col("kind"), F.col("key")
+    parsed = F.try_parse_json(F.col(f"`{line}`"))
+    level = rows.select(F.lit("$").alias("path"), F.when(F.col(f"`{line}`").isNull(), "missing").when(parsed.isNull(), "invalid").otherwise(json_kind(parsed)).alias("kind"), parsed.alias("v"))
+    deeper, counted = kind.isin("object", "array"), []
+    name = F.when(key.isNull(), "[]").when(key.rlike("^[A-Za-z0-9_]+$"), F.concat(F.lit("."), key)).otherwise(F.concat(F.lit('."'), key, F.lit('"')))
+    while True:
+        held = stored(level.withColumn("v", F.when(deeper, v)), "nested-profile")
+        counted.append(held.groupBy("path", "kind").agg(F.count(F.lit(1)).alias("n")))
+        nested = held.where(deeper)
+        if nested.isEmpty():
+            return together(*counted)
+        each = nested.select("path", "v").lateralJoin(rows.sparkSession.tvf.variant_explode(v.outer()))
+        level = each.select(F.concat("path", name).alias("path"), json_kind(F.col("value")).alias("kind"), F.col("value").alias("v"))
+
+
 def file_listing(rows: DataFrame, file: str, size: str) -> DataFrame:
     """Rows and bytes per file, and a row `(all)` for the whole."""
     each = rows.groupBy(F.col(file).alias("file")).agg(F.count(F.lit(1)).alias("rows"), F.max(size).alias("bytes"))

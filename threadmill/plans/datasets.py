@@ -185,6 +185,29 @@ def feature_summary(spark: SparkSession, sf: str) -> DataFrame:
     return got.where(wanted)
 
 
+@query(_FEATURES + r""", c0 AS (SELECT unnest(string_split(regexp_replace('uri post_created_at hydrated_author_did trend_name_clean trend_date actor_did post_text_raw post_text_alnum
+engagement_total eng_like_count eng_reply_count eng_repost_count eng_quote_count
+post_token_count candidate_id match_stage match_score trend_counts trend_num_hours is_matched is_ambiguous hit_best_match candidate_count matched_candidate_count matched_candidate_rate hit_candidate_counts
+like_count reply_count repost_count quote_count hit_hydrated followers_count follows_count posts_count display_name description has_avatar has_banner hit_actor has_candidate has_trend_match is_ambiguous_match
+trend_date_available trend_post_day_diff same_day_trend_match actor_followers_count actor_follows_count actor_posts_count actor_profile_found actor_followers_to_follows_ratio actor_has_display_name
+actor_has_description actor_description_char_count actor_has_avatar actor_has_banner post_hour_utc post_day_of_week post_is_weekend post_month post_unique_token_count post_unique_token_ratio
+raw_exclamation_count raw_question_count raw_uppercase_ratio', '\s+', ' ', 'g'), ' ')) AS name),
+g AS (SELECT name, ablation FROM c0, (VALUES ('trend_match'), ('post_text'), ('actor_account'), ('temporal')) v(ablation) WHERE CASE ablation
+  WHEN 'trend_match' THEN regexp_matches(name, '^(trend_|match_)|^(has_candidate|has_trend_match|is_ambiguous|is_ambiguous_match|is_matched|candidate_count|matched_candidate_count|matched_candidate_rate|same_day_trend_match)$')
+  WHEN 'post_text' THEN regexp_matches(name, '^(post_|raw_)') WHEN 'actor_account' THEN regexp_matches(name, '^actor_|^(followers_count|follows_count|posts_count|has_avatar|has_banner|display_name|description)$')
+  ELSE regexp_matches(name, '^post_hour_|^(post_day_of_week|post_is_weekend|post_month|trend_post_day_diff|same_day_trend_match)$') END),
+x AS (SELECT count(*) AS total, count(*) FILTER (author IS NULL) AS author, count(*) FILTER (b_uri IS NULL) AS best, count(*) FILTER (quality IS NULL) AS quality, count(*) FILTER (toxic IS NULL) AS toxic, count(*) FILTER (l_uri IS NULL) AS label,
+  count(*) FILTER (f.did IS NULL) AS actor, count(*) FILTER (NOT actor_has_description) AS description FROM f JOIN d USING (uri) LEFT JOIN labels ON labels.doc_id = f.uri)
+SELECT name, CASE WHEN regexp_matches(name, '^(eng_.*|engagement_total)$') THEN 'label_columns'
+  WHEN name IN ('uri', 'post_created_at', 'hydrated_author_did', 'trend_name_clean', 'trend_date', 'actor_did', 'post_text_raw', 'post_text_alnum') THEN 'debug_columns' ELSE 'model_feature_columns' END AS kind, ablation,
+  CASE WHEN name = 'hydrated_author_did' THEN author WHEN name IN ('candidate_id', 'is_matched', 'is_ambiguous') THEN best WHEN name = 'like_count' THEN quality WHEN name = 'reply_count' THEN toxic WHEN name = 'quote_count' THEN label
+  WHEN name IN ('repost_count', 'has_banner') THEN total WHEN name IN ('followers_count', 'follows_count', 'posts_count', 'display_name', 'has_avatar', 'actor_did') THEN actor WHEN name = 'description' THEN description ELSE 0 END AS nulls
+FROM c0 LEFT JOIN g USING (name), x""")
+def contract_columns(spark: SparkSession, sf: str) -> DataFrame:
+    """The feature table's own columns with their kind, their ablation groups and their empty rows."""
+    return features.contract_columns(_features(spark, sf), models.ablation_groups)
+
+
 @query("""SELECT item_id AS uri, (item_id + CASE WHEN item_id % 10 = 9 THEN 0 ELSE 1 END) % 10 / 10.0::DOUBLE AS match_score FROM benchmark""")
 def best_for_join(spark: SparkSession, sf: str) -> DataFrame:
     return features.best_for_join(_feature_inputs(spark, sf)[1]).select("uri", "match_score")
@@ -252,6 +275,19 @@ def dataset_profile(spark: SparkSession, sf: str) -> DataFrame:
     return summaries.dataset_profile(table(spark, sf, "events"), "props", "event_type", ["k", "zz"], ["k"])
 
 
+@query(r"""WITH t AS (SELECT CASE WHEN event_id % 50 = 0 THEN '{"id": ' WHEN event_id % 50 <> 1 THEN '{"id": ' || event_id || ', "props": ' || props || ', "tags": ["' || event_type || '", {"user": ' || user_id || ', "odd name": [[' || (event_id % 2 = 0) || '], null, 0.5]}]' ||
+  CASE WHEN event_id % 3 = 0 THEN ', "value": null' ELSE '' END || '}' END AS line FROM events),
+n AS (SELECT regexp_replace(r.fullkey, '\[\d+\]', '[]', 'g') AS path, CASE WHEN r.type IN ('OBJECT', 'ARRAY', 'NULL', 'BOOLEAN') THEN lower(r.type) WHEN r.type = 'VARCHAR' THEN 'string' ELSE 'number' END AS kind FROM (SELECT line FROM t WHERE json_valid(line)) t, json_tree(t.line) r
+  UNION ALL SELECT '$', CASE WHEN line IS NULL THEN 'missing' ELSE 'invalid' END FROM t WHERE line IS NULL OR NOT json_valid(line))
+SELECT path, kind, count(*) AS n FROM n GROUP BY 1, 2""")
+def nested_profile(spark: SparkSession, sf: str) -> DataFrame:
+    """Paths and kinds of nested texts made of each event; some are cut off, some are missing."""
+    e = F.col("event_id")
+    parts = [F.lit('{"id": '), e, F.lit(', "props": '), "props", F.lit(', "tags": ["'), "event_type", F.lit('", {"user": '), "user_id", F.lit(', "odd name": [['), e % 2 == 0, F.lit("], null, 0.5]}]"), F.when(e % 3 == 0, ', "value": null').otherwise(""), F.lit("}")]
+    line = F.when(e % 50 == 0, '{"id": ').when(e % 50 != 1, F.concat(*[(F.col(p) if isinstance(p, str) else p).cast("string") for p in parts]))
+    return summaries.nested_profile(table(spark, sf, "events").select(line.alias("line")), "line")
+
+
 @query("""WITH f AS (SELECT source AS file, count(*) AS rows, max(n_chars) AS bytes FROM documents GROUP BY 1)
 SELECT * FROM f UNION ALL SELECT '(all)', CAST(sum(rows) AS BIGINT), CAST(sum(bytes) AS BIGINT) FROM f""")
 def file_listing(spark: SparkSession, sf: str) -> DataFrame:

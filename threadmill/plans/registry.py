@@ -413,11 +413,11 @@ def seed_actors(spark: SparkSession, sf: str) -> DataFrame:
     return state.seed_actors(seen.where("user_id % 10 = 0").select("did").distinct(), seen.where("event_id % 4 = 3"), seen, "did")
 
 
-@query("SELECT user_id, min(event_id) AS event_id FROM events WHERE user_id % 2 = 1 GROUP BY user_id")
+@query("SELECT user_id, event_id, event_type, ts FROM events WHERE user_id % 2 = 1 QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY ts DESC NULLS LAST, event_id DESC) = 1")
 def dedupe_insert(spark: SparkSession, sf: str) -> DataFrame:
-    """Users that the state of even ones doesn't hold, once each."""
-    rows = table(spark, sf, "events").groupBy("user_id").agg(F.min("event_id").alias("event_id"))
-    return state.insert_new(rows.where("user_id % 2 = 0"), rows, "user_id")
+    """Of the users that the state of even ones doesn't hold, the last event each."""
+    rows = table(spark, sf, "events").select("user_id", "event_id", "event_type", "ts").withColumns({"back": -F.unix_micros(F.col("ts").cast("timestamp")), "own": -F.col("event_id")})
+    return state.insert_new(rows.where("user_id % 2 = 0"), rows, "user_id", ["back", "own"]).drop("back", "own")
 
 
 # Sets and manifests

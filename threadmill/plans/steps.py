@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from threadmill.functions import text as T
-from threadmill.operators import candidates, features, lifecycle, models, state
+from threadmill.operators import candidates, lifecycle, models, state
 from threadmill.plans.registry import SQL, _POST, query, table
 from threadmill.sources import contracts, events, files
 
@@ -170,18 +170,3 @@ def class_weights(spark: SparkSession, sf: str) -> DataFrame:
 def model_choice(spark: SparkSession, sf: str) -> DataFrame:
     rows = table(spark, sf, "documents").groupBy(F.col("source").alias("model")).agg(F.round(F.avg("n_chars"), 3).alias("macro_f1"), F.countDistinct("lang").alias("balanced_accuracy"), F.count(F.lit(1)).alias("accuracy"))
     return models.better(rows).select("model")
-
-
-_KINDS = """('engagement_label', 'label_columns', NULL), ('eng_like_count', 'label_columns', NULL), ('uri', 'debug_columns', NULL), ('trend_date', 'debug_columns', 'trend_match'), ('match_method', 'debug_columns', 'trend_match'),
-('match_score', 'model_feature_columns', 'trend_match'), ('candidate_count', 'model_feature_columns', 'trend_match'), ('same_day_trend_match', 'model_feature_columns', 'temporal'), ('same_day_trend_match', 'model_feature_columns', 'trend_match'),
-('raw_question_count', 'model_feature_columns', 'post_text'), ('post_token_count', 'model_feature_columns', 'post_text'), ('has_url', 'model_feature_columns', 'post_text'), ('actor_has_avatar', 'model_feature_columns', 'actor_account'),
-('post_hour_utc', 'model_feature_columns', 'post_text'), ('post_hour_utc', 'model_feature_columns', 'temporal'), ('custom', 'model_feature_columns', NULL)"""
-
-
-@query(f"SELECT * FROM (VALUES {_KINDS}) v(name, kind, ablation)")
-def contract_columns(spark: SparkSession, sf: str) -> DataFrame:
-    """Columns of the feature contract with their kind and the ablation groups they are in."""
-    names = "engagement_label eng_like_count uri trend_date match_method match_score candidate_count same_day_trend_match raw_question_count post_token_count has_url actor_has_avatar post_hour_utc custom".split()
-    groups = models.ablation_groups(names)
-    rows = [(c, kind, g) for kind, own in features.contract_groups(names).items() for c in own for g in ([x for x, held in groups.items() if c in held] or [None])]
-    return spark.createDataFrame(rows, "name string, kind string, ablation string")
