@@ -102,3 +102,20 @@ def test_no_join_without_a_key(spark):
         matching.semantic_pairs(timed, t, pool=3).explain()
         matching.match(c, t).explain()
     assert "NestedLoop" not in out.getvalue() and "Cartesian" not in out.getvalue()
+
+
+def test_pairs_that_only_share_a_token_are_not_written(spark, monkeypatch):
+    """Each of 60 candidates shares a token with each of 50 trends, and only one pair is alike."""
+    sizes = {}
+
+    def counted(df, label, write=matching.stored):
+        sizes[label] = max(sizes.get(label, 0), (out := write(df, label)).count())
+        return out
+
+    monkeypatch.setattr(matching, "stored", counted)
+    letters = "abcdefghijklmnopqrstuvwxyz"
+    cands = [(i, f"storm {letters[i % 26] * 7} {letters[i // 26] * 9} one", DAY) for i in range(59)] + [(59, "storm of the western harbor", DAY)]
+    trends = [(1000 + i, f"storm {letters[25 - i % 26] * 5} {i} two more", DAY) for i in range(49)] + [(1049, "storm of the western harbour", DAY)]
+    got = {(r["candidate_id"], r["stage"]) for r in matching.match(*frames(spark, cands, trends)).collect() if r["is_matched"]}
+    assert got == {(59, "fuzzy")}
+    assert max(n for label, n in sizes.items() if label not in ("trend-days", "rare-pairs")) < 200, sizes  # 3000 pairs share a token
