@@ -87,3 +87,15 @@ def test_null_ids_repeated_rows_empty_tables_long_pages(spark):
     got = sorted((r["page_id"] or 0, r["n_chars"]) for r in html_text.main_text(df).collect())
     assert got == [(0, 1), (0, 1), (7, 300_000 * 5 - 1), (8, 0)]
     assert html_text.main_text(df.limit(0)).count() == 0
+
+
+def test_articles_lose_what_also_stands_outside_of_them(spark):
+    notice = "all rights reserved please ask before you reprint this text"  # in two articles and outside one
+    shared = "the club plays its home games in the old stadium"  # in four articles and nowhere else
+    teaser = "a storm took the roof of the old town hall"  # of one article, shown beside three others
+    own = [f"story {i} has words of its own number {i}" for i in range(6)]
+    page = lambda i, inside="", outside="": f"<article><p>{own[i]}</p><p>{inside}</p></article><div>{outside}</div>"
+    html = [page(0, notice), page(1, notice), page(2, shared, notice), *[page(i, shared, f"{teaser} {i}") for i in (3, 4, 5)], f"<article><p>{teaser}</p></article>"]
+    df = spark.createDataFrame([(i, f"http://h.example/{i}", h) for i, h in enumerate(html)], "page_id long, url string, html string")
+    got = {r["page_id"]: r["text"] for r in html_text.main_text(df).collect()}
+    assert [got[i] for i in range(7)] == [own[0], own[1], *[f"{own[i]}\n{shared}" for i in (2, 3, 4, 5)], teaser]

@@ -135,20 +135,29 @@ class Blocks(HTMLParser):
         self.now.append(data)
 
 
-def page_blocks(html: str) -> list[tuple[str, bool]]:
-    """Blocks of a page outside elements set apart, in order. With a main element, only its blocks stay."""
+def all_blocks(html: str) -> list[tuple[str, bool]]:
+    """Blocks of a page outside elements set apart, in order, each with whether it stands in the main element."""
     parser = Blocks()
     parser.feed(html)
     parser.close()
     parser.pop_to(0)
     parser.close_block()
-    return [b for b in parser.found if b[1]] or parser.found
+    return parser.found
+
+
+def page_blocks(html: str) -> list[tuple[str, bool]]:
+    """Blocks of a page outside elements set apart, in order. With a main element, only its blocks stay."""
+    found = all_blocks(html)
+    return [b for b in found if b[1]] or found
 
 
 def _parsed(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
     for pages in batches:
-        rows = [page_blocks(h) for h in pages]
-        yield pd.DataFrame({"blocks": [[t for t, _ in r] for r in rows], "main": [bool(r) and r[0][1] for r in rows]})
+        rows = [all_blocks(h) for h in pages]
+        main = [any(m for _, m in r) for r in rows]
+        inner = [[t for t, m in r if m or not own] for r, own in zip(rows, main, strict=True)]
+        outer = [[t for t, m in r if own and not m] for r, own in zip(rows, main, strict=True)]
+        yield pd.DataFrame({"blocks": inner, "main": main, "outside": outer})
     release_memory()
 
 
@@ -171,29 +180,30 @@ def uncovered(blocks: list[str], starts: list[int], run: int) -> list[str]:
 
 def runs(least: int):
     """Of a partition's suffixes (host, head, stream), in that order: heads of `least` streams or more, and those of the first and last run, which may go on in
-    the partitions beside it, with their streams."""
+    the partitions beside it, with the number of their streams and of those that are articles (odd)."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        now, last, n, first = None, None, 0, True
+        now, last, n, inner, first = None, None, 0, 0, True
         for batch in batches:
             found = []
             for host, head, stream in zip(batch["host"].tolist(), batch["head"].tolist(), batch["stream"].tolist(), strict=True):
                 if (host, head) != now:  # neighbours compared in full
                     if now is not None and (first or n >= least):
-                        found.append((*now, n))
+                        found.append((*now, n, inner))
                     first = first and now is None
-                    now, last, n = (host, head), stream, 1
+                    now, last, n, inner = (host, head), stream, 1, stream % 2
                 elif stream != last:
-                    last, n = stream, n + 1
-            yield pd.DataFrame(found, columns=["host", "head", "n"])
+                    last, n, inner = stream, n + 1, inner + stream % 2
+            yield pd.DataFrame(found, columns=["host", "head", "n", "inner"])
         if now is not None:
-            yield pd.DataFrame([(*now, n)], columns=["host", "head", "n"])
+            yield pd.DataFrame([(*now, n, inner)], columns=["host", "head", "n", "inner"])
 
     return run
 
 
 def repeated_starts(streams: DataFrame, run: int = RUN, least: int = PAGES) -> DataFrame:
-    """(stream, starts) of streams(host, stream, tokens), each stream a different text: the places, from 1, from which `run` tokens occur in `least` streams of the host or more.
+    """(stream, starts) of streams(host, stream, tokens), each stream a different text, those of articles odd: the places, from 1, from which `run` tokens occur in `least` streams of
+    the host or more, one of them outside an article; in an article, those that another article has too.
 
     The suffix array of each host: every suffix by its first `run` tokens, which is all that decides whether it begins a long repeated substring. Splitters sampled from the data deal
     the sorted suffixes out by host, tokens and stream, so neither a host nor a sentence on all its pages has to fit into a task; tasks sort externally, and neighbours are
@@ -204,44 +214,51 @@ def repeated_starts(streams: DataFrame, run: int = RUN, least: int = PAGES) -> D
     array = streams.where(F.size("tokens") >= run).select("host", "stream", F.explode(suffix).alias("s")).select("host", "s.head", "stream", "s.at")
     array = written(array, "suffixes")
     ordered = array.select("host", "head", "stream").repartitionByRange("host", "head", "stream").sortWithinPartitions("host", "head", "stream")
-    ends = ordered.mapInPandas(runs(least), "host string, head string, n long")
-    repeated = ends.groupBy("host", "head").agg(F.sum("n").alias("n")).where(F.col("n") >= least).select("host", "head")
-    return array.join(small(written(repeated, "repeated")), ["host", "head"], "left_semi").groupBy("stream").agg(F.collect_set("at").alias("starts"))
+    ends = ordered.mapInPandas(runs(least), "host string, head string, n long, inner long")
+    sums = ends.groupBy("host", "head").agg(F.sum("n").alias("n"), F.sum("inner").alias("inner"))
+    repeated = sums.where((F.col("n") >= least) & (F.col("n") > F.col("inner"))).select("host", "head", (F.col("inner") > 1).alias("articles"))
+    found = array.join(small(written(repeated, "repeated")), ["host", "head"]).where("stream % 2 = 0 OR articles")
+    return found.groupBy("stream").agg(F.collect_set("at").alias("starts"))
 
 
 def main_text(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html", run: int = RUN, least: int = PAGES) -> DataFrame:
     """page_id, url, text and n_chars of every page: the blocks of its article, joined by line feeds.
 
     Structure first: scripts, menus, page headers, footers, sidebars, forms, notices, adverts and comments go, by element, role, class or id. A page
-    with an article or main element gives that element's blocks, whole: what such pages share inside it is the articles' own.
+    with an article or main element gives that element's blocks.
 
-    Pages without one go through the suffix array of their host: substrings of `run` or more tokens that `least` or more distinct pages share are boilerplate,
-    every token that they cover goes, and the rest stays. Pages with equal streams count as one,
-    and a page that would lose all its text keeps it, so that copies of an article don't remove each other.
+    Then the suffix array of each host that has text outside articles, over every page of it, inside and outside: substrings of `run` or more tokens that `least` or more distinct
+    texts share, one of them outside an article, are boilerplate, and every token that they cover goes. An article loses them only where another article has them too, so that a teaser
+    elsewhere doesn't cut the article it is taken from; what only articles share is their own and stays. Texts that are equal as a whole count as one, and a page that would lose all its
+    text keeps it, so that copies of an article don't remove each other.
 
     Null html is empty; an empty page has an empty text. Null urls share one host. Very long pages are parsed whole. Repeated rows give a row each. Null ids are kept. Other columns of pages
     aren't carried. An empty table gives an empty table.
     """
-    parse = F.pandas_udf(_parsed, "blocks array<string>, main boolean")
+    parse = F.pandas_udf(_parsed, "blocks array<string>, main boolean, outside array<string>")
     read = pages.select(F.monotonically_increasing_id().alias("row"), F.col(f"`{id_col}`").alias("page_id"), F.col(f"`{url_col}`").alias("url"), parse(text_of(html_col)).alias("p"))
     with small_batches(pages.sparkSession):
-        base = written(read.select("row", "page_id", "url", "p.blocks", "p.main"), "blocks")
+        base = written(read.select("row", "page_id", "url", "p.*"), "blocks")
         text = lambda blocks: F.array_join(blocks, "\n").alias("text")
-        settled = F.col("main") | (F.size("blocks") == 0)
-        out = base.where(settled).select("page_id", "url", text("blocks"))
-        if base.where(~settled).limit(1).count():
-            host = F.lower(F.coalesce(F.regexp_extract("url", r"^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:]*)", 1), F.lit("")))
-            tokens = F.flatten(F.transform("blocks", lambda b: F.split(b, " ")))
-            opened = base.where(~settled).select("row", host.alias("host"), tokens.alias("tokens"))
+        out = base.select("page_id", "url", text("blocks"))
+        host = F.lower(F.coalesce(F.regexp_extract("url", r"^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:]*)", 1), F.lit("")))
+        loose = (~F.col("main") & (F.size("blocks") > 0)) | (F.size("outside") > 0)
+        if base.where(loose).limit(1).count():
+            parts = F.array(F.struct(F.col("main").cast("int").alias("article"), F.col("blocks").alias("own")), F.struct(F.lit(0).alias("article"), F.col("outside").alias("own")))
+            hosts = small(written(base.where(loose).select(host.alias("host")).distinct(), "hosts"))
+            each = base.select("row", host.alias("host"), F.posexplode(parts).alias("part", "x")).where(F.size("x.own") > 0).join(hosts, "host", "left_semi")
+            opened = each.select("row", "host", "part", "x.article", F.flatten(F.transform("x.own", lambda b: F.split(b, " "))).alias("tokens"))
             opened = written(opened.withColumn("digest", F.sha2(F.array_join("tokens", " "), 256)), "open")
-            streams = opened.groupBy("host", "digest").agg(F.min("row").alias("stream"))
-            first = opened.join(streams.select(F.col("stream").alias("row")), "row", "left_semi")
-            starts = repeated_starts(first.select("host", F.col("row").alias("stream"), "tokens"), run, least)
+            # A page's own text and what stands outside its article have numbers of their own; those of articles are odd.
+            number = F.col("row") * 4 + F.col("part") * 2 + F.col("article")
+            streams = opened.groupBy("host", "digest", "article").agg(F.min(number).alias("stream"))
+            first = opened.withColumn("stream", number).join(streams.select("stream"), "stream", "left_semi")
+            starts = repeated_starts(first.select("host", "stream", "tokens"), run, least)
             # Only pages that hold something repeated are shuffled for it.
-            covered = opened.select("row", "host", "digest").join(streams, ["host", "digest"]).join(starts, "stream").select("row", "starts")
+            covered = opened.where("part = 0").select("row", "host", "digest", "article").join(streams, ["host", "digest", "article"]).join(starts, "stream").select("row", "starts")
             covered = small(written(covered, "covered"))
             cut = F.pandas_udf(lambda blocks, starts: pd.Series([uncovered(b, s, run) for b, s in zip(blocks, starts, strict=True)]), "array<string>")
-            kept = base.where(~settled).join(covered, "row").withColumn("kept", cut("blocks", "starts"))
+            kept = base.join(covered, "row").withColumn("kept", cut("blocks", "starts"))
             kept = kept.select("page_id", "url", text(F.when(F.size("kept") == 0, F.col("blocks")).otherwise(F.col("kept"))))
-            out = out.unionByName(base.where(~settled).join(covered, "row", "left_anti").select("page_id", "url", text("blocks"))).unionByName(kept)
+            out = base.join(covered, "row", "left_anti").select("page_id", "url", text("blocks")).unionByName(kept)
     return out.withColumn("n_chars", F.length("text").cast("long"))
