@@ -2,6 +2,9 @@
 
 from datetime import date, timedelta
 
+from pyspark.sql import functions as F
+
+from threadmill.operators import relational
 from threadmill.plans.registry import QUERIES
 
 
@@ -44,3 +47,21 @@ def test_models_use_every_component(spark, tmp_path):
     for name in ("softmax_model", "stump_model"):
         got = QUERIES[name](spark, sf).collect()
         assert len(got) == 36 and all(str(int(r["prediction"])) == r["label"] for r in got), name
+
+
+def test_rows_without_a_key_are_dealt_out(spark):
+    """Posts without an author hold whole texts, and none of them finds an actor: they must not meet in one task."""
+    held = {k: spark.conf.get(k) for k in ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.enabled")}
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
+    spark.conf.set("spark.sql.adaptive.enabled", False)
+    try:
+        left = spark.range(400).select(F.col("id").alias("uri"), F.when(F.col("id") % 100 == 0, F.col("id").cast("string")).alias("did"))
+        right = spark.range(0, 200, 100).select(F.col("id").cast("string").alias("did"), F.lit("x").alias("name"))
+        got = relational.left_with_hit(left, right, ["did"], "hit", "uri")
+        assert got.columns == ["did", "uri", "name", "hit"]
+        tasks = [r["task"] for r in got.withColumn("task", F.spark_partition_id()).collect() if r["did"] is None]
+        assert len(tasks) == 396 and max(map(tasks.count, set(tasks))) < 200
+        assert sorted((r["uri"], r["name"]) for r in got.where("hit").collect()) == [(0, "x"), (100, "x")]
+    finally:
+        for k, v in held.items():
+            spark.conf.set(k, v)
