@@ -66,3 +66,9 @@ def test_a_key_is_forgotten_after_its_time(spark, folder):
     (folder / "in" / "later.jsonl").write_text(frame(900, 1) + "\n")
     time.sleep(0.1)
     assert run(spark, folder, ttl=1, name="b")[0] == n + 1
+
+
+def test_without_a_time_to_live_no_row_goes_through_python(spark, folder):
+    posts = capture.posts_of(capture.frame_stream(spark, str(folder / "in"), 1), "cap_1")
+    plan = capture.first_per_key(posts, "uri", ["seq"])._jdf.queryExecution().analyzed().toString()
+    assert "Python" not in plan and "TransformWithState" not in plan

@@ -72,9 +72,15 @@ class FirstSeen(StatefulProcessor):
 def first_per_key(stream: DataFrame, key: str, order: list[str], ttl_ms: int | None = None) -> DataFrame:
     """Each key's first row over the whole stream: within a trigger by `order` (nulls last), over triggers by arrival. With `ttl_ms`, a key that comes again later than that counts again.
 
-    State is a time per key, kept in RocksDB and in the checkpoint; a key's rows of one trigger pass through as a stream.
+    The stream is to be written in update mode. Without a time-to-live this is an aggregate: the least row of a key by its trigger's time and `order`, given out in the trigger whose time it
+    has. Its state is that row. With one, state is a time per key that a Python worker asks for, key by key. Both are kept in RocksDB and in the checkpoint.
     """
-    return stream.groupBy(key).transformWithState(FirstSeen(order, ttl_ms), stream.schema, "Append", "None" if ttl_ms is None else "ProcessingTime")
+    if ttl_ms is not None:
+        return stream.groupBy(key).transformWithState(FirstSeen(order, ttl_ms), stream.schema, "Update", "ProcessingTime")
+    now = F.current_timestamp()  # one for all rows of a trigger, also when it is run again
+    place = F.struct("_now", *[x for i, c in enumerate(order) for x in (F.col(c).isNull().alias(f"no{i}"), F.col(c).alias(f"of{i}"))])
+    first = stream.withColumn("_now", now).groupBy(F.col(key).alias("_key")).agg(F.min("_now").alias("_at"), F.min_by(F.struct(*stream.columns), place).alias("_row"))
+    return first.where(F.col("_at") == now).select("_row.*")
 
 
 def collect_until(stream: DataFrame, path: str, checkpoint: str, target: int | None = None, order: list[str] | None = None) -> int:
@@ -107,7 +113,7 @@ def collect_until(stream: DataFrame, path: str, checkpoint: str, target: int | N
     before = spark.conf.get("spark.sql.streaming.stateStore.providerClass")
     spark.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB)
     try:
-        running = stream.writeStream.option("checkpointLocation", checkpoint).foreachBatch(put).trigger(availableNow=True).start()
+        running = stream.writeStream.outputMode("update").option("checkpointLocation", checkpoint).foreachBatch(put).trigger(availableNow=True).start()
         while not running.awaitTermination(1):
             last = [p["numInputRows"] for p in running.recentProgress[-3:]]
             if full or last == [0, 0, 0]:  # with a time-to-live Spark goes on with empty triggers
