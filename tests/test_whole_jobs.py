@@ -4,7 +4,7 @@ from datetime import date, timedelta
 
 from pyspark.sql import functions as F
 
-from threadmill.operators import relational
+from threadmill.operators import candidates, posts, relational
 from threadmill.plans.registry import QUERIES
 
 
@@ -65,3 +65,17 @@ def test_rows_without_a_key_are_dealt_out(spark):
     finally:
         for k, v in held.items():
             spark.conf.set(k, v)
+
+
+def test_python_workers_get_bounded_batches(spark):
+    names = ("spark.sql.execution.arrow.maxRecordsPerBatch", "spark.sql.execution.arrow.maxBytesPerBatch")
+    held = {k: spark.conf.get(k) for k in names}
+    try:
+        for make in (candidates.generate, lambda p: posts.prepare(p, p, "run", ["position"])):
+            spark.conf.set(names[0], 10_000)
+            spark.conf.unset(names[1])
+            make(spark.createDataFrame([], "uri string, text string, post_text_clean string, post_text_alnum string, record_created_at string, indexed_at string, hydrated_at string, captured_at string, author_did string, position int"))
+            assert [int(spark.conf.get(k)) for k in names] == [1000, 8_000_000]
+    finally:
+        for k, v in held.items():
+            spark.conf.set(k, v)
