@@ -13,56 +13,65 @@ TYPES = {
 }
 
 
-def _text(v: Column, *paths: str) -> Column:
-    return F.coalesce(*[F.nullif(F.try_variant_get(v, f"$.{p}", "string"), F.lit("")) for p in paths])
+def _text(of: str, *names: str) -> Column:
+    """The first of the struct's fields that isn't empty."""
+    return F.coalesce(*[F.nullif(F.col(f"{of}.{n}"), F.lit("")) for n in names])
+
+
+def _once(column: Column, where: Column | None = None) -> Column:
+    """The column from a generator of one row (none where `where` fails): filters on it stay above, so it isn't worked out again for each condition that names it."""
+    return F.explode(F.array(column) if where is None else F.when(where, F.array(column)))
+
+
+# What is read of a frame and of its commit, each in one walk; what isn't an object has none of it and is null.
+HEAD = "struct<t: string, type: string, event_type: string, seq: bigint, time: string>"
+OP = "struct<action: string, op: string, path: string, cid: string, record: variant, value: variant>"
+COMMIT = f"struct<repo: string, repo_did: string, ops: array<{OP}>, blocks: map<string, variant>, records_by_cid: map<string, variant>>"
 
 
 def decode(frames: DataFrame, column: str = "value") -> DataFrame:
     """frames with event_type, seq, event_time, payload and decode_error; blank lines go, and what isn't a JSON object is an error row."""
-    lines = frames.where(F.trim(F.col(column)) != "")
-    v = F.try_parse_json(F.col(column))
-    kind = F.lower(F.trim(_text(F.col("payload"), "t", "type", "event_type")))
+    line = F.col(column)
+    kind = F.lower(F.trim(_text("_head", "t", "type", "event_type")))
     known = F.create_map(*[F.lit(x) for kv in TYPES.items() for x in kv])
     return (
-        lines.withColumn("payload", v)
-        .withColumn("decode_error", F.col("payload").isNull() | ~F.coalesce(F.schema_of_variant("payload").startswith("OBJECT"), F.lit(False)))
-        .withColumns(
-            {
-                "event_type": F.coalesce(F.try_element_at(known, kind), kind, F.lit("unknown")),
-                "seq": F.try_variant_get("payload", "$.seq", "bigint"),
-                "event_time": F.try_variant_get("payload", "$.time", "string"),
-            }
-        )
+        frames.withColumn("payload", _once(F.try_parse_json(line), F.trim(line) != ""))
+        .withColumn("_head", _once(F.try_variant_get("payload", "$", HEAD)))
+        .withColumn("decode_error", F.col("_head").isNull())
+        .withColumns({"event_type": F.coalesce(F.try_element_at(known, kind), kind, F.lit("unknown")), "seq": F.col("_head.seq"), "event_time": F.col("_head.time")})
+        .drop("_head")
     )
 
 
 def _object(v: Column) -> Column:
-    """The variant where it is an object, else null."""
-    return F.when(F.schema_of_variant(v).startswith("OBJECT"), v)
+    """The variant where it is an object, else null: only an object can be read as a struct, and one without fields reads none of it."""
+    return F.when(F.try_variant_get(v, "$", "struct<>").isNotNull(), v)
 
 
 def extract(events: DataFrame, collection: str = COLLECTION) -> DataFrame:
     """A row per created post of commit events (uri, repo_did, collection, rkey, cid, record), and one with `extract_error` for a commit without a repo or whose ops are no list.
 
     An operation's record is its `record` if that is an object, else its `value` if that is one, else what `blocks` or `records_by_cid` hold for its cid; without any object
-    it is no post. Operations that are no objects go. The maps are read only where an operation has no record of its own.
+    it is no post. Operations that are no objects go. A commit, its operations and its maps are read once, however many operations it has.
     """
-    ops = F.try_variant_get("payload", "$.ops", "array<variant>")
-    commits = events.where(~F.col("decode_error") & (F.col("event_type") == "commit")).withColumn("repo_did", _text(F.col("payload"), "repo", "repo_did"))
-    listed = F.coalesce(F.schema_of_variant(F.try_variant_get("payload", "$.ops", "variant")).startswith("ARRAY"), F.lit(False))
-    error = F.when(F.col("repo_did").isNull(), "commit without repo").when(~listed, "commit without a list of ops")
-    judged = commits.withColumn("extract_error", error)
-    each = judged.select("seq", "event_time", "repo_did", "payload", "extract_error", F.explode(F.when(F.col("extract_error").isNull(), ops).otherwise(F.array(F.lit(None).cast("variant")))).alias("op"))
-    path = F.regexp_replace(_text(F.col("op"), "path"), r"^/+|/+$", "")
-    named = each.withColumns({"action": _text(F.col("op"), "action", "op"), "collection": F.regexp_extract(path, r"(?s)^(.*)/([^/]+)$", 1), "rkey": F.regexp_extract(path, r"(?s)^(.*)/([^/]+)$", 2), "cid": F.try_variant_get("op", "$.cid", "string")})
+    commits = events.where(~F.col("decode_error") & (F.col("event_type") == "commit")).withColumn("_commit", _once(F.try_variant_get("payload", "$", COMMIT)))
+    read = commits.select("seq", "event_time", _text("_commit", "repo", "repo_did").alias("repo_did"), "_commit.ops", "_commit.blocks", "_commit.records_by_cid")
+    judged = read.withColumn("extract_error", F.when(F.col("repo_did").isNull(), "commit without repo").when(F.col("ops").isNull(), "commit without a list of ops"))
+    each = judged.withColumn("op", F.explode(F.when(F.col("extract_error").isNull(), F.col("ops")).otherwise(F.array(F.lit(None).cast(OP)))))
+    path = F.btrim(_text("op", "path"), F.lit("/"))
+    rkey = F.substring_index(path, "/", -1)
+    named = each.select(
+        "seq", "event_time", "repo_did", "extract_error", _text("op", "action", "op").alias("action"), F.substring(path, F.lit(1), F.length(path) - F.length(rkey) - 1).alias("collection"),
+        rkey.alias("rkey"), "op.cid", "op.record", "op.value", "blocks", "records_by_cid",
+    )
     kept = named.where(F.col("extract_error").isNotNull() | ((F.col("action") == "create") & (F.col("collection") == collection)))
-    by_cid = lambda name: _object(F.try_element_at(F.try_variant_get("payload", f"$.{name}", "map<string,variant>"), F.col("cid")))
-    record = F.coalesce(_object(F.try_variant_get("op", "$.record", "variant")), _object(F.try_variant_get("op", "$.value", "variant")), by_cid("blocks"), by_cid("records_by_cid"))
+    by_cid = lambda name: _object(F.try_element_at(F.col(name), F.col("cid")))
+    record = F.coalesce(_object(F.col("record")), _object(F.col("value")), by_cid("blocks"), by_cid("records_by_cid"))
     return (
-        kept.withColumn("record", record)
+        kept.withColumn("record", _once(record))
         .where(F.col("extract_error").isNotNull() | F.col("record").isNotNull())
         .withColumn("uri", F.concat(F.lit("at://"), "repo_did", F.lit("/"), "collection", F.lit("/"), "rkey"))
-        .drop("payload", "op")
+        .drop("value", "blocks", "records_by_cid")
     )
 
 
