@@ -19,7 +19,10 @@ def _text(of: str, *names: str) -> Column:
 
 
 def _once(column: Column, where: Column | None = None) -> Column:
-    """The column from a generator of one row (none where `where` fails): filters on it stay above, so it isn't worked out again for each condition that names it."""
+    """The column from a generator of one row (none where `where` fails): filters on it stay above, so it isn't worked out again for each condition that names it.
+
+    It is to name whole columns: where it named fields of structs, Spark 4.1 pruned other columns that were still needed and failed.
+    """
     return F.explode(F.array(column) if where is None else F.when(where, F.array(column)))
 
 
